@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -24,36 +25,29 @@ def quote_field(text: Column) -> Column:
 def float_text(value: Column) -> Column:
     """Decimal text of a double: positional from 1e-4 up to 1e16, scientific beyond.
 
-    Spark switches to scientific text outside [1e-3, 1e7); this moves the point.
+    Spark's own text is scientific outside [1e-3, 1e7); the decimal cast moves the point
+    without changing a digit.
     """
-    raw = value.cast("string")
-    digits = r"^(-?)(\d)\.(\d+)E(-?\d+)$"
-    sign = F.regexp_extract(raw, digits, 1)
-    head = F.regexp_extract(raw, digits, 2)
-    tail = F.regexp_replace(F.regexp_extract(raw, digits, 3), "0$", "")
-    exponent = F.regexp_extract(raw, digits, 4).try_cast("int")
-    width = F.greatest(exponent, F.length(tail))
-    padded = F.rpad(tail, width, F.lit("0"))
-    rest = F.substring(padded, exponent + 1, width)
-    large = F.concat(
-        sign, head, F.substring(padded, F.lit(1), exponent), F.lit("."),
-        F.when(rest == "", "0").otherwise(rest),
-    )
-    small = F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -exponent - 1), head, tail)
-    mantissa = F.concat(sign, head, F.when(tail == "", "").otherwise(F.concat(F.lit("."), tail)))
-    power = F.abs(exponent).cast("string")
-    scientific = F.concat(
-        mantissa, F.lit("e"), F.when(exponent < 0, "-").otherwise("+"),
-        F.when(F.length(power) < 2, F.lit("0")).otherwise(""), power,
-    )
+    raw, size = value.cast("string"), F.abs(value)
+    moved = raw.try_cast("decimal(38,21)").cast("string")
+    positional = F.regexp_replace(moved, r"(\.\d+?)0+$", "$1")
+    scientific = F.regexp_replace(raw, r"(?:\.0)?E(\d)", "e+$1")
+    scientific = F.regexp_replace(scientific, r"(?:\.0)?E-", "e-")
+    scientific = F.regexp_replace(scientific, r"e([+-])(\d)$", "e$10$2")
     return (
         F.when(~F.contains(raw, F.lit("E")), raw)
-        .when(exponent.between(0, 15), large)
-        .when(exponent.between(-4, -1), small)
+        .when((size >= 1e-4) & (size < 1e16), positional)
         .otherwise(scientific)
     )
 
 
+def is_written(value: Column, kind: T.DataType) -> Column:
+    """Whether a field has a value that the protocol can carry."""
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return value.isNotNull() & ~F.isnan(value) & (F.abs(value) < F.lit(float("inf")))
+    return value.isNotNull()
+
+
 def field_text(name: str, value: Column, kind: T.DataType) -> Column:
     """``name=value`` in the notation of the field's type; null leaves it out."""
     if isinstance(kind, T.BooleanType):
@@ -61,9 +55,7 @@ def field_text(name: str, value: Column, kind: T.DataType) -> Column:
     elif isinstance(kind, T.IntegralType):
         text = F.concat(value.cast("string"), F.lit("i"))
     elif isinstance(kind, T.FractionalType):
-        number = value.cast("double")
-        finite = ~F.isnan(number) & (F.abs(number) < F.lit(float("inf")))
-        text = F.when(finite, float_text(number))
+        text = F.when(is_written(value, kind), float_text(value.cast("double")))
     else:
         text = quote_field(value.cast("string"))
     return F.concat(F.lit(f"{name}="), text)
@@ -84,10 +76,15 @@ def nanos(time: Column) -> Column:
 
 def line(measurement: str, schema: T.StructType, tags: Sequence[str],
          fields: Sequence[str], time: str = "time") -> Column:
-    """The point's line; null if it has no field value or no time."""
+    """The point's line."""
     body = F.concat_ws(",", *[field_text(f, F.col(f), schema[f].dataType) for f in fields])
-    text = F.concat(
+    return F.concat(
         F.lit(f"{measurement},"), series_key(tags), F.lit(" "), body, F.lit(" "),
         nanos(F.col(time)).cast("string"),
     )
-    return F.when(body != "", text)
+
+
+def has_line(schema: T.StructType, fields: Sequence[str], time: str = "time") -> Column:
+    """Whether a point can be written: it has a time and at least one field value."""
+    written = [is_written(F.col(f), schema[f].dataType) for f in fields]
+    return F.col(time).isNotNull() & reduce(lambda a, b: a | b, written)

@@ -2,23 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from logloom.functions.durations import interval, micros_in
-from logloom.operators.timeseries import in_range
+from logloom.operators.points import stack
+from logloom.operators.timeseries import instant
 
 NORMAL, PENDING, FIRING, NO_DATA = "Normal", "Pending", "Firing", "NoData"
 
 
 @dataclass(frozen=True)
 class Clock:
-    """Evaluation every ``every`` over the last ``lookback``; ``lookback`` and ``every``
-    are whole multiples of ``bucket``, so buckets line up with evaluations."""
+    """Evaluation every ``every`` over the last ``lookback``.
+
+    ``every`` and ``lookback`` are whole multiples of ``bucket``, so the buckets of a
+    trend line up with the evaluations.
+    """
 
     every: str = "5 minutes"
     lookback: str = "10 minutes"
@@ -40,11 +43,12 @@ class Rule:
 # The deployed rules.
 RULES = (
     Rule("any_host", "High anomaly score on any host", "host_max", 20, "5 minutes"),
-    *[
-        Rule(f"trend_{h}", f"Anomaly trend - {h.capitalize()} (mean 5m) > 20", "trend", 20,
-             "5 minutes", "critical", h, h)
-        for h in ("web1", "web2", "web3")
-    ],
+    Rule("trend_web1", "Anomaly trend - Web1 (mean 5m) > 20", "trend", 20, "5 minutes",
+         "critical", "web1", "web1"),
+    Rule("trend_web2", "Anomaly trend - Web2 (mean 5m) > 20", "trend", 20, "5 minutes",
+         "critical", "web2", "web2"),
+    Rule("trend_web3", "Anomaly trend - Web3 (mean 5m) > 20", "trend", 20, "5 minutes",
+         "critical", "web3", "web3"),
     Rule("max_score", "Max anomaly score (last 10m) > 20", "max", 20, "2 minutes",
          "critical", "anomaly-gauge"),
     Rule("top_error_path", "Top error path/host - error_count > 10", "top_error", 10,
@@ -54,103 +58,108 @@ RULES = (
 )
 
 
-def rule_table(spark: SparkSession, rules: Sequence[Rule]) -> DataFrame:
-    rows = [(r.name, r.title, r.signal, float(r.threshold), r.hold, r.severity, r.component,
-             r.host) for r in rules]
-    schema = ("rule string, title string, signal string, threshold double, hold string, "
-              "severity string, component string, host string")
-    table = spark.createDataFrame(rows, schema)
-    hold = reduce(
-        lambda acc, h: acc.when(F.col("hold") == h, micros_in(h)),
-        sorted({r.hold for r in rules}), F.when(F.lit(False), F.lit(0)),
+def evaluations(clock: Clock, time: str = "time") -> Column:
+    """The evaluations whose look-back covers a point.
+
+    An overlapping window puts a point into each of its few evaluations, which spares
+    a range join between points and evaluations.
+    """
+    return F.window(time, clock.lookback, clock.every).alias("w")
+
+
+def _cells(evaluated: DataFrame, series: Column, host: Column) -> DataFrame:
+    return evaluated.select(
+        F.col("w.end").alias("evaluated"), series.alias("series"), host.alias("host"),
+        F.col("value").cast("double").alias("value"),
     )
-    return table.withColumn("hold_micros", hold)
 
 
-def evaluations(clock: Clock, time: str = "time"):
-    """The evaluations whose look-back covers a point: an overlapping window, so a
-    point joins each of its few evaluations without a range join."""
-    return F.window(time, clock.lookback, clock.every)
+NO_HOST = "CAST(NULL AS STRING)"
 
 
 def host_max_signal(anomaly: DataFrame, clock: Clock) -> DataFrame:
     """Highest score per host."""
-    cells = anomaly.groupBy(evaluations(clock).alias("w"), "hostname").agg(
-        F.max("score").alias("value")
-    )
-    return cells.select(F.col("w.end").alias("at"), F.col("hostname").alias("series"),
-                        F.lit(None).cast("string").alias("host"), "value")
+    best = anomaly.groupBy(evaluations(clock), "hostname").agg(F.max("score").alias("value"))
+    return _cells(best, F.col("hostname"), F.col("hostname"))
 
 
 def trend_signal(anomaly: DataFrame, clock: Clock) -> DataFrame:
-    """Mean score per host and kind of the newest bucket inside the look-back."""
+    """Mean score, per host and kind, of the newest bucket inside the look-back."""
     buckets = (
         anomaly.groupBy(F.window("time", clock.bucket).alias("b"), "hostname", "kind")
         .agg(F.avg("score").alias("mean"))
-        .select(F.col("b.start").alias("time"), "hostname", "kind", "mean")
+        .select(F.window_time("b").alias("time"), "hostname", "kind", "mean")
     )
-    cells = buckets.groupBy(evaluations(clock).alias("w"), "hostname", "kind").agg(
+    newest = buckets.groupBy(evaluations(clock), "hostname", "kind").agg(
         F.max_by("mean", "time").alias("value")
     )
     series = F.concat(F.col("hostname"), F.lit(" | "), F.col("kind"))
-    return cells.select(F.col("w.end").alias("at"), series.alias("series"),
-                        F.col("hostname").alias("host"), "value")
+    return _cells(newest, series, F.col("hostname"))
 
 
 def max_signal(anomaly: DataFrame, clock: Clock) -> DataFrame:
     """Highest score of all."""
-    cells = anomaly.groupBy(evaluations(clock).alias("w")).agg(F.max("score").alias("value"))
-    return cells.select(F.col("w.end").alias("at"), F.lit("").alias("series"),
-                        F.lit(None).cast("string").alias("host"), "value")
+    best = anomaly.groupBy(evaluations(clock)).agg(F.max("score").alias("value"))
+    return _cells(best, F.lit(""), F.expr(NO_HOST))
 
 
 def top_error_signal(urls: DataFrame, clock: Clock) -> DataFrame:
     """Largest 4xx/5xx count of one host, path and status."""
     errors = urls.where(F.col("status").cast("string").rlike("^[45]"))
-    sums = errors.groupBy(
-        evaluations(clock).alias("w"), "hostname", "path", "status"
-    ).agg(F.sum("count").alias("n"))
-    cells = sums.groupBy("w").agg(F.max("n").cast("double").alias("value"))
-    return cells.select(F.col("w.end").alias("at"), F.lit("").alias("series"),
-                        F.lit(None).cast("string").alias("host"), "value")
+    keys = ("hostname", "path", "status")
+    sums = errors.groupBy(evaluations(clock), *keys).agg(F.sum("count").alias("n"))
+    best = sums.groupBy("w").agg(F.max("n").alias("value"))
+    return _cells(best, F.lit(""), F.expr(NO_HOST))
 
 
 def total_5xx_signal(urls: DataFrame, clock: Clock) -> DataFrame:
     """All 5xx answers."""
     errors = urls.where(F.col("status").cast("string").rlike("^5"))
-    cells = errors.groupBy(evaluations(clock).alias("w")).agg(
-        F.sum("count").cast("double").alias("value")
-    )
-    return cells.select(F.col("w.end").alias("at"), F.lit("").alias("series"),
-                        F.lit(None).cast("string").alias("host"), "value")
+    total = errors.groupBy(evaluations(clock)).agg(F.sum("count").alias("value"))
+    return _cells(total, F.lit(""), F.expr(NO_HOST))
+
+
+@dataclass(frozen=True)
+class Signal:
+    table: str
+    build: Callable[[DataFrame, Clock], DataFrame]
+    single: bool = False
 
 
 SIGNALS = {
-    "host_max": (host_max_signal, "anomaly"),
-    "trend": (trend_signal, "anomaly"),
-    "max": (max_signal, "anomaly"),
-    "top_error": (top_error_signal, "top_urls"),
-    "total_5xx": (total_5xx_signal, "top_urls"),
+    "host_max": Signal("anomaly", host_max_signal),
+    "trend": Signal("anomaly", trend_signal),
+    "max": Signal("anomaly", max_signal, single=True),
+    "top_error": Signal("top_urls", top_error_signal, single=True),
+    "total_5xx": Signal("top_urls", total_5xx_signal, single=True),
 }
-SINGLE_SERIES = ("max", "top_error", "total_5xx")
+
+
+def rule_structs(rules: Sequence[Rule]) -> Column:
+    """The rules as a literal array, to be unfolded next to the values they watch."""
+    return F.array(*[
+        F.struct(
+            F.lit(r.name).alias("rule"),
+            F.lit(float(r.threshold)).alias("threshold"),
+            micros_in(r.hold).alias("hold_micros"),
+            F.lit(r.host).cast("string").alias("only"),
+        )
+        for r in rules
+    ])
 
 
 def signals(tables: Mapping[str, DataFrame], rules: Sequence[Rule], clock: Clock) -> DataFrame:
-    """Rule values per series and evaluation; each signal is computed once, however
-    many rules watch it."""
-    wanted = dict.fromkeys(r.signal for r in rules)
+    """Value per rule, series and evaluation.
+
+    A signal is computed once, however many rules watch it.
+    """
     parts = []
-    for name in wanted:
-        build, table = SIGNALS[name]
-        parts.append(build(tables[table], clock).withColumn("signal", F.lit(name)))
-    cells = reduce(lambda a, b: a.unionByName(b), parts)
-    spark = cells.sparkSession
-    # The rule table is a constant of the program: a handful of rows.
-    table = F.broadcast(rule_table(spark, rules))
-    matched = cells.join(table.withColumnRenamed("host", "only"), "signal").where(
-        F.col("only").isNull() | (F.col("only") == F.col("host"))
-    )
-    return matched.select("rule", "series", "at", "value", "threshold", "hold_micros")
+    for name in dict.fromkeys(r.signal for r in rules):
+        watching = [r for r in rules if r.signal == name]
+        cells = SIGNALS[name].build(tables[SIGNALS[name].table], clock)
+        unfolded = cells.select("*", F.inline(rule_structs(watching)))
+        parts.append(unfolded.where(F.col("only").isNull() | (F.col("only") == F.col("host"))))
+    return stack(parts).select("rule", "series", "evaluated", "value", "threshold", "hold_micros")
 
 
 def breaches(tables: Mapping[str, DataFrame], rules: Sequence[Rule] = RULES,
@@ -158,7 +167,7 @@ def breaches(tables: Mapping[str, DataFrame], rules: Sequence[Rule] = RULES,
     """Evaluations whose value lies strictly above the rule's threshold."""
     cells = signals(tables, rules, clock)
     return cells.where(F.col("value") > F.col("threshold")).select(
-        "rule", "series", "at", "value"
+        "rule", "series", "evaluated", "value"
     )
 
 
@@ -167,59 +176,70 @@ def alert_states(tables: Mapping[str, DataFrame], start: str, stop: str,
     """State of every series of every rule at every evaluation in (start, stop].
 
     The grid of evaluations is stacked under the values with null, and one aggregation
-    merges both: an evaluation without points stays null, which is ``NoData``. The hold
-    is a running window per series, whose rows are the evaluations of the range, not
-    the points.
+    merges both: an evaluation without points stays null, which is ``NoData``.
     """
-    spark = next(iter(tables.values())).sparkSession
-    narrowed = {
-        name: in_range(t, start, stop) for name, t in tables.items()
-    }
+    narrowed = {}
+    for name, table in tables.items():
+        reach = instant(table, start) - interval(clock.lookback)
+        narrowed[name] = table.where(
+            (F.col("time") >= reach) & (F.col("time") < instant(table, stop))
+        )
     values = signals(narrowed, rules, clock)
-    kind = values.schema["at"].dataType
-    first = F.lit(start).cast(kind) + interval(clock.every)
-    last = F.lit(stop).cast(kind)
-    inside = values.where(F.col("at").between(first, last))
-    table = rule_table(spark, rules)
-    single = table.where(F.col("signal").isin(*SINGLE_SERIES)).select(
-        "rule", F.lit("").alias("series"), "threshold", "hold_micros"
-    )
-    known = values.select("rule", "series", "threshold", "hold_micros").unionByName(single)
-    grid = known.distinct().select(
-        "rule", "series",
-        F.explode(F.sequence(first, last, interval(clock.every))).alias("at"),
-        F.lit(None).cast("double").alias("value"), "threshold", "hold_micros",
+    kind = values.schema["evaluated"].dataType
+    lo, hi = F.lit(start).cast(kind), F.lit(stop).cast(kind)
+    inside = values.where((F.col("evaluated") > lo) & (F.col("evaluated") <= hi))
+    series = inside.select("rule", "series", "threshold", "hold_micros")
+    single = [r for r in rules if SIGNALS[r.signal].single]
+    if single:
+        # One-series rules report even if the range holds no point for them.
+        always = values.sparkSession.range(1).select(F.inline(rule_structs(single)))
+        series = series.unionByName(always.select(
+            "rule", F.lit("").alias("series"), "threshold", "hold_micros"
+        ))
+    first = F.window("lo", clock.every)["end"]
+    grid = (
+        series.distinct().withColumn("lo", lo).withColumn("first", first)
+        .select("rule", "series", "threshold", "hold_micros",
+                F.explode(F.sequence("first", hi, interval(clock.every))).alias("evaluated"),
+                F.lit(None).cast("double").alias("value"))
     )
     cells = (
         inside.unionByName(grid)
-        .groupBy("rule", "series", "at", "threshold", "hold_micros")
+        .groupBy("rule", "series", "threshold", "hold_micros", "evaluated")
         .agg(F.max("value").alias("value"))
     )
-    with_hold = held(cells)
-    labels = table.select("rule", "title", "severity", "component")
-    return with_hold.join(F.broadcast(labels), "rule").select(
-        "rule", "title", "severity", "component", "series", "at", "value", "state"
+    return held(cells).select(
+        "rule", *[label(rules, a).alias(a) for a in ("title", "severity", "component")],
+        "series", "evaluated", "value", "state",
     )
 
 
+def label(rules: Sequence[Rule], attribute: str) -> Column:
+    pairs = [F.lit(x).cast("string") for r in rules for x in (r.name, getattr(r, attribute))]
+    return F.create_map(*pairs)[F.col("rule")]
+
+
 def held(cells: DataFrame) -> DataFrame:
-    """Pending from the first breach, firing once the breach has lasted the hold."""
-    order = Window.partitionBy("rule", "series").orderBy("at")
+    """Pending from the first breach; firing once the breach has lasted the hold.
+
+    The window runs over the evaluations of one series: as many rows as the range has
+    evaluations, whatever the number of points.
+    """
+    order = Window.partitionBy("rule", "series").orderBy("evaluated")
+    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     breach = F.coalesce(F.col("value") > F.col("threshold"), F.lit(False))
-    begins = F.col("breach") & ~F.coalesce(F.lag("breach").over(order), F.lit(False))
-    marked = cells.withColumn("breach", breach).withColumn(
-        "began", F.when(begins, F.col("at"))
-    )
-    began = F.last("began", ignorenulls=True).over(
-        order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    lasted = F.unix_micros(F.col("at").cast("timestamp")) - F.unix_micros(
-        F.col("since").cast("timestamp")
-    )
+    before = F.coalesce(F.lag("breach").over(order), F.lit(False))
+    began = F.when(F.col("breach") & ~before, F.unix_micros(F.col("evaluated").cast("timestamp")))
+    lasted = F.unix_micros(F.col("evaluated").cast("timestamp")) - F.col("since")
     state = (
         F.when(F.col("value").isNull(), NO_DATA)
         .when(~F.col("breach"), NORMAL)
         .when(lasted >= F.col("hold_micros"), FIRING)
         .otherwise(PENDING)
     )
-    return marked.withColumn("since", began).withColumn("state", state)
+    return (
+        cells.withColumn("breach", breach)
+        .withColumn("began", began)
+        .withColumn("since", F.last("began", ignorenulls=True).over(so_far))
+        .withColumn("state", state)
+    )

@@ -58,8 +58,10 @@ def to_lines(points: DataFrame, m: Measurement) -> DataFrame:
     # The client address is key here but a field of the written point.
     tags = [t for t in m.tags if t != "ip"]
     fields = [t for t in m.tags if t == "ip"] + list(m.fields)
-    text = line_protocol.line(m.name, points.schema, tags, fields)
-    return points.select(text.alias("line")).where(F.col("line").isNotNull())
+    schema = points.schema
+    return points.where(line_protocol.has_line(schema, fields)).select(
+        line_protocol.line(m.name, schema, tags, fields).alias("line")
+    )
 
 
 def to_long(points: DataFrame, m: Measurement) -> DataFrame:
