@@ -14,12 +14,16 @@ from logloom.functions.tags import clean_tag
 
 def escape_tag(text: Column) -> Column:
     """Backslash before comma, space and equals sign."""
-    return F.regexp_replace(text, r"([, =])", r"\\$1")
+    for mark in (",", " ", "="):
+        text = F.replace(text, F.lit(mark), F.lit("\\" + mark))
+    return text
 
 
 def quote_field(text: Column) -> Column:
     """Double-quoted text with backslash and quote escaped."""
-    return F.concat(F.lit('"'), F.regexp_replace(text, r'([\\"])', r"\\$1"), F.lit('"'))
+    for mark in ("\\", '"'):
+        text = F.replace(text, F.lit(mark), F.lit("\\" + mark))
+    return F.concat(F.lit('"'), text, F.lit('"'))
 
 
 def float_text(value: Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logloom.functions.access import event_time, status_class
+from logloom.functions.rows import parsed_once
 
 # The access record.
 ACCESS_FIELDS = {
@@ -24,8 +25,7 @@ ACCESS_SCHEMA = ", ".join(f"{name} {kind}" for name, kind in ACCESS_FIELDS.items
 
 def decode_access(raw: DataFrame, value: str = "value") -> DataFrame:
     """JSON text to the record's columns; bad JSON is one all-null row."""
-    parsed = F.from_json(F.col(value).cast("string"), ACCESS_SCHEMA)
-    return raw.select(parsed.alias("record")).select("record.*")
+    return raw.select(parsed_once(F.from_json(F.col(value).cast("string"), ACCESS_SCHEMA)))
 
 
 def normalize_access(records: DataFrame) -> DataFrame:

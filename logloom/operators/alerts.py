@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from logloom.functions.durations import interval, micros_in
 from logloom.operators.points import stack
-from logloom.operators.timeseries import instant
+from logloom.operators.timeseries import fill_grid, instant
 
 NORMAL, PENDING, FIRING, NO_DATA = "Normal", "Pending", "Firing", "NoData"
 
@@ -67,72 +67,71 @@ def evaluations(clock: Clock, time: str = "time") -> Column:
     return F.window(time, clock.lookback, clock.every).alias("w")
 
 
-def _cells(evaluated: DataFrame, series: Column, host: Column) -> DataFrame:
-    return evaluated.select(
-        F.col("w.end").alias("evaluated"), series.alias("series"), host.alias("host"),
-        F.col("value").cast("double").alias("value"),
-    )
-
-
-NO_HOST = "CAST(NULL AS STRING)"
-
+def anomaly_signals(anomaly: DataFrame, clock: Clock) -> DataFrame:
+    """Three signals from one read of the anomaly points.
 
-def host_max_signal(anomaly: DataFrame, clock: Clock) -> DataFrame:
-    """Highest score per host."""
-    best = anomaly.groupBy(evaluations(clock), "hostname").agg(F.max("score").alias("value"))
-    return _cells(best, F.col("hostname"), F.col("hostname"))
-
-
-def trend_signal(anomaly: DataFrame, clock: Clock) -> DataFrame:
-    """Mean score, per host and kind, of the newest bucket inside the look-back."""
+    ``trend``: mean score, per host and kind, of the newest bucket inside the look-back.
+    ``host_max``: highest score per host. ``max``: highest score of all. Points are first
+    reduced to buckets; the levels then come from those by grouping sets.
+    """
     buckets = (
         anomaly.groupBy(F.window("time", clock.bucket).alias("b"), "hostname", "kind")
-        .agg(F.avg("score").alias("mean"))
-        .select(F.window_time("b").alias("time"), "hostname", "kind", "mean")
+        .agg(F.avg("score").alias("mean"), F.max("score").alias("best"))
+        .select(F.window_time("b").alias("time"), "hostname", "kind", "mean", "best")
     )
-    newest = buckets.groupBy(evaluations(clock), "hostname", "kind").agg(
-        F.max_by("mean", "time").alias("value")
+    sets = [["w", "hostname", "kind"], ["w", "hostname"], ["w"]]
+    levels = (
+        buckets.select(evaluations(clock), "*")
+        .groupingSets(sets, "w", "hostname", "kind")
+        .agg(F.max_by("mean", "time").alias("newest"), F.max("best").alias("best"),
+             F.grouping_id().alias("level"))
+    )
+    per_kind, per_host = F.col("level") == 0, F.col("level") == 1
+    return levels.select(
+        F.when(per_kind, "trend").when(per_host, "host_max").otherwise("max").alias("signal"),
+        F.when(per_kind, F.concat(F.col("hostname"), F.lit(" | "), F.col("kind")))
+        .when(per_host, F.col("hostname")).otherwise("").alias("series"),
+        F.col("hostname").alias("host"),
+        F.col("w.end").alias("evaluated"),
+        F.when(per_kind, F.col("newest")).otherwise(F.col("best")).alias("value"),
     )
-    series = F.concat(F.col("hostname"), F.lit(" | "), F.col("kind"))
-    return _cells(newest, series, F.col("hostname"))
-
 
-def max_signal(anomaly: DataFrame, clock: Clock) -> DataFrame:
-    """Highest score of all."""
-    best = anomaly.groupBy(evaluations(clock)).agg(F.max("score").alias("value"))
-    return _cells(best, F.lit(""), F.expr(NO_HOST))
 
+def url_signals(urls: DataFrame, clock: Clock) -> DataFrame:
+    """Two signals from one read of the URL points.
 
-def top_error_signal(urls: DataFrame, clock: Clock) -> DataFrame:
-    """Largest 4xx/5xx count of one host, path and status."""
-    errors = urls.where(F.col("status").cast("string").rlike("^[45]"))
+    ``top_error``: largest 4xx/5xx count of one host, path and status. ``total_5xx``: all
+    5xx answers.
+    """
+    text = F.col("status").cast("string")
     keys = ("hostname", "path", "status")
-    sums = errors.groupBy(evaluations(clock), *keys).agg(F.sum("count").alias("n"))
-    best = sums.groupBy("w").agg(F.max("n").alias("value"))
-    return _cells(best, F.lit(""), F.expr(NO_HOST))
-
-
-def total_5xx_signal(urls: DataFrame, clock: Clock) -> DataFrame:
-    """All 5xx answers."""
-    errors = urls.where(F.col("status").cast("string").rlike("^5"))
-    total = errors.groupBy(evaluations(clock)).agg(F.sum("count").alias("value"))
-    return _cells(total, F.lit(""), F.expr(NO_HOST))
+    sums = (
+        urls.where(text.rlike("^[45]")).groupBy(evaluations(clock), *keys)
+        .agg(F.sum("count").alias("n"))
+    )
+    both = sums.groupBy("w").agg(
+        F.max("n").cast("double").alias("top_error"),
+        F.sum(F.when(text.rlike("^5"), F.col("n"))).cast("double").alias("total_5xx"),
+    )
+    named = [F.struct(F.lit(s).alias("signal"), F.col(s).alias("value"))
+             for s in ("top_error", "total_5xx")]
+    return (
+        both.select(F.col("w.end").alias("evaluated"), F.inline(F.array(*named)))
+        .where(F.col("value").isNotNull())
+        .select("signal", F.lit("").alias("series"), F.lit(None).cast("string").alias("host"),
+                "evaluated", "value")
+    )
 
 
-@dataclass(frozen=True)
-class Signal:
-    table: str
-    build: Callable[[DataFrame, Clock], DataFrame]
-    single: bool = False
-
-
-SIGNALS = {
-    "host_max": Signal("anomaly", host_max_signal),
-    "trend": Signal("anomaly", trend_signal),
-    "max": Signal("anomaly", max_signal, single=True),
-    "top_error": Signal("top_urls", top_error_signal, single=True),
-    "total_5xx": Signal("top_urls", total_5xx_signal, single=True),
+TABLE_SIGNALS: dict[str, Callable[[DataFrame, Clock], DataFrame]] = {
+    "anomaly": anomaly_signals,
+    "top_urls": url_signals,
+}
+SIGNAL_TABLE = {
+    "trend": "anomaly", "host_max": "anomaly", "max": "anomaly",
+    "top_error": "top_urls", "total_5xx": "top_urls",
 }
+SINGLE_SERIES = ("max", "top_error", "total_5xx")
 
 
 def rule_structs(rules: Sequence[Rule]) -> Column:
@@ -142,24 +141,26 @@ def rule_structs(rules: Sequence[Rule]) -> Column:
             F.lit(r.name).alias("rule"),
             F.lit(float(r.threshold)).alias("threshold"),
             micros_in(r.hold).alias("hold_micros"),
+            F.lit(r.signal).alias("watched"),
             F.lit(r.host).cast("string").alias("only"),
         )
         for r in rules
     ])
 
 
-def signals(tables: Mapping[str, DataFrame], rules: Sequence[Rule], clock: Clock) -> DataFrame:
-    """Value per rule, series and evaluation.
+CELL = ("rule", "series", "threshold", "hold_micros", "evaluated", "value")
 
-    A signal is computed once, however many rules watch it.
-    """
-    parts = []
-    for name in dict.fromkeys(r.signal for r in rules):
-        watching = [r for r in rules if r.signal == name]
-        cells = SIGNALS[name].build(tables[SIGNALS[name].table], clock)
-        unfolded = cells.select("*", F.inline(rule_structs(watching)))
-        parts.append(unfolded.where(F.col("only").isNull() | (F.col("only") == F.col("host"))))
-    return stack(parts).select("rule", "series", "evaluated", "value", "threshold", "hold_micros")
+
+def signals(tables: Mapping[str, DataFrame], rules: Sequence[Rule], clock: Clock) -> DataFrame:
+    """Value per rule, series and evaluation; one read of each table serves all rules."""
+    used = dict.fromkeys(SIGNAL_TABLE[r.signal] for r in rules)
+    values = stack([TABLE_SIGNALS[t](tables[t], clock) for t in used])
+    watching = F.filter(
+        rule_structs(rules),
+        lambda r: (r["watched"] == F.col("signal"))
+        & (r["only"].isNull() | (r["only"] == F.col("host"))),
+    )
+    return values.select("series", "evaluated", "value", F.inline(watching)).select(*CELL)
 
 
 def breaches(tables: Mapping[str, DataFrame], rules: Sequence[Rule] = RULES,
@@ -175,8 +176,7 @@ def alert_states(tables: Mapping[str, DataFrame], start: str, stop: str,
                  rules: Sequence[Rule] = RULES, clock: Clock = Clock()) -> DataFrame:
     """State of every series of every rule at every evaluation in (start, stop].
 
-    The grid of evaluations is stacked under the values with null, and one aggregation
-    merges both: an evaluation without points stays null, which is ``NoData``.
+    An evaluation without points is a null value, which is ``NoData``.
     """
     narrowed = {}
     for name, table in tables.items():
@@ -188,26 +188,23 @@ def alert_states(tables: Mapping[str, DataFrame], start: str, stop: str,
     kind = values.schema["evaluated"].dataType
     lo, hi = F.lit(start).cast(kind), F.lit(stop).cast(kind)
     inside = values.where((F.col("evaluated") > lo) & (F.col("evaluated") <= hi))
-    series = inside.select("rule", "series", "threshold", "hold_micros")
-    single = [r for r in rules if SIGNALS[r.signal].single]
+
+    def bounded(rows: DataFrame) -> DataFrame:
+        grid = rows.withColumn("first", F.window(lo, clock.every)["end"])
+        return grid.withColumn("last", F.window(hi, clock.every)["start"])
+
+    cells = bounded(inside)
+    single = [r for r in rules if r.signal in SINGLE_SERIES]
     if single:
         # One-series rules report even if the range holds no point for them.
-        always = values.sparkSession.range(1).select(F.inline(rule_structs(single)))
-        series = series.unionByName(always.select(
-            "rule", F.lit("").alias("series"), "threshold", "hold_micros"
+        seeds = bounded(values.sparkSession.range(1).select(F.inline(rule_structs(single))))
+        cells = cells.unionByName(seeds.select(
+            "rule", F.lit("").alias("series"), "threshold", "hold_micros",
+            F.col("first").alias("evaluated"), F.lit(None).cast("double").alias("value"),
+            "first", "last",
         ))
-    first = F.window("lo", clock.every)["end"]
-    grid = (
-        series.distinct().withColumn("lo", lo).withColumn("first", first)
-        .select("rule", "series", "threshold", "hold_micros",
-                F.explode(F.sequence("first", hi, interval(clock.every))).alias("evaluated"),
-                F.lit(None).cast("double").alias("value"))
-    )
-    cells = (
-        inside.unionByName(grid)
-        .groupBy("rule", "series", "threshold", "hold_micros", "evaluated")
-        .agg(F.max("value").alias("value"))
-    )
+    cells = fill_grid(cells, ["rule", "series"], "evaluated", "value",
+                      F.col("first"), F.col("last"), clock.every)
     return held(cells).select(
         "rule", *[label(rules, a).alias(a) for a in ("title", "severity", "component")],
         "series", "evaluated", "value", "state",

@@ -14,6 +14,7 @@ from logloom.functions.errors import (
     message_class,
     packed_fields,
 )
+from logloom.functions.rows import parsed_once
 
 
 def zoned(time: Column, zone: str | None) -> Column:
@@ -23,9 +24,8 @@ def zoned(time: Column, zone: str | None) -> Column:
 
 def parse_error_lines(lines: DataFrame, line: str = "line") -> DataFrame:
     """The four text parts of each line."""
-    return lines.select(
-        *[line_part(F.col(line), name).alias(name) for name in LINE_PATTERNS]
-    )
+    parts = [line_part(F.col(line), name).alias(name) for name in LINE_PATTERNS]
+    return lines.select(parsed_once(F.struct(*parts)))
 
 
 def normalize_errors(parts: DataFrame, zone: str | None = None) -> DataFrame:
@@ -57,11 +57,9 @@ def split_error_lines(lines: DataFrame, line: str = "line",
     packed = lines.select(
         F.col(line).alias("line"), packed_fields(F.col(line)).alias("packed")
     )
-    fields = packed.select(
-        "line", *[field(F.col("line"), F.col("packed"), n).alias(n) for n in FIELD_NAMES]
-    )
+    fields = [field(F.col("line"), F.col("packed"), n).alias(n) for n in FIELD_NAMES]
     return (
-        fields
+        packed.select("line", parsed_once(F.struct(*fields)))
         .withColumn("cid", F.col("cid").try_cast("bigint"))
         .withColumn("event_time", zoned(line_timestamp(F.col("time")), zone))
     )

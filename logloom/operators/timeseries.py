@@ -40,29 +40,42 @@ def downsample(points: DataFrame, every: str, by: Sequence[str], aggregate: Colu
     return out.withColumn("time", F.col("bucket.end")).drop("bucket")
 
 
+def fill_grid(cells: DataFrame, by: Sequence[str], at: str, value: str,
+              first: Column, last: Column, every: str) -> DataFrame:
+    """Every grid step from ``first`` to ``last`` for each series, null where it has no cell.
+
+    Each cell also emits the steps up to its successor, so the grid needs no second read
+    and no join. The window holds one row per cell of a series: at most the number of grid
+    steps, however many points were summed into them. Two cells may share a step if one of
+    them is a null seed.
+    """
+    order = Window.partitionBy(*by).orderBy(at, F.col(value).isNotNull())
+    begin = F.when(F.lag(at).over(order).isNull(), first).otherwise(F.col(at))
+    end = F.coalesce(F.lead(at).over(order) - interval(every), last)
+    spans = cells.withColumns({"begin": begin, "end": end})
+    steps = F.sequence("begin", "end", interval(every))
+    unfolded = spans.where(F.col("begin") <= F.col("end")).withColumn("step", F.explode(steps))
+    held = F.when(F.col("step") == F.col(at), F.col(value)).alias(value)
+    kept = [c for c in cells.columns if c not in (at, value)]
+    return unfolded.select(*kept, F.col("step").alias(at), held)
+
+
 def zero_filled_sums(points: DataFrame, value: str, by: Sequence[str], every: str,
                      start: str, stop: str) -> DataFrame:
-    """Bucket sums over the whole range, 0.0 where a series has no point.
-
-    Zero rows of the grid are stacked under the points before the one aggregation:
-    no join, null tags need no care, and a hot series is summed map-side.
-    """
+    """Bucket sums over the whole range, 0.0 where a series has no point."""
     lo, hi = instant(points, start), instant(points, stop)
-    inside = in_range(points, start, stop)
-    cells = inside.select(*by, F.window("time", every)["start"].alias("bucket"),
-                          F.col(value).cast("double").alias("value"))
-    first = F.window(F.col("lo"), every)["start"]
-    grid = (
-        inside.select(*by).distinct().withColumn("lo", lo)
-        .withColumn("first", first)
-        .select(*by, F.explode(F.sequence("first", hi - F.expr("INTERVAL 1 microsecond"),
-                                          interval(every))).alias("bucket"))
-        .withColumn("value", F.lit(0.0))
+    sums = (
+        in_range(points, start, stop)
+        .groupBy(F.window("time", every).alias("span"), *by)
+        .agg(F.sum(F.col(value).cast("double")).alias("value"))
+        .select(F.col("span.start").alias("bucket"), *by, "value")
+        .withColumn("first", F.window(lo, every)["start"])
+        .withColumn("last", F.window(hi - F.expr("INTERVAL 1 microsecond"), every)["start"])
     )
-    ends = F.least(F.col("bucket") + interval(every), hi)
-    return (
-        cells.unionByName(grid).groupBy(*by, "bucket").agg(F.sum("value").alias("value"))
-        .select(ends.alias("time"), *by, "value")
+    filled = fill_grid(sums, by, "bucket", "value", F.col("first"), F.col("last"), every)
+    return filled.select(
+        F.least(F.col("bucket") + interval(every), hi).alias("time"), *by,
+        F.coalesce("value", F.lit(0.0)).alias("value"),
     )
 
 
