@@ -67,14 +67,16 @@ class HoldTracker(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         if not self.progress.exists():
             return
-        _, last, every, missing = self.progress.get()
-        if expiredTimerInfo.getExpiryTimeInMs() < last + every:
-            return
-        yield self._row(key, last + every, None, NO_DATA)
-        if missing + 1 >= self.patience:
+        began, last, every, missing = self.progress.get()
+        now = timerValues.getCurrentWatermarkInMs()
+        # One timer may stand for several evaluations that the watermark has passed.
+        while missing < self.patience and last + every <= now:
+            began, last, missing = None, last + every, missing + 1
+            yield self._row(key, last, None, NO_DATA)
+        if missing >= self.patience:
             self.progress.clear()
         else:
-            self._remember(None, last + every, every, missing + 1)
+            self._remember(began, last, every, missing)
 
     def close(self) -> None:
         pass
