@@ -501,6 +501,11 @@ def anomaly_high_score(logs: Logs) -> DataFrame:
     return reports.high_scores(logs.anomaly())
 
 
+@query
+def top_scan_ips(logs: Logs) -> DataFrame:
+    return reports.top_anomalous_clients(logs.anomaly(), "scan")
+
+
 # Error reports
 
 

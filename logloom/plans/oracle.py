@@ -403,6 +403,9 @@ FINAL: dict[str, tuple[tuple[str, ...], str]] = {
         GROUP BY hostname, score"""),
     "anomaly_high_score": (("anom",), """
         SELECT time, env, hostname, kind, ip, score FROM anom WHERE score > 0.7"""),
+    "top_scan_ips": (("anom",), """
+        SELECT ip, max(score) AS score, count(*) AS windows FROM anom WHERE kind = 'scan'
+        GROUP BY ip ORDER BY score DESC, windows DESC, ip LIMIT 10"""),
     "error_trend_filled": (("errp",), f"""
         SELECT grid.b + INTERVAL '5 minutes' AS time, grid.env, grid.level,
           concat(grid.hostname, ' / ', grid.message_class) AS series,

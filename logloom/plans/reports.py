@@ -150,6 +150,14 @@ def high_scores(anomaly: DataFrame, above: float = 0.7) -> DataFrame:
     )
 
 
+def top_anomalous_clients(anomaly: DataFrame, kind: str = "scan", k: int = 10) -> DataFrame:
+    """Clients with the highest score of one kind, and in how many windows they appear."""
+    best = anomaly.where((F.col("kind") == kind) & (F.col("ip") != "")).groupBy("ip").agg(
+        F.max("score").alias("score"), F.count(F.lit(1)).alias("windows")
+    )
+    return ts.top_k(best, k, [F.desc("score"), F.desc("windows"), "ip"])
+
+
 # Error events
 
 

@@ -31,13 +31,29 @@ def read_versions(spark: SparkSession, root: str, m: Measurement) -> DataFrame:
     return spark.read.parquet(table_path(root, m))
 
 
-def read_points(spark: SparkSession, root: str, m: Measurement, start: str,
-                stop: str) -> DataFrame:
-    """Current points with start <= time < stop; other dates are not opened."""
+def read_points(spark: SparkSession, root: str, m: Measurement, start: str, stop: str,
+                unique: bool = False) -> DataFrame:
+    """Current points with start <= time < stop; other dates are not opened.
+
+    ``unique`` skips the merge of versions, for tables that hold one version a point
+    (compacted, or written once in append mode): the read then needs no shuffle.
+    """
     versions = in_range(read_versions(spark, root, m), start, stop)
+    if unique:
+        return versions.select(*m.key, *m.fields)
     return latest_wins(versions, m.key, m.fields)
 
 
+def stream_points(spark: SparkSession, root: str, m: Measurement,
+                  files_per_trigger: int | None = None) -> DataFrame:
+    """New points of a table as they are written, for the alert job."""
+    schema = read_versions(spark, root, m).schema
+    reader = spark.readStream.schema(schema)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.parquet(table_path(root, m)).select(*m.key, *m.fields)
+
+
 def compact(spark: SparkSession, root: str, target: str, m: Measurement) -> None:
     """Rewrite a table elsewhere with one version a point and few files a date."""
     current = latest_wins(read_versions(spark, root, m), m.key, m.fields)

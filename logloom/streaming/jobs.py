@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from logloom.config import Settings
 from logloom.operators import rollups
 from logloom.operators.access import read_access
+from logloom.operators.alerts import RULES, SIGNAL_TABLE, Clock, Rule
 from logloom.operators.anomalies import anomalies
 from logloom.operators.errors import error_json, read_errors
 from logloom.operators.points import (
@@ -19,25 +20,37 @@ from logloom.operators.points import (
     TOP_URLS,
     Measurement,
     clean_tags,
+    to_points,
 )
 from logloom.session import build_session, checkpoint_root
 from logloom.sources.logs import access_topic, error_topic, open_stream
+from logloom.sources.metric_store import append_points, stream_points
+from logloom.streaming.alerts import alert_stream
 from logloom.streaming.sinks import BatchWriter, store_writer, to_console
 
 SinkFor = Callable[[Measurement], BatchWriter]
 
 
+def access_rollups(access: DataFrame, settings: Settings,
+                   rsd: float | None) -> dict[Measurement, DataFrame]:
+    """The three access measurements of normalized rows."""
+    window, watermark = settings.window, settings.watermark
+    return {
+        HTTP_STATS: rollups.http_stats(access, window, watermark),
+        TOP_URLS: rollups.top_urls(access, window, watermark),
+        ANOMALY: anomalies(access, settings.thresholds, window, watermark, rsd),
+    }
+
+
 def access_metrics(raw: DataFrame, settings: Settings,
                    exact_paths: bool = False) -> dict[Measurement, DataFrame]:
-    """The three access measurements of raw JSON lines."""
+    """The three access measurements of raw JSON lines.
+
+    Streams count a client's paths by sketch unless ``exact_paths`` (append mode) is set.
+    """
     access = clean_tags(read_access(raw), ["hostname", "method", "path"])
     rsd = None if exact_paths or not access.isStreaming else 0.05
-    return {
-        HTTP_STATS: rollups.http_stats(access, settings.window, settings.watermark),
-        TOP_URLS: rollups.top_urls(access, settings.window, settings.watermark),
-        ANOMALY: anomalies(access, settings.thresholds, settings.window, settings.watermark,
-                           rsd),
-    }
+    return access_rollups(access, settings, rsd)
 
 
 def error_rows(raw: DataFrame, zone: str | None = None) -> DataFrame:
@@ -68,6 +81,50 @@ def start_metrics(metrics: Mapping[Measurement, DataFrame], sink: SinkFor, check
     return queries
 
 
+def backfill_access(raw: DataFrame, staging: str, store: str, settings: Settings) -> None:
+    """Metric tables of a bounded log archive.
+
+    The text is parsed once into a columnar table on shared storage. The three metrics then
+    read only their columns of it, and a lost executor costs a re-read, not a re-parse.
+    """
+    access = clean_tags(read_access(raw), ["hostname", "method", "path"])
+    access.write.mode("errorifexists").parquet(staging)
+    staged = raw.sparkSession.read.parquet(staging)
+    for m, frame in access_rollups(staged, settings, None).items():
+        append_points(to_points(frame, m, settings.env), store, m)
+
+
+def backfill_errors(raw: DataFrame, store: str, settings: Settings,
+                    zone: str | None = None) -> None:
+    """Error points of a bounded archive; the one metric needs no staging."""
+    for m, frame in error_metrics(raw, settings, zone).items():
+        append_points(to_points(frame, m, settings.env), store, m)
+
+
+def start_alerts(spark: SparkSession, store: str, target: str, checkpoints: str,
+                 rules: Sequence[Rule] = RULES, clock: Clock = Clock(),
+                 watermark: str = "2 minutes", **trigger) -> list[StreamingQuery]:
+    """Alert states of new points, appended as Parquet; one query per watched table.
+
+    Tables have queries of their own because one query has one watermark: a quiet anomaly
+    table must not hold back the rules on URLs.
+    """
+    queries = []
+    for m in (ANOMALY, TOP_URLS):
+        watching = [r for r in rules if SIGNAL_TABLE[r.signal] == m.name]
+        if not watching:
+            continue
+        points = {m.name: stream_points(spark, store, m)}
+        writer = (
+            alert_stream(points, watching, clock, watermark).writeStream
+            .queryName(f"alerts_{m.name}").outputMode("append").format("parquet")
+            .option("path", f"{target.rstrip('/')}/{m.name}")
+            .option("checkpointLocation", f"{checkpoints}/alerts_{m.name}")
+        )
+        queries.append((writer.trigger(**trigger) if trigger else writer).start())
+    return queries
+
+
 def run_access(store: str, settings: Settings | None = None, mode: str = "update") -> None:
     """Topic to metric tables, until a query stops or fails."""
     settings = settings or Settings.from_env()
