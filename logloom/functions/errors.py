@@ -56,23 +56,30 @@ def message_class(message: Column) -> Column:
     return F.coalesce(*hits, F.lit(OTHER_CLASS))
 
 
-def packed_fields(line: Column) -> Column:
+def split_fields(line: Column) -> Column:
     """All ten fields of a line by one regex pass, as an array.
 
-    The rewrite joins the groups by a control character and ``split`` takes them
-    apart, so the pattern runs once a line rather than once a field. Lines that do
-    not match, or that carry the control character themselves, give null.
+    The rewrite joins the groups by a control character and ``split`` takes them apart, so
+    the pattern runs once a line rather than once a field. Other sizes than ten come from
+    lines that do not match.
     """
     groups = _SEPARATOR.join(f"${i + 1}" for i in range(len(FIELD_NAMES)))
-    parts = F.split(F.regexp_replace(line, FIELD_PATTERN, groups), _SEPARATOR, -1)
-    clean = ~F.contains(line, F.lit(_SEPARATOR))
-    return F.when(clean & (F.size(parts) == len(FIELD_NAMES)), parts)
+    return F.split(F.regexp_replace(line, FIELD_PATTERN, groups), _SEPARATOR, -1)
+
+
+def packed_fields(line: Column, parts: Column) -> Column:
+    """The array, or null for lines it cannot be trusted for: those that do not match or
+    carry the control character themselves."""
+    usable = (F.size(parts) == len(FIELD_NAMES)) & ~F.contains(line, F.lit(_SEPARATOR))
+    return F.when(usable, parts)
 
 
 def field(line: Column, packed: Column, name: str) -> Column:
-    """One field: from the packed array, or by its own regex for unusual lines."""
+    """One field: from the packed array; empty for lines that do not match; and by a regex
+    of its own for the odd line that carries the control character."""
     i = FIELD_NAMES.index(name)
-    return F.when(packed.isNotNull(), packed[i]).otherwise(
-        F.regexp_extract(line, FIELD_PATTERN, i + 1)
+    return (
+        F.when(packed.isNotNull(), packed[i])
+        .when(~F.contains(line, F.lit(_SEPARATOR)), "")
+        .otherwise(F.regexp_extract(line, FIELD_PATTERN, i + 1))
     )
-

@@ -13,6 +13,7 @@ from logloom.functions.errors import (
     line_timestamp,
     message_class,
     packed_fields,
+    split_fields,
 )
 from logloom.functions.rows import parsed_once
 
@@ -54,9 +55,8 @@ def error_json(errors: DataFrame) -> DataFrame:
 def split_error_lines(lines: DataFrame, line: str = "line",
                       zone: str | None = None) -> DataFrame:
     """The documented full split of a line, with ``event_time`` and numeric ``cid``."""
-    packed = lines.select(
-        F.col(line).alias("line"), packed_fields(F.col(line)).alias("packed")
-    )
+    parts = lines.select(F.col(line).alias("line"), split_fields(F.col(line)).alias("parts"))
+    packed = parts.select("line", packed_fields(F.col("line"), F.col("parts")).alias("packed"))
     fields = [field(F.col("line"), F.col("packed"), n).alias(n) for n in FIELD_NAMES]
     return (
         packed.select("line", parsed_once(F.struct(*fields)))
