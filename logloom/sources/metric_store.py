@@ -15,17 +15,35 @@ def table_path(root: str, m: Measurement) -> str:
     return f"{root.rstrip('/')}/{m.name}"
 
 
-def append_points(points: DataFrame, root: str, m: Measurement, batch_id: int = 0,
-                  files: int | None = None) -> None:
-    """Write points from the executors. ``batch_id`` orders rewrites of a point."""
-    rows = points.withColumns({
+def dated(points: DataFrame, batch_id: int) -> DataFrame:
+    return points.withColumns({
         "batch_id": F.lit(batch_id).cast("bigint"), "date": F.to_date("time"),
     })
+
+
+def append_points(points: DataFrame, root: str, m: Measurement, batch_id: int = 0,
+                  files: int | None = None) -> None:
+    """Write the points of a micro-batch. ``batch_id`` orders rewrites of a point.
+
+    ``files`` spreads the rows over that many writers; a micro-batch otherwise leaves one
+    file per date and shuffle partition.
+    """
+    rows = dated(points, batch_id)
     if files:
         rows = rows.repartition(files)
     rows.write.mode("append").partitionBy("date").parquet(table_path(root, m))
 
 
+def append_history(points: DataFrame, root: str, m: Measurement, batch_id: int = 0) -> None:
+    """Write the points of a long range: few files a date, a large date by many writers.
+
+    Without the hint every task would write a file for every date. Adaptive execution
+    splits what the hint gathers, so a date that holds most points is not one task's work.
+    """
+    rows = dated(points, batch_id).hint("rebalance", "date")
+    rows.write.mode("append").partitionBy("date").parquet(table_path(root, m))
+
+
 def read_versions(spark: SparkSession, root: str, m: Measurement) -> DataFrame:
     """Every written version of every point."""
     return spark.read.parquet(table_path(root, m))
@@ -56,12 +74,7 @@ def stream_points(spark: SparkSession, root: str, m: Measurement,
 
 def compact(spark: SparkSession, root: str, target: str, m: Measurement) -> None:
     """Rewrite a table elsewhere with one version a point and few files a date."""
-    current = latest_wins(read_versions(spark, root, m), m.key, m.fields)
-    rows = current.withColumns({"batch_id": F.lit(0).cast("bigint"), "date": F.to_date("time")})
-    # The hint lets adaptive execution split a large date and merge small ones.
-    rows.hint("rebalance", "date").write.mode("errorifexists").partitionBy("date").parquet(
-        table_path(target, m)
-    )
+    append_history(latest_wins(read_versions(spark, root, m), m.key, m.fields), target, m)
 
 
 def measurements(tables: Sequence[tuple[Measurement, DataFrame]]) -> DataFrame:

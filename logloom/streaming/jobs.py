@@ -24,7 +24,7 @@ from logloom.operators.points import (
 )
 from logloom.session import build_session, checkpoint_root
 from logloom.sources.logs import access_topic, error_topic, open_stream
-from logloom.sources.metric_store import append_points, stream_points
+from logloom.sources.metric_store import append_history, stream_points
 from logloom.streaming.alerts import alert_stream
 from logloom.streaming.sinks import BatchWriter, store_writer, to_console
 
@@ -91,14 +91,14 @@ def backfill_access(raw: DataFrame, staging: str, store: str, settings: Settings
     access.write.mode("errorifexists").parquet(staging)
     staged = raw.sparkSession.read.parquet(staging)
     for m, frame in access_rollups(staged, settings, None).items():
-        append_points(to_points(frame, m, settings.env), store, m)
+        append_history(to_points(frame, m, settings.env), store, m)
 
 
 def backfill_errors(raw: DataFrame, store: str, settings: Settings,
                     zone: str | None = None) -> None:
     """Error points of a bounded archive; the one metric needs no staging."""
     for m, frame in error_metrics(raw, settings, zone).items():
-        append_points(to_points(frame, m, settings.env), store, m)
+        append_history(to_points(frame, m, settings.env), store, m)
 
 
 def start_alerts(spark: SparkSession, store: str, target: str, checkpoints: str,
