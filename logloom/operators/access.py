@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,15 +25,20 @@ ACCESS_FIELDS = {
 ACCESS_SCHEMA = ", ".join(f"{name} {kind}" for name, kind in ACCESS_FIELDS.items())
 
 
-def decode_access(raw: DataFrame, value: str = "value") -> DataFrame:
-    """JSON text to the record's columns; bad JSON is one all-null row."""
-    return raw.select(parsed_once(F.from_json(F.col(value).cast("string"), ACCESS_SCHEMA)))
+def decode_access(raw: DataFrame, value: str = "value", keep: Sequence[str] = ()) -> DataFrame:
+    """JSON text to the record's columns; bad JSON is one all-null row.
+
+    ``keep`` carries envelope columns along.
+    """
+    record = parsed_once(F.from_json(F.col(value).cast("string"), ACCESS_SCHEMA))
+    return raw.select(*keep, record)
 
 
-def normalize_access(records: DataFrame) -> DataFrame:
+def normalize_access(records: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Typed access rows with event time and status class."""
     typed = {name: F.col(name).try_cast(kind) for name, kind in ACCESS_FIELDS.items()}
     return records.select(
+        *keep,
         event_time(typed["time"], typed["ts"]).alias("event_time"),
         *[typed[c].alias(c) for c in ("hostname", "method", "path", "status")],
         status_class(typed["status"]).alias("status_class"),
@@ -39,8 +46,8 @@ def normalize_access(records: DataFrame) -> DataFrame:
     )
 
 
-def read_access(raw: DataFrame, value: str = "value") -> DataFrame:
-    return normalize_access(decode_access(raw, value))
+def read_access(raw: DataFrame, value: str = "value", keep: Sequence[str] = ()) -> DataFrame:
+    return normalize_access(decode_access(raw, value, keep), keep)
 
 
 def undated(rows: DataFrame, time: str = "event_time") -> DataFrame:

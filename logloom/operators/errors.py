@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,14 +25,17 @@ def zoned(time: Column, zone: str | None) -> Column:
     return F.to_utc_timestamp(time, zone) if zone else time
 
 
-def parse_error_lines(lines: DataFrame, line: str = "line") -> DataFrame:
-    """The four text parts of each line."""
+def parse_error_lines(lines: DataFrame, line: str = "line",
+                      keep: Sequence[str] = ()) -> DataFrame:
+    """The four text parts of each line. ``keep`` carries envelope columns along."""
     parts = [line_part(F.col(line), name).alias(name) for name in LINE_PATTERNS]
-    return lines.select(parsed_once(F.struct(*parts)))
+    return lines.select(*keep, parsed_once(F.struct(*parts)))
 
 
-def normalize_errors(parts: DataFrame, zone: str | None = None) -> DataFrame:
+def normalize_errors(parts: DataFrame, zone: str | None = None,
+                     keep: Sequence[str] = ()) -> DataFrame:
     return parts.select(
+        *keep,
         "hostname",
         zoned(line_timestamp(F.col("time")), zone).alias("event_time"),
         "level",
@@ -42,8 +47,10 @@ def classify_errors(errors: DataFrame) -> DataFrame:
     return errors.withColumn("message_class", message_class(F.col("message")))
 
 
-def read_errors(lines: DataFrame, line: str = "line", zone: str | None = None) -> DataFrame:
-    return classify_errors(normalize_errors(parse_error_lines(lines, line), zone))
+def read_errors(lines: DataFrame, line: str = "line", zone: str | None = None,
+                keep: Sequence[str] = ()) -> DataFrame:
+    parts = parse_error_lines(lines, line, keep)
+    return classify_errors(normalize_errors(parts, zone, keep))
 
 
 def error_json(errors: DataFrame) -> DataFrame:

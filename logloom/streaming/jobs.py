@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from logloom.config import Settings
 from logloom.operators import rollups
-from logloom.operators.access import read_access
+from logloom.operators.access import read_access, undated
 from logloom.operators.alerts import RULES, SIGNAL_TABLE, Clock, Rule
 from logloom.operators.anomalies import anomalies
 from logloom.operators.errors import error_json, read_errors
@@ -23,10 +23,17 @@ from logloom.operators.points import (
     to_points,
 )
 from logloom.session import build_session, checkpoint_root
-from logloom.sources.logs import access_topic, error_topic, open_stream
+from logloom.sources.logs import (
+    ACCESS,
+    ERROR,
+    access_topic,
+    error_topic,
+    open_stream,
+    override_host,
+)
 from logloom.sources.metric_store import append_history, stream_points
 from logloom.streaming.alerts import alert_stream
-from logloom.streaming.sinks import BatchWriter, store_writer, to_console
+from logloom.streaming.sinks import BatchWriter, sample_writer, store_writer, to_console
 
 SinkFor = Callable[[Measurement], BatchWriter]
 
@@ -42,27 +49,61 @@ def access_rollups(access: DataFrame, settings: Settings,
     }
 
 
-def access_metrics(raw: DataFrame, settings: Settings,
-                   exact_paths: bool = False) -> dict[Measurement, DataFrame]:
+def access_rows(raw: DataFrame, override: bool = False) -> DataFrame:
+    """Normalized access rows with clean tags; ``override`` prefers the envelope's host."""
+    rows = override_host(read_access(raw, keep=["host"])) if override else read_access(raw)
+    return clean_tags(rows, ["hostname", "method", "path"])
+
+
+def access_metrics(raw: DataFrame, settings: Settings, exact_paths: bool = False,
+                   override: bool = False) -> dict[Measurement, DataFrame]:
     """The three access measurements of raw JSON lines.
 
     Streams count a client's paths by sketch unless ``exact_paths`` (append mode) is set.
     """
-    access = clean_tags(read_access(raw), ["hostname", "method", "path"])
+    access = access_rows(raw, override)
     rsd = None if exact_paths or not access.isStreaming else 0.05
     return access_rollups(access, settings, rsd)
 
 
-def error_rows(raw: DataFrame, zone: str | None = None) -> DataFrame:
+def error_rows(raw: DataFrame, zone: str | None = None, override: bool = False) -> DataFrame:
+    if override:
+        return override_host(read_errors(raw, "value", zone, keep=["host"]))
     return read_errors(raw, "value", zone)
 
 
-def error_metrics(raw: DataFrame, settings: Settings,
-                  zone: str | None = None) -> dict[Measurement, DataFrame]:
-    errors = clean_tags(error_rows(raw, zone), ["hostname", "level"])
+def error_metrics(raw: DataFrame, settings: Settings, zone: str | None = None,
+                  override: bool = False) -> dict[Measurement, DataFrame]:
+    errors = clean_tags(error_rows(raw, zone, override), ["hostname", "level"])
     return {ERROR_EVENTS: rollups.error_events(errors, settings.window, settings.watermark)}
 
 
+def dead_letters(raw: DataFrame, log_type: str = ACCESS) -> DataFrame:
+    """Raw lines without a readable time, which no metric can count."""
+    read = read_errors if log_type == ERROR else read_access
+    return undated(read(raw, "value", keep=["value"])).select("value")
+
+
+def start_dead_letters(raw: DataFrame, log_type: str, path: str, checkpoints: str,
+                       **trigger) -> StreamingQuery:
+    writer = (
+        dead_letters(raw, log_type).writeStream.queryName(f"dead_{log_type}").format("text")
+        .option("path", path).option("checkpointLocation", f"{checkpoints}/dead_{log_type}")
+    )
+    return (writer.trigger(**trigger) if trigger else writer).start()
+
+
+def start_error_samples(raw: DataFrame, settings: Settings, path: str, checkpoints: str,
+                        zone: str | None = None, **trigger) -> StreamingQuery:
+    """A few raw rows for each kind of error, to look at next to the counts."""
+    writer = (
+        error_rows(raw, zone).writeStream.queryName("error_samples")
+        .foreachBatch(sample_writer(path, settings.error_samples, settings.window))
+        .option("checkpointLocation", f"{checkpoints}/error_samples")
+    )
+    return (writer.trigger(**trigger) if trigger else writer).start()
+
+
 def start_metrics(metrics: Mapping[Measurement, DataFrame], sink: SinkFor, checkpoints: str,
                   mode: str = "update", **trigger) -> list[StreamingQuery]:
     """One query a measurement, each with a checkpoint of its own.
@@ -87,7 +128,7 @@ def backfill_access(raw: DataFrame, staging: str, store: str, settings: Settings
     The text is parsed once into a columnar table on shared storage. The three metrics then
     read only their columns of it, and a lost executor costs a re-read, not a re-parse.
     """
-    access = clean_tags(read_access(raw), ["hostname", "method", "path"])
+    access = access_rows(raw)
     access.write.mode("errorifexists").parquet(staging)
     staged = raw.sparkSession.read.parquet(staging)
     for m, frame in access_rollups(staged, settings, None).items():

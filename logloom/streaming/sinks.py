@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
+from logloom.config import DEFAULT_WINDOW
 from logloom.operators.points import Measurement, clean_tags, to_lines, to_points
+from logloom.plans.reports import error_samples
 from logloom.sources.metric_store import append_points
 
 BatchWriter = Callable[[DataFrame, int], None]
@@ -81,6 +83,14 @@ def remote_writer(m: Measurement, send: Callable[[bytes], None], env: str = "dev
     return write
 
 
+def sample_writer(path: str, k: int = 5, window: str = DEFAULT_WINDOW) -> BatchWriter:
+    """A few raw error rows per window and key of each micro-batch, as Parquet."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        error_samples(batch, k, window).write.mode("append").parquet(path)
+
+    return write
+
+
 def keyed_messages(events: DataFrame) -> DataFrame:
     """Messages keyed by host, so that one server's lines stay in order."""
     return events.select(F.col("host").cast("string").alias("key"),

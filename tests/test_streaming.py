@@ -267,3 +267,33 @@ def test_alert_stream_reports_silence(spark, tmp_path):
     got = run(alerts.alert_stream({"anomaly": points}, rule), tmp_path, "silence")
     mine = sorted((r.evaluated.minute, r.state) for r in got.where("series = 'web1'").collect())
     assert mine == [(5, "Pending"), (10, "Firing"), (15, "NoData"), (20, "NoData")]
+
+
+def test_host_of_the_envelope_wins(spark, tmp_path):
+    folder = tmp_path / "logs" / "web7"
+    put(folder, "access.json.log", [request(at(1), host="inner")])
+    put(folder, "error.log", [NO_SERVER])
+    raw = logs.open_batch(spark, LogSource("text", str(tmp_path / "logs" / "*")))
+    routed = logs.route(raw)
+    access = jobs.access_metrics(routed["access"], SETTINGS, override=True)[HTTP_STATS]
+    errors = jobs.error_metrics(routed["error"], SETTINGS, override=True)[ERROR_EVENTS]
+    assert access.first().hostname == errors.first().hostname == "web7"
+    plain = jobs.error_metrics(routed["error"], SETTINGS)[ERROR_EVENTS]
+    assert plain.first().hostname == "localhost:8081"
+
+
+def test_dead_letters_and_samples(spark, tmp_path):
+    put(tmp_path / "logs" / "web1", "access.json.log", [request(at(1)), "junk", "{}"])
+    put(tmp_path / "errs" / "web1", "error.log", [REFUSED] * 9 + [NO_SERVER, "?"])
+    checkpoints, out = str(tmp_path / "ckpt"), tmp_path / "out"
+    access, errors = (stream(spark, tmp_path / d / "*") for d in ("logs", "errs"))
+    drain([
+        jobs.start_dead_letters(access, "access", str(out / "a"), checkpoints, **ONCE),
+        jobs.start_dead_letters(errors, "error", str(out / "e"), checkpoints, **ONCE),
+        jobs.start_error_samples(errors, Settings(), str(out / "s"), checkpoints, **ONCE),
+    ])
+    assert {r.value for r in spark.read.text(str(out / "a")).collect()} == {"junk", "{}"}
+    assert [r.value for r in spark.read.text(str(out / "e")).collect()] == ["?"]
+    samples = spark.read.parquet(str(out / "s"))
+    assert {r.hostname: r["count"] for r in samples.groupBy("hostname").count().collect()} == {
+        "web1": 5, "localhost:8081": 1}
