@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,23 +71,23 @@ class Logs:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    @property
+    @cached_property
     def events(self) -> DataFrame:
         return self.table("events")
 
-    @property
+    @cached_property
     def access(self) -> DataFrame:
         return eventlog.access_rows(self.events)
 
-    @property
+    @cached_property
     def lines(self) -> DataFrame:
         return eventlog.error_lines(self.events)
 
-    @property
+    @cached_property
     def errors(self) -> DataFrame:
         return read_errors(self.lines).withColumn("event_time", zoneless("event_time"))
 
-    @property
+    @cached_property
     def split(self) -> DataFrame:
         return split_error_lines(self.lines).withColumn("event_time", zoneless("event_time"))
 
