@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 # RocksDB keeps the state of wide keys (paths, client addresses) off the heap;
@@ -16,6 +20,9 @@ SESSION_CONF = {
 }
 
 
+_shipped: dict[str, str] = {}
+
+
 def build_session(app: str, master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
@@ -33,3 +40,17 @@ def checkpoint_root(spark: SparkSession, explicit: str | None = None) -> str:
             "no checkpoint folder: set spark.checkpoint.dir or Settings.checkpoint_root"
         )
     return root.rstrip("/")
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, whose Python workers may not find it on their path."""
+    context = spark.sparkContext
+    if _shipped.get("application") == context.applicationId:
+        return
+    package = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="logloom-package-")) / "logloom.zip"
+    with zipfile.ZipFile(target, "w") as archive:
+        for source in sorted(package.rglob("*.py")):
+            archive.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(target))
+    _shipped["application"] = context.applicationId
