@@ -384,6 +384,19 @@ def jaccard_components(docs: DataFrame, words: int = 3, percent: int = 90, lower
     )
 
 
+def one_of_each(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
+    """The documents with the smallest id of their component, with all their columns.
+
+    Rows that repeat such a document's id and text are one row; rows with a null id stay.
+    """
+    names = docs.columns
+    found = jaccard_components(docs, words, percent)
+    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
+    ids = F.col("doc_id").cast("long")
+    named = docs.join(kept, ids == kept["_kept"], "leftsemi").dropDuplicates(["doc_id", "text"])
+    return named.select(*names).unionByName(docs.where(ids.isNull()).select(*names))
+
+
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     return jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet"))

@@ -20,13 +20,10 @@ from __future__ import annotations
 import heapq
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
 from logloom.llm import common
-from logloom.session import ship_package
 
 #: Documents of a block.
 BLOCK = 8
@@ -84,20 +81,6 @@ def phases(blocks: dict[str, int], weights: dict[str, float], period: int = PERI
     return plan
 
 
-def _slots(plan, block):
-    def run(batches):
-        begins = {s: np.array([p[0] for p in x]) for s, x in plan.items()}
-        for batch in batches:
-            slot = []
-            for source, rank in zip(batch.column("_source").to_pylist(), batch.column("_rank").to_pylist()):
-                at = rank // block
-                first, base, share, length, table = plan[source][int(np.searchsorted(begins[source], at, "right")) - 1]
-                turns, place = divmod(at - first, share)
-                slot.append(base + turns * length + table[place])
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(slot, pa.int64())], [*batch.schema.names, "_slot"])
-    return run
-
-
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, block: int = BLOCK, period: int = PERIOD) -> DataFrame:
     """docs(doc_id, source, ...) with slot and position; order by position to read the mix.
 
@@ -113,14 +96,21 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, block: int = B
     wanted = {s: (weights or {}).get(s[2:], 0) or n ** 0.5 for s, n in counts.items()}
     plan = phases({s: -(-n // block) for s, n in counts.items()}, wanted, period)
     placed = common.ranked(keyed, ["_source"], ["_order", "_id"], "_rank").select("_row", "_source", "_rank")
-    return (
-        placed.mapInArrow(_slots(plan, block), StructType([*placed.schema.fields, StructField("_slot", LongType())]))
-        .select("_row.*", F.col("_slot").alias("slot"),
-                (F.col("_slot") * block + F.col("_rank") % block).alias("position"))
-    )
+    turns = [
+        (source, first, following[0] if following else 1 << 62, base, share, length, table)
+        for source, rows in plan.items()
+        for (first, base, share, length, table), following in zip(rows, [*rows[1:], None])
+    ]
+    # A phase has at most max(period, 4 * sources) slots, and there are no more phases than sources.
+    steps = docs.sparkSession.createDataFrame(
+        turns, "_source string, _first long, _end long, _base long, _share long, _length long, _table array<long>")
+    at, turn = F.floor(F.col("_rank") / block), F.col("_at") - F.col("_first")
+    slot = F.col("_base") + F.floor(turn / F.col("_share")) * F.col("_length") + F.element_at("_table", (turn % F.col("_share") + 1).cast("int"))
+    placed = placed.withColumn("_at", at)
+    found = placed.join(F.broadcast(steps), (placed["_source"] == steps["_source"]) & (F.col("_at") >= F.col("_first")) & (F.col("_at") < F.col("_end")))
+    return found.select("_row.*", slot.alias("slot"), (slot * block + F.col("_rank") % block).alias("position"))
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ship_package(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source")
     return mix(docs)

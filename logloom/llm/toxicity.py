@@ -19,12 +19,14 @@ an empty result.
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from logloom.llm import common
 from logloom.session import ship_package
@@ -167,19 +169,25 @@ def _features(text: str, signs: np.ndarray, doubled: int, look: _Words) -> list[
             signs[2] / size, signs[3] / size, (signs[4] + signs[5]) / size, inner / per, math.log1p(plain), math.log1p(n)]
 
 
+def _feature_lists(texts: pa.Array, look: _Words) -> list[list[float]]:
+    rows = []
+    for text in texts.to_pylist():
+        text = text or ""
+        kinds = _KIND[np.frombuffer(text.encode(), np.uint8)]
+        capital = kinds == 1
+        rows.append(_features(text, np.bincount(kinds, minlength=7), int((capital[1:] & capital[:-1]).sum()), look))
+    return rows
+
+
 def _feature_rows(lexicon: dict[str, float]):
     def run(batches):
         look = _Words(lexicon)
         for batch in batches:
             for part in common.text_slices(batch):
-                rows = []
-                for text in part.column("text").to_pylist():
-                    text = text or ""
-                    kinds = _KIND[np.frombuffer(text.encode(), np.uint8)]
-                    capital = kinds == 1
-                    rows.append(_features(text, np.bincount(kinds, minlength=7), int((capital[1:] & capital[:-1]).sum()), look))
+                rows = _feature_lists(part.column("text"), look)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(rows, pa.list_(pa.float64()))], ["doc_id", "features"])
+                    [part.column("doc_id"), part.column("toxic"), pa.array(rows, pa.list_(pa.float64()))],
+                    ["doc_id", "toxic", "features"])
     return run
 
 
@@ -275,19 +283,14 @@ class Model:
         return np.clip(0.999 * np.interp(margin, self.at, self.share) + 0.001 / (1 + np.exp(-margin)), 0, 1)
 
 
-def _score_rows(shared):
-    def run(batches):
-        model = shared.value
-        for batch in batches:
-            flat = batch.column("features").flatten().to_numpy().reshape(-1, FEATURES)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(model.score(flat))], ["doc_id", "score"])
-    return run
+class Fitted:
+    """A lexicon and a model: all that scoring needs."""
 
+    def __init__(self, lexicon: dict[str, float], model: Model):
+        self.lexicon, self.model = lexicon, model
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> DataFrame:
-    """docs(doc_id, text) and labels(doc_id, toxic) as (doc_id, held_out, score, predicted)."""
-    spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+
+def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> Fitted:
     known = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
         .where("doc_id is not null and toxic in (0, 1)").where(~held_out("doc_id"))
@@ -295,13 +298,49 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED)
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(labelled)
     )
     known = common.cut(known)  # at most `labelled` rows: small enough to broadcast
-    sample = docs.join(F.broadcast(known), "doc_id")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    sample = common.cut(texts.join(F.broadcast(known), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(labelled))
     lexicon = learn_lexicon(sample)
-    features = common.cut(docs.mapInArrow(_feature_rows(lexicon), "doc_id long, features array<double>"))
-    rows = features.join(F.broadcast(known), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(labelled).collect()
-    model = Model(np.array([r["features"] for r in rows], float).reshape(-1, FEATURES), np.array([r["toxic"] for r in rows], float))
-    scored = features.mapInArrow(_score_rows(spark.sparkContext.broadcast(model)), "doc_id long, score double")
-    return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    rows = sample.mapInArrow(_feature_rows(lexicon), "doc_id long, toxic int, features array<double>").collect()
+    rows.sort(key=lambda r: (zlib.crc32(str(r["doc_id"]).encode()), r["doc_id"], r["features"]))
+    x = np.array([r["features"] for r in rows], float).reshape(-1, FEATURES)
+    return Fitted(lexicon, Model(x, np.array([r["toxic"] for r in rows], float)))
+
+
+def _score_rows(shared):
+    def run(batches):
+        fitted = shared.value
+        look = _Words(fitted.lexicon)
+        for batch in batches:
+            for part in common.text_slices(batch):
+                x = np.array(_feature_lists(part.column("text"), look), float).reshape(-1, FEATURES)
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(fitted.model.score(x))], [*part.schema.names, "_score"])
+    return run
+
+
+def scored(docs: DataFrame, fitted: Fitted) -> DataFrame:
+    """(_row, _score): every row of docs as a struct, and its score."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col("text"))
+    schema = StructType([*rows.schema.fields, StructField("_score", DoubleType())])
+    shared = docs.sparkSession.sparkContext.broadcast(fitted)
+    return rows.mapInArrow(_score_rows(shared), schema).select("_row", "_score")
+
+
+def score_toxicity(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> DataFrame:
+    """docs(doc_id, text) and labels(doc_id, toxic) as (doc_id, held_out, score, predicted)."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = docs.select("doc_id", "text")
+    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, labelled))
+    found = rows.mapInArrow(_score_rows(shared), "doc_id long, text string, _score double")
+    return found.select(
+        "doc_id", held_out("doc_id").alias("held_out"), F.col("_score").alias("score"),
+        (F.col("_score") >= 0.5).cast("int").alias("predicted"))
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> DataFrame:
+    """The rows of docs that are not predicted toxic, with all their columns."""
+    return scored(docs, fit(docs, labels, labelled)).where("_score < 0.5").select("_row.*")
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
