@@ -339,7 +339,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 
 def pack_documents(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = None) -> DataFrame:
-    return pack(token_pieces(docs, capacity, tokenizer), capacity)
+    # Ranking reads the pieces twice; the texts are tokenized once.
+    return pack(common.cut(token_pieces(docs, capacity, tokenizer)), capacity)
 
 
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
