@@ -37,7 +37,7 @@ from logloom.llm import common
 from logloom.session import ship_package
 
 #: Words of a k-mer.
-KMER = 16
+KMER = 12
 
 
 def _minimizers(words: np.ndarray, k: int, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -64,6 +64,21 @@ def _edges(chosen: np.ndarray, starts: int) -> tuple[np.ndarray, np.ndarray]:
     return opens, np.r_[opens[1:], starts]
 
 
+def _distinct(hashes: np.ndarray) -> np.ndarray:
+    """Places of the first of equal hashes: what a text repeats in itself is one row."""
+    return np.sort(np.unique(hashes, return_index=True)[1])
+
+
+def _all_equal(hashes: np.ndarray, places) -> np.ndarray:
+    """Whether each hash equals one of those at the places."""
+    return np.isin(hashes, hashes[np.asarray(places, np.int64)])
+
+
+def _settled(words: np.ndarray, opens: np.ndarray, closes: np.ndarray, window: int, settled) -> np.ndarray:
+    edges = common.hash_runs(words, opens, closes - 1 + window)
+    return _all_equal(edges, np.searchsorted(opens, np.asarray(settled, np.int64)))
+
+
 def _documents(batch: pa.RecordBatch):
     """(row, its word hashes) of every text."""
     for part in common.text_slices(batch):
@@ -88,7 +103,11 @@ def _graph(window: int, k: int):
                 anchors = np.unique(chosen)
                 opens, closes = _edges(chosen, starts)
                 ends = closes - 1 + window
-                one = np.r_[kmers[anchors], common.hash_runs(words, opens, ends)]
+                anchors = anchors[_distinct(kmers[anchors])]
+                edges = common.hash_runs(words, opens, ends)
+                first = _distinct(edges)
+                opens, ends = opens[first], ends[first]
+                one = np.r_[kmers[anchors], edges[first]]
                 two = np.r_[np.zeros(len(anchors), np.uint64), common.hash_runs(words, opens, ends, True)]
                 n = len(one)
                 out.append((np.r_[np.zeros(len(anchors), np.int8), np.ones(len(opens), np.int8)], one, two,
@@ -111,16 +130,17 @@ def _open_windows(window: int, k: int):
             out = []
             for row, words in _documents(batch):
                 starts = len(words) - window + 1
-                repeated = np.array(row.column("repeated")[0].as_py() or [], np.int64)
-                settled = np.array(row.column("settled")[0].as_py() or [], np.int64)
-                if starts < 1 or not len(repeated):
+                repeated = row.column("repeated")[0].as_py()
+                if starts < 1 or not repeated:
                     continue
-                _, chosen = _minimizers(words, k, window - k + 1)
+                kmers, chosen = _minimizers(words, k, window - k + 1)
                 opens, closes = _edges(chosen, starts)
-                done = np.repeat(np.isin(opens, settled), closes - opens)
-                at = np.flatnonzero(np.isin(chosen, repeated) & ~done)
-                n = len(at)
-                out.append((common.hash_runs(words, at, at + window), common.hash_runs(words, at, at + window, True),
+                done = np.repeat(_settled(words, opens, closes, window, row.column("settled")[0].as_py() or []), closes - opens)
+                at = np.flatnonzero(_all_equal(kmers, repeated)[chosen] & ~done)
+                hashes = common.hash_runs(words, at, at + window)
+                first = _distinct(hashes)
+                at, n = at[first], len(first)
+                out.append((hashes[first], common.hash_runs(words, at, at + window, True),
                             np.full(n, row.column("doc_id")[0].as_py(), np.int64),
                             np.full(n, row.column("row")[0].as_py(), np.int64), at.astype(np.int32)))
             if out:
@@ -147,14 +167,16 @@ def _removed(window: int, k: int):
                     n = len(words)
                     drop = np.zeros(n + 1, np.int32)
                     if n >= window and (settled or single):
+                        own = hashes[first[i] : first[i + 1]]
                         if settled:
-                            _, chosen = _minimizers(hashes[first[i] : first[i + 1]], k, window - k + 1)
+                            _, chosen = _minimizers(own, k, window - k + 1)
                             opens, closes = _edges(chosen, n - window + 1)
-                            hit = np.isin(opens, settled)
+                            hit = _settled(own, opens, closes, window, settled)
                             np.add.at(drop, opens[hit], 1)
                             np.add.at(drop, closes[hit] - 1 + window, -1)
                         if single:
-                            at = np.array(single, np.int64)
+                            starts = np.arange(n - window + 1)
+                            at = np.flatnonzero(_all_equal(common.hash_runs(own, starts, starts + window), single))
                             np.add.at(drop, at, 1)
                             np.add.at(drop, at + window, -1)
                         covered = np.cumsum(drop[:-1]) > 0
