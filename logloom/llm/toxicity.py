@@ -41,7 +41,7 @@ STEMS = (4, 5, 6)
 WEAK, STRONG = 1.5, 3.0
 #: Words around a second person.
 NEAR = 5
-TREES, DEPTH, RATE, BINS, LEAF = 80, 3, 0.15, 32, 10
+TREES, DEPTH, RATE, BINS, LEAF, FOLDS = 80, 3, 0.15, 32, 10, 4
 
 #: Words for a second person in the corpus languages.
 SECOND_PERSON = frozenset(
@@ -268,12 +268,13 @@ class Model:
     def __init__(self, x: np.ndarray, y: np.ndarray):
         self.trees, self.constant = None, float(y.mean()) if len(y) else 0.0
         if 0 < y.sum() < len(y):
-            spare = np.arange(len(y)) % 4 == 0
-            if not 0 < y[spare].sum() < spare.sum() or not 0 < y[~spare].sum() < (~spare).sum():
-                spare = np.zeros(len(y), bool)
-            self.trees = Trees(x[~spare], y[~spare])
-            used = spare if spare.any() else ~spare
-            self.at, self.share = isotonic(self.trees.margin(x[used]), y[used])
+            # Each row's margin for the calibration comes from trees that did not see the row.
+            fold, margin = np.arange(len(y)) % FOLDS, np.zeros(len(y))
+            for k in range(FOLDS):
+                if (fold == k).any() and (fold != k).any():
+                    margin[fold == k] = Trees(x[fold != k], y[fold != k]).margin(x[fold == k])
+            self.trees = Trees(x, y)
+            self.at, self.share = isotonic(margin, y)
 
     def score(self, x: np.ndarray) -> np.ndarray:
         if self.trees is None or not len(x):
