@@ -33,14 +33,3 @@ def is_error(status: Column) -> Column:
 
 def is_server_error(status: Column) -> Column:
     return status.between(500, 599)
-
-
-def mean_seconds(seconds: Column) -> Column:
-    """Mean of a seconds column at microsecond resolution.
-
-    Summing integers makes the mean independent of row order, so a recomputed
-    window (lost executor, replayed batch) gives the same bits. ``floor`` saturates
-    and ``try_sum`` turns an overflow into null, so a wild value cannot fail the job.
-    """
-    micros = F.floor(seconds * F.lit(1e6) + F.lit(0.5))
-    return F.try_divide(F.try_sum(micros), F.count(micros)) / F.lit(1e6)

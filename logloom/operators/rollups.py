@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logloom.config import DEFAULT_WATERMARK, DEFAULT_WINDOW
-from logloom.functions.access import is_error, mean_seconds
+from logloom.functions.access import is_error
 from logloom.functions.durations import seconds_in
 
 
@@ -38,7 +38,7 @@ def http_stats(access: DataFrame, window: str = DEFAULT_WINDOW,
         access, window, by,
         [
             F.count(F.lit(1)).alias("count"),
-            mean_seconds(F.col("rt")).alias("avg_rt"),
+            F.avg("rt").alias("avg_rt"),
             F.max("rt").alias("max_rt"),
             F.count_if(is_error(F.col("status"))).alias("err_count"),
         ],

@@ -96,8 +96,12 @@ def first_k_per_group(rows: DataFrame, k: int, group: Sequence[str],
 
 
 def with_share(rows: DataFrame, value: str, share: str = "share") -> DataFrame:
-    """Percent of the column's total; the total is a scalar, not a one-task window."""
-    total = rows.agg(F.sum(value)).scalar()
+    """Percent of the column's total, for report rows.
+
+    The rows are a report's groups, reduced before; one window over them spares a second
+    run of the input that a separate total would cost.
+    """
+    total = F.sum(value).over(Window.partitionBy(F.lit(0)))
     return rows.withColumn(share, F.try_divide(F.col(value) * F.lit(100.0), total))
 
 

@@ -60,6 +60,10 @@ RULES = tuple(
 )
 
 
+def _http_stats(rows: DataFrame, *args, **options) -> DataFrame:
+    return rounded(rollups.http_stats(rows, *args, **options), "avg_rt")
+
+
 class Logs:
     """The tables of one folder, seen as logs and as metric points."""
 
@@ -92,7 +96,7 @@ class Logs:
         return split_error_lines(self.lines).withColumn("event_time", zoneless("event_time"))
 
     def stats(self, window: str = "10 seconds") -> DataFrame:
-        return to_points(rollups.http_stats(self.access, window), HTTP_STATS)
+        return to_points(_http_stats(self.access, window), HTTP_STATS)
 
     def urls(self, window: str = "10 seconds") -> DataFrame:
         return to_points(rollups.top_urls(self.access, window), TOP_URLS)
@@ -229,26 +233,26 @@ def error_rows_json(logs: Logs) -> DataFrame:
 
 @query
 def http_stats(logs: Logs) -> DataFrame:
-    return rollups.http_stats(logs.access, "1 hour")
+    return _http_stats(logs.access, "1 hour")
 
 
 @query
 def http_stats_10s(logs: Logs) -> DataFrame:
-    return rollups.http_stats(logs.access)
+    return _http_stats(logs.access)
 
 
 @query
 def http_stats_from_json(logs: Logs) -> DataFrame:
     """The whole path: JSON text, decoding, normalizing, window."""
     rows = read_access(eventlog.access_json(logs.events))
-    stats = rollups.http_stats(rows, "1 hour")
+    stats = _http_stats(rows, "1 hour")
     return stats.withColumn("window_end", zoneless("window_end"))
 
 
 @query
 def http_stats_by_class(logs: Logs) -> DataFrame:
     rows = logs.access.withColumn("status_class", status_class(F.col("status")))
-    return rollups.http_stats(rows, "1 hour", by=("hostname", "method", "status_class"))
+    return _http_stats(rows, "1 hour", by=("hostname", "method", "status_class"))
 
 
 @query

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,38 +17,73 @@ def table_path(root: str, m: Measurement) -> str:
     return f"{root.rstrip('/')}/{m.name}"
 
 
-def dated(points: DataFrame, batch_id: int) -> DataFrame:
+def schema_of(m: Measurement) -> str:
+    """Columns of a table, for readers that start before its first point."""
+    tags = [f"{t} {'int' if t == 'status' else 'string'}" for t in m.tags]
+    whole = ("count", "window_s")
+    fields = [f"{f} {'bigint' if f in whole else 'double'}" for f in m.fields]
+    return ", ".join(["time timestamp", *tags, *fields, "generation bigint", "batch_id bigint", "date date"])
+
+
+def new_generation() -> int:
+    """A number greater than those of all earlier checkpoints and backfills."""
+    return time.time_ns() // 1_000_000
+
+
+def checkpoint_generation(spark: SparkSession, checkpoints: str) -> int:
+    """The generation kept beside a checkpoint; a new checkpoint gets a new one."""
+    path = f"{checkpoints.rstrip('/')}/generation"
+    try:
+        return int(spark.read.schema("generation bigint").parquet(path).first()[0])
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    generation = new_generation()
+    spark.range(1).select(F.lit(generation).alias("generation")).write.parquet(path)
+    return generation
+
+
+def dated(points: DataFrame, batch_id: int, generation: int = 0) -> DataFrame:
     return points.withColumns({
+        "generation": F.lit(generation).cast("bigint"),
         "batch_id": F.lit(batch_id).cast("bigint"), "date": F.to_date("time"),
     })
 
 
 def append_points(points: DataFrame, root: str, m: Measurement, batch_id: int = 0,
-                  files: int | None = None) -> None:
-    """Write the points of a micro-batch. ``batch_id`` orders rewrites of a point.
+                  files: int | None = None, generation: int = 0) -> None:
+    """Write the points of a micro-batch. Of a point's rewrites the newest generation's wins,
+    and in it the one with the highest ``batch_id``: batch numbers start again with a checkpoint.
 
     ``files`` spreads the rows over that many writers; a micro-batch otherwise leaves one
     file per date and shuffle partition.
     """
-    rows = dated(points, batch_id)
+    rows = dated(points, batch_id, generation)
     if files:
         rows = rows.repartition(files)
     rows.write.mode("append").partitionBy("date").parquet(table_path(root, m))
 
 
-def append_history(points: DataFrame, root: str, m: Measurement, batch_id: int = 0) -> None:
+def append_history(points: DataFrame, root: str, m: Measurement, batch_id: int = 0,
+                   generation: int = 0) -> None:
     """Write the points of a long range: few files a date, a large date by many writers.
 
     Without the hint every task would write a file for every date. Adaptive execution
     splits what the hint gathers, so a date that holds most points is not one task's work.
     """
-    rows = dated(points, batch_id).hint("rebalance", "date")
+    rows = dated(points, batch_id, generation).hint("rebalance", "date")
     rows.write.mode("append").partitionBy("date").parquet(table_path(root, m))
 
 
 def read_versions(spark: SparkSession, root: str, m: Measurement) -> DataFrame:
-    """Every written version of every point."""
-    return spark.read.parquet(table_path(root, m))
+    """Every written version of every point; none where the table has no file yet."""
+    try:
+        rows = spark.read.parquet(table_path(root, m))
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        rows = spark.createDataFrame([], schema_of(m))
+    return rows.withColumn("version", F.struct("generation", "batch_id"))
 
 
 def read_points(spark: SparkSession, root: str, m: Measurement, start: str, stop: str,
@@ -59,22 +96,27 @@ def read_points(spark: SparkSession, root: str, m: Measurement, start: str, stop
     versions = in_range(read_versions(spark, root, m), start, stop)
     if unique:
         return versions.select(*m.key, *m.fields)
-    return latest_wins(versions, m.key, m.fields)
+    return latest_wins(versions, m.key, m.fields, "version")
 
 
 def stream_points(spark: SparkSession, root: str, m: Measurement,
                   files_per_trigger: int | None = None) -> DataFrame:
-    """New points of a table as they are written, for the alert job."""
-    schema = read_versions(spark, root, m).schema
+    """New versions of a table's points as they are written, for the alert job.
+
+    The table may have no point yet: its folder is then made, and its declared columns are used.
+    """
+    schema = read_versions(spark, root, m).drop("version").schema
+    spark.createDataFrame([], schema).write.mode("append").partitionBy("date").parquet(table_path(root, m))
     reader = spark.readStream.schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(table_path(root, m)).select(*m.key, *m.fields)
+    return reader.parquet(table_path(root, m)).select(
+        *m.key, *m.fields, F.struct("generation", "batch_id").alias("version"))
 
 
 def compact(spark: SparkSession, root: str, target: str, m: Measurement) -> None:
     """Rewrite a table elsewhere with one version a point and few files a date."""
-    append_history(latest_wins(read_versions(spark, root, m), m.key, m.fields), target, m)
+    append_history(latest_wins(read_versions(spark, root, m), m.key, m.fields, "version"), target, m)
 
 
 def measurements(tables: Sequence[tuple[Measurement, DataFrame]]) -> DataFrame:

@@ -20,6 +20,7 @@ from logloom.operators.alerts import (
     label,
     signals,
 )
+from logloom.operators.points import MEASUREMENTS, latest_wins
 
 OUTPUT = "rule string, series string, at_millis bigint, value double, state string"
 
@@ -29,11 +30,12 @@ class HoldTracker(StatefulProcessor):
 
     State is three numbers: when the running breach began, the last evaluation and how
     many evaluations in a row had no data. A timer notices an evaluation that brought no
-    value; after ``patience`` of them the series is forgotten.
+    value. A silent series goes on reporting it; with ``patience`` it is forgotten after
+    so many evaluations.
     """
 
-    def __init__(self, patience: int = 2) -> None:
-        self.patience = patience
+    def __init__(self, patience: int | None = None) -> None:
+        self.patience = float("inf") if patience is None else patience
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -94,13 +96,18 @@ class HoldTracker(StatefulProcessor):
 
 def alert_stream(tables: Mapping[str, DataFrame], rules: Sequence[Rule] = RULES,
                  clock: Clock = Clock(), watermark: str = "2 minutes",
-                 patience: int = 2) -> DataFrame:
+                 patience: int | None = None) -> DataFrame:
     """Alert states as the evaluations close, for streams of finished points.
 
-    Feed it tables written in append mode: a point that is rewritten later would be
-    counted again by the sums.
+    A table with a ``version`` column may hold several versions of a point: each point then
+    counts once, with the newest version that came before the watermark passed it.
     """
+    shapes = {m.name: m for m in MEASUREMENTS}
     watched = {n: t.withWatermark("time", watermark) for n, t in tables.items()}
+    watched = {
+        n: latest_wins(t, shapes[n].key, shapes[n].fields, "version") if "version" in t.columns else t
+        for n, t in watched.items()
+    }
     cells = signals(watched, rules, clock).select(
         "rule", "series", F.unix_millis("evaluated").alias("at_millis"), "value", "threshold",
         (F.col("hold_micros") / 1000).cast("bigint").alias("hold_millis"),

@@ -22,7 +22,7 @@ from logloom.operators.points import (
     clean_tags,
     to_points,
 )
-from logloom.session import build_session, checkpoint_root
+from logloom.session import build_session, checkpoint_root, ship_package
 from logloom.sources.logs import (
     ACCESS,
     ERROR,
@@ -31,7 +31,12 @@ from logloom.sources.logs import (
     open_stream,
     override_host,
 )
-from logloom.sources.metric_store import append_history, stream_points
+from logloom.sources.metric_store import (
+    append_history,
+    checkpoint_generation,
+    new_generation,
+    stream_points,
+)
 from logloom.streaming.alerts import alert_stream
 from logloom.streaming.sinks import BatchWriter, sample_writer, store_writer, to_console
 
@@ -126,30 +131,36 @@ def backfill_access(raw: DataFrame, staging: str, store: str, settings: Settings
     """Metric tables of a bounded log archive.
 
     The text is parsed once into a columnar table on shared storage. The three metrics then
-    read only their columns of it, and a lost executor costs a re-read, not a re-parse.
+    read only their columns of it, and a lost executor costs a re-read, not a re-parse. A backfill
+    is a generation of its own, so it replaces what a stream or an earlier run wrote.
     """
     access = access_rows(raw)
-    access.write.mode("errorifexists").parquet(staging)
+    access.write.mode("overwrite").parquet(staging)
     staged = raw.sparkSession.read.parquet(staging)
+    generation = new_generation()
     for m, frame in access_rollups(staged, settings, None).items():
-        append_history(to_points(frame, m, settings.env), store, m)
+        append_history(to_points(frame, m, settings.env), store, m, generation=generation)
 
 
 def backfill_errors(raw: DataFrame, store: str, settings: Settings,
                     zone: str | None = None) -> None:
     """Error points of a bounded archive; the one metric needs no staging."""
+    generation = new_generation()
     for m, frame in error_metrics(raw, settings, zone).items():
-        append_history(to_points(frame, m, settings.env), store, m)
+        append_history(to_points(frame, m, settings.env), store, m, generation=generation)
 
 
 def start_alerts(spark: SparkSession, store: str, target: str, checkpoints: str,
                  rules: Sequence[Rule] = RULES, clock: Clock = Clock(),
-                 watermark: str = "2 minutes", **trigger) -> list[StreamingQuery]:
+                 watermark: str = "5 minutes", **trigger) -> list[StreamingQuery]:
     """Alert states of new points, appended as Parquet; one query per watched table.
 
+    Each point counts with its newest version once the watermark has passed it, so the watermark
+    must be longer than the writer keeps re-emitting a window.
     Tables have queries of their own because one query has one watermark: a quiet anomaly
     table must not hold back the rules on URLs.
     """
+    ship_package(spark)
     queries = []
     for m in (ANOMALY, TOP_URLS):
         watching = [r for r in rules if SIGNAL_TABLE[r.signal] == m.name]
@@ -171,9 +182,11 @@ def run_access(store: str, settings: Settings | None = None, mode: str = "update
     settings = settings or Settings.from_env()
     spark = build_session("access-metrics")
     raw = open_stream(spark, access_topic(settings))
+    checkpoints = f"{checkpoint_root(spark, settings.checkpoint_root)}/access"
+    generation = checkpoint_generation(spark, checkpoints)
     start_metrics(
-        access_metrics(raw, settings), lambda m: store_writer(m, store, settings.env),
-        f"{checkpoint_root(spark, settings.checkpoint_root)}/access", mode,
+        access_metrics(raw, settings), lambda m: store_writer(m, store, settings.env, generation=generation),
+        checkpoints, mode,
     )
     wait(spark)
 
@@ -183,9 +196,11 @@ def run_errors(store: str, settings: Settings | None = None, mode: str = "update
     settings = settings or Settings.from_env()
     spark = build_session("error-metrics")
     raw = open_stream(spark, error_topic(settings))
+    checkpoints = f"{checkpoint_root(spark, settings.checkpoint_root)}/errors"
+    generation = checkpoint_generation(spark, checkpoints)
     start_metrics(
-        error_metrics(raw, settings, zone), lambda m: store_writer(m, store, settings.env),
-        f"{checkpoint_root(spark, settings.checkpoint_root)}/errors", mode,
+        error_metrics(raw, settings, zone), lambda m: store_writer(m, store, settings.env, generation=generation),
+        checkpoints, mode,
     )
     to_console(error_json(error_rows(raw, zone))).start()
     wait(spark)

@@ -27,14 +27,15 @@ def _points(batch: DataFrame, m: Measurement, env: str, time_source: str) -> Dat
 
 
 def store_writer(m: Measurement, root: str, env: str = "dev",
-                 time_source: str = "window_end", files: int | None = None) -> BatchWriter:
+                 time_source: str = "window_end", files: int | None = None,
+                 generation: int = 0) -> BatchWriter:
     """Append each micro-batch to the metric table.
 
-    The batch number makes a re-emitted window a newer version of the same point, and
+    The batch number (in its checkpoint's generation) makes a re-emitted window a newer version of the same point, and
     a replayed batch writes equal versions, so readers see each point once.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        append_points(_points(batch, m, env, time_source), root, m, batch_id, files)
+        append_points(_points(batch, m, env, time_source), root, m, batch_id, files, generation)
 
     return write
 

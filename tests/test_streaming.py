@@ -264,10 +264,60 @@ def test_alert_stream_reports_silence(spark, tmp_path):
     points = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
               .parquet(str(source / "*")))
     rule = [r for r in batch_alerts.RULES if r.name == "any_host"]
-    got = run(alerts.alert_stream({"anomaly": points}, rule), tmp_path, "silence")
+    got = run(alerts.alert_stream({"anomaly": points}, rule, patience=2), tmp_path, "silence")
     mine = sorted((r.evaluated.minute, r.state) for r in got.where("series = 'web1'").collect())
     assert mine == [(5, "Pending"), (10, "Firing"), (15, "NoData"), (20, "NoData")]
 
+    whole = run(alerts.alert_stream({"anomaly": points}, rule), tmp_path, "unending")
+    states = [r.state for r in whole.where("series = 'web1'").orderBy("evaluated").collect()]
+    assert states[:2] == ["Pending", "Firing"] and len(states) > 20 and set(states[2:]) == {"NoData"}
+
+
+def test_rewritten_points_count_once_in_alerts(spark, tmp_path):
+    store, start = str(tmp_path / "store"), datetime(2025, 1, 1)
+    schema = "time timestamp, env string, hostname string, status int, path string, count bigint"
+
+    def put_urls(minute, count, batch, generation=0):
+        frame = spark.createDataFrame([(start + timedelta(minutes=minute), "dev", "web1", 503, "/x", count)], schema)
+        metric_store.append_points(frame, store, TOP_URLS, batch, files=1, generation=generation)
+
+    rule = [r for r in batch_alerts.RULES if r.signal == "total_5xx"]
+    # The alert job starts before any point exists.
+    for q in jobs.start_alerts(spark, store, str(tmp_path / "alerts"), str(tmp_path / "ckpt"), rule, availableNow=True):
+        q.awaitTermination()
+    for batch, count in enumerate((3, 6, 8)):
+        put_urls(1, count, batch)
+    put_urls(300, 1, 3)
+    for _ in range(2):
+        for q in jobs.start_alerts(spark, store, str(tmp_path / "alerts"), str(tmp_path / "ckpt"), rule, availableNow=True):
+            q.awaitTermination()
+    got = spark.read.parquet(str(tmp_path / "alerts" / "top_urls")).where("value is not null").orderBy("evaluated").collect()
+    points = metric_store.read_points(spark, store, TOP_URLS, "2025-01-01", "2025-01-02")
+    want = batch_alerts.alert_states({"top_urls": points}, "2025-01-01 00:00:00", "2025-01-01 00:10:00", rule)
+    want = [(r.evaluated, r.value, r.state) for r in want.where("value is not null").orderBy("evaluated").collect()]
+    assert [(r.evaluated, r.value, r.state) for r in got][:len(want)] == want and want[0][1] == 8
+
+
+def test_a_newer_generation_wins(spark, tmp_path):
+    store, schema = str(tmp_path / "store"), "time timestamp, env string, hostname string, status int, path string, count bigint"
+
+    def put_count(count, batch, generation):
+        frame = spark.createDataFrame([(datetime(2025, 1, 1), "dev", "web1", 200, "/x", count)], schema)
+        metric_store.append_points(frame, store, TOP_URLS, batch, files=1, generation=generation)
+
+    def read():
+        return [r["count"] for r in metric_store.read_points(spark, store, TOP_URLS, "2025-01-01", "2025-01-02").collect()]
+
+    assert read() == []
+    checkpoint = str(tmp_path / "ckpt")
+    first = metric_store.checkpoint_generation(spark, checkpoint)
+    assert metric_store.checkpoint_generation(spark, checkpoint) == first
+    put_count(3, 500, first)
+    put_count(10, 0, metric_store.new_generation())
+    assert read() == [10]
+    put_count(11, 0, metric_store.checkpoint_generation(spark, str(tmp_path / "other")))
+    assert read() == [11]
+
 
 def test_host_of_the_envelope_wins(spark, tmp_path):
     folder = tmp_path / "logs" / "web7"
