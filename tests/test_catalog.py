@@ -8,10 +8,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from logloom.plans import catalog, oracle
 from tests.conftest import SMALL
 
 TABLES = ("events", "documents")
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = catalog.queries(), oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -35,6 +36,7 @@ def plain(frame):
 
 def test_every_query_has_its_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -329,7 +329,7 @@ def test_host_of_the_envelope_wins(spark, tmp_path):
     errors = jobs.error_metrics(routed["error"], SETTINGS, override=True)[ERROR_EVENTS]
     assert access.first().hostname == errors.first().hostname == "web7"
     plain = jobs.error_metrics(routed["error"], SETTINGS)[ERROR_EVENTS]
-    assert plain.first().hostname == "localhost:8081"
+    assert plain.first().hostname == "localhost:9443"
 
 
 def test_dead_letters_and_samples(spark, tmp_path):
@@ -346,4 +346,4 @@ def test_dead_letters_and_samples(spark, tmp_path):
     assert [r.value for r in spark.read.text(str(out / "e")).collect()] == ["?"]
     samples = spark.read.parquet(str(out / "s"))
     assert {r.hostname: r["count"] for r in samples.groupBy("hostname").count().collect()} == {
-        "web1": 5, "localhost:8081": 1}
+        "web1": 5, "localhost:9443": 1}
