@@ -18,7 +18,6 @@ class Thresholds:
     ip_requests: int = 50
     scan_paths: int = 20
     error_rate: float = 0.1
-    slow_seconds: float = 0.2
 
 
 @dataclass(frozen=True)
@@ -28,12 +27,15 @@ class Settings:
     watermark: str = DEFAULT_WATERMARK
     thresholds: Thresholds = field(default_factory=Thresholds)
     error_samples: int = 5
+    #: Relative error of a client's path count in the jobs; None counts exactly (append mode).
+    path_error: float | None = 0.05
     kafka_bootstrap: str = "kafka:9092"
     access_topic: str = ACCESS_TOPIC
     error_topic: str = ERROR_TOPIC
     access_offsets: str = "latest"
     error_offsets: str = "earliest"
     checkpoint_root: str | None = None
+    error_checkpoint_root: str | None = None
 
     @classmethod
     def from_env(cls, environ: Mapping[str, str] | None = None) -> Settings:
@@ -57,4 +59,5 @@ class Settings:
             access_offsets=offsets or "latest",
             error_offsets=offsets or "earliest",
             checkpoint_root=e.get("CHECKPOINT_DIR"),
+            error_checkpoint_root=e.get("CHECKPOINT_DIR_ERROR"),
         )

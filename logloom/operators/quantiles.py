@@ -9,40 +9,69 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def exact_quantile(rows: DataFrame, by: Sequence[str], value: str, q: float,
-                   accuracy: int = 10_000) -> DataFrame:
-    """The smallest value of each group with at least ``q`` of the group at or below it.
+def _same(by: Sequence[str], prefix: str):
+    pairs = [F.col(c).eqNullSafe(F.col(f"{prefix}{c}")) for c in by]
+    return reduce(lambda a, b: a & b, pairs, F.lit(True))
+
+
+def _named(by: Sequence[str], prefix: str) -> list:
+    return [F.col(c).alias(f"{prefix}{c}") for c in by]
+
+
+def _holding_bin(counted: DataFrame, by: Sequence[str], q: float, bins: int, accuracy: int,
+                 narrowed: bool) -> DataFrame:
+    """The rows of the one value bin of each group that holds the wanted rank.
 
-    Pass one sketches, per group, two values that enclose the answer (the sketch's rank
-    error is at most 1/accuracy; the margin is twice that) and the group's size. Pass
-    two folds everything below the enclosure into one row per group and task, counts the
-    distinct values inside it, and walks only those. A hot group therefore never meets
-    as a whole: what does is the small enclosed part, already reduced to distinct values.
+    The bins' edges come from a sketch of the distinct values, so bins hold about equally many
+    rows. They only divide the work: ranks are counted, and any edges give the same answer.
     """
-    present = rows.select(*by, F.col(value).alias("v")).where(F.col("v").isNotNull())
-    margin = 2.0 / accuracy
-    ends = F.array(F.lit(max(q - margin, 0.0)), F.lit(min(q + margin, 1.0)))
-    enclosure = present.groupBy(*by).agg(
-        F.count("v").alias("size"),
-        F.percentile_approx("v", ends, accuracy).alias("ends"),
+    marks = F.array(*[F.lit(i / bins) for i in range(1, bins)])
+    if narrowed:
+        place = [F.first("rank").alias("e_rank"), F.first("before").alias("e_before")]
+    else:
+        wanted = F.greatest(F.ceil(F.sum("n") * F.lit(q)), F.lit(1)).cast("bigint")
+        place = [wanted.alias("e_rank"), F.lit(0).cast("bigint").alias("e_before")]
+    edges = counted.groupBy(*by).agg(
+        *place, F.array_distinct(F.percentile_approx("v", marks, accuracy)).alias("e_edges")
+    ).select(*_named(by, "e_"), "e_rank", "e_before", "e_edges")
+    below = F.size(F.filter("e_edges", lambda e: e < F.col("v")))
+    binned = counted.join(edges, _same(by, "e_")).select(
+        *by, "v", "n", F.col("e_rank").alias("rank"), F.col("e_before").alias("before"),
+        below.alias("bin"),
     )
-    bounds = enclosure.select(
-        *[F.col(c).alias(f"b_{c}") for c in by], "size",
-        F.col("ends")[0].alias("low"), F.col("ends")[1].alias("high"),
+    totals = binned.groupBy(*by, "rank", "before", "bin").agg(F.sum("n").alias("n"))
+    upto = F.col("before") + F.sum("n").over(Window.partitionBy(*by).orderBy("bin"))
+    holder = (
+        totals.withColumn("upto", upto)
+        .where((F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("n") < F.col("rank")))
+        .select(*_named(by, "h_"), F.col("bin").alias("h_bin"),
+                (F.col("upto") - F.col("n")).alias("h_before"))
     )
-    same = reduce(
-        lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"b_{c}")) for c in by], F.lit(True)
+    inside = _same(by, "h_") & (F.col("bin") == F.col("h_bin"))
+    return binned.join(holder, inside).select(
+        *by, "v", "n", "rank", F.col("h_before").alias("before")
     )
+
+
+def exact_quantile(rows: DataFrame, by: Sequence[str], value: str, q: float,
+                   accuracy: int = 1_000, bins: int = 64, levels: int = 1) -> DataFrame:
+    """The smallest value of each group with at least ``q`` of the group at or below it.
+
+    Rows first reduce to distinct values with their counts, map-side combined and spread by
+    group and value, so raw rows never meet by group alone. The distinct values of a group
+    are cut into ``bins`` ranges; the counts per range tell which one holds the rank, and only
+    its rows are walked. Each further level cuts that range again: a group's window then
+    holds about distinct values / bins ** levels rows. Null values do not count.
+    """
     counted = (
-        present.join(bounds, same).where(F.col("v") <= F.col("high"))
-        .withColumn("v", F.when(F.col("v") >= F.col("low"), F.col("v")))
-        .groupBy(*by, "size", "v").agg(F.count(F.lit(1)).alias("n"))
+        rows.select(*by, F.col(value).alias("v")).where(F.col("v").isNotNull())
+        .groupBy(*by, "v").agg(F.count(F.lit(1)).alias("n"))
     )
-    walk = Window.partitionBy(*by).orderBy(F.col("v").asc_nulls_first())
-    below = F.sum("n").over(walk)
+    for level in range(levels):
+        counted = _holding_bin(counted, by, q, bins, accuracy, level > 0)
+    upto = F.col("before") + F.sum("n").over(Window.partitionBy(*by).orderBy("v"))
     return (
-        counted.withColumn("upto", below)
-        .where((F.col("upto") >= F.ceil(F.col("size") * F.lit(q)))
-               & (F.col("upto") - F.col("n") < F.ceil(F.col("size") * F.lit(q))))
+        counted.withColumn("upto", upto)
+        .where((F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("n") < F.col("rank")))
         .select(*by, F.col("v").alias("quantile"))
     )

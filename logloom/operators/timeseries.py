@@ -32,6 +32,17 @@ def since(points: DataFrame, now: str, lookback: str, time: str = "time") -> Dat
     return points.where((F.col(time) >= lo) & (F.col(time) < hi))
 
 
+def raw_rows(rows: DataFrame, start: str, stop: str, window: str,
+             time: str = "event_time") -> DataFrame:
+    """Rows whose window of this length can end at or after ``start`` and before ``stop``.
+
+    A range on points is a range on computed window ends, which no scan can use. This bound
+    on the raw time goes before the rollup and reaches the scan.
+    """
+    lo, hi = instant(rows, start, time), instant(rows, stop, time)
+    return rows.where((F.col(time) >= lo - interval(window)) & (F.col(time) < hi))
+
+
 def downsample(points: DataFrame, every: str, by: Sequence[str], aggregate: Column,
                time: str = "time") -> DataFrame:
     """One aggregate per bucket and series; the bucket's end is the new time."""

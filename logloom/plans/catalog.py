@@ -79,6 +79,15 @@ class Logs:
     def events(self) -> DataFrame:
         return self.table("events")
 
+    def between(self, start: str, stop: str, window: str = "10 seconds") -> Logs:
+        """The same logs, reading only rows that points of the range can come from."""
+        bounded = Logs(self.spark, self.folder)
+        bounded.events = ts.raw_rows(self.events, start, stop, window, "ts")
+        return bounded
+
+    def month(self) -> Logs:
+        return self.between(START, STOP)
+
     @cached_property
     def access(self) -> DataFrame:
         return eventlog.access_rows(self.events)
@@ -348,18 +357,25 @@ def latest_wins_view(logs: Logs) -> DataFrame:
 
 @query
 def retention(logs: Logs) -> DataFrame:
-    kept = retain(logs.stats("1 hour"), F.lit(NOW).cast("timestamp_ntz"), "168 hours")
-    return kept
+    """The week before NOW and all after it; the rows before it are not read."""
+    floor = F.lit(NOW).cast("timestamp_ntz") - F.expr("INTERVAL 169 hours")
+    recent = Logs(logs.spark, logs.folder)
+    recent.events = logs.events.where(F.col("ts") >= floor)
+    return retain(recent.stats("1 hour"), F.lit(NOW).cast("timestamp_ntz"), "168 hours")
 
 
 @query
 def range_scan(logs: Logs) -> DataFrame:
-    return ts.in_range(logs.stats(), "2024-01-08 00:00:00", "2024-01-15 00:00:00")
+    week = "2024-01-08 00:00:00", "2024-01-15 00:00:00"
+    return ts.in_range(logs.between(*week).stats(), *week)
 
 
 @query
 def measurement_names(logs: Logs) -> DataFrame:
-    return measurements(logs.tables())
+    """Every dated row is in a point of its table; only anomalies must be computed."""
+    access, errors = (r.where(F.col("event_time").isNotNull()) for r in (logs.access, logs.errors))
+    return measurements([(HTTP_STATS, access), (TOP_URLS, access),
+                         (ANOMALY, logs.anomaly()), (ERROR_EVENTS, errors)])
 
 
 # HTTP reports
@@ -367,7 +383,7 @@ def measurement_names(logs: Logs) -> DataFrame:
 
 @query
 def err_rate_mean(logs: Logs) -> DataFrame:
-    return rounded(reports.mean_error_rate(ts.in_range(logs.stats(), START, STOP)), "err_rate")
+    return rounded(reports.mean_error_rate(ts.in_range(logs.month().stats(), START, STOP)), "err_rate")
 
 
 @query
@@ -430,22 +446,22 @@ def latency_breaches(logs: Logs) -> DataFrame:
 
 @query
 def requests_by_status(logs: Logs) -> DataFrame:
-    return reports.requests_by_status(ts.since(logs.urls(), STOP, "31 days"))
+    return reports.requests_by_status(ts.since(logs.month().urls(), STOP, "31 days"))
 
 
 @query
 def top5_error_hosts(logs: Logs) -> DataFrame:
-    return reports.top_hosts_by_errors(ts.since(logs.urls(), STOP, "31 days"))
+    return reports.top_hosts_by_errors(ts.since(logs.month().urls(), STOP, "31 days"))
 
 
 @query
 def top10_errors(logs: Logs) -> DataFrame:
-    return reports.top_url_errors(ts.since(logs.urls(), STOP, "31 days"))
+    return reports.top_url_errors(ts.since(logs.month().urls(), STOP, "31 days"))
 
 
 @query
 def top10_urls(logs: Logs) -> DataFrame:
-    return reports.top_pages(ts.since(logs.urls(), STOP, "31 days"))
+    return reports.top_pages(ts.since(logs.month().urls(), STOP, "31 days"))
 
 
 @query
@@ -516,7 +532,7 @@ def top_scan_ips(logs: Logs) -> DataFrame:
 
 @query
 def error_trend_filled(logs: Logs) -> DataFrame:
-    return reports.error_trend(logs.error_points(), START, STOP, "5 minutes")
+    return reports.error_trend(logs.month().error_points(), START, STOP, "5 minutes")
 
 
 @query
@@ -587,6 +603,17 @@ def measurement_samples(logs: Logs) -> DataFrame:
     return reports.samples(reports.all_series(logs.tables()))
 
 
+@query
+def overview_samples(logs: Logs) -> DataFrame:
+    """The first ten points of every series."""
+    return reports.samples(reports.all_series(logs.tables()), 10)
+
+
+@query
+def series_counts(logs: Logs) -> DataFrame:
+    return reports.series_counts(reports.all_series(logs.tables()))
+
+
 @query
 def record_counts(logs: Logs) -> DataFrame:
     return reports.record_counts(logs.tables())

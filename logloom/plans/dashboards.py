@@ -92,6 +92,8 @@ def store_checks(tables: Mapping[str, DataFrame], now: str) -> Panels:
         "latest_data": reports.latest_points(reports.all_series(recent("1 hour"))),
         **samples,
         "record_counts": reports.record_counts(recent("1 hour")),
+        "overview_samples": reports.samples(reports.all_series(recent("1 hour")), 10),
+        "series_counts": reports.series_counts(reports.all_series(recent("1 hour"))),
     }
 
 

@@ -462,6 +462,11 @@ FINAL: dict[str, tuple[tuple[str, ...], str]] = {
     "measurement_samples": (("series",), """
         SELECT * FROM series QUALIFY row_number() OVER (
           PARTITION BY measurement, series, field ORDER BY time) <= 5"""),
+    "overview_samples": (("series",), """
+        SELECT * FROM series QUALIFY row_number() OVER (
+          PARTITION BY measurement, series, field ORDER BY time) <= 10"""),
+    "series_counts": (("series",), """
+        SELECT measurement, series, field, count(value) AS records FROM series GROUP BY ALL"""),
     "record_counts": (("series",), """
         SELECT measurement, count(*) AS records FROM series GROUP BY ALL"""),
     "alert_breaches": (("signal", "rules"), """

@@ -16,7 +16,6 @@ from logloom.operators.points import (
     stack,
     to_long,
     to_series,
-    to_wide,
 )
 from logloom.operators.quantiles import exact_quantile
 from logloom.operators.rollups import rollup
@@ -240,8 +239,9 @@ def record_counts(tables: Sequence[tuple[Measurement, DataFrame]]) -> DataFrame:
     return stack(counts).where(F.col("records") > 0)
 
 
-def pivoted(series_rows: DataFrame, m: Measurement, fields: Sequence[str]) -> DataFrame:
-    return to_wide(series_rows, m.key, fields)
+def series_counts(series: DataFrame) -> DataFrame:
+    """Stored values of every series."""
+    return series.groupBy(*SERIES_ORDER).agg(F.count("value").alias("records"))
 
 
 # Reports on raw rows
@@ -278,12 +278,14 @@ def top_upstreams(split: DataFrame, k: int = 10) -> DataFrame:
     return ts.top_k(counts, k, [F.desc("errors"), "upstream"])
 
 
+SAMPLE_GROUP = ("window_end", "hostname", "level", "message_class")
+
+
 def error_samples(errors: DataFrame, k: int = 5, window: str = DEFAULT_WINDOW) -> DataFrame:
     """A few raw rows of each window, host, level and class."""
     spans = errors.withColumn("window_end", F.window("event_time", window)["end"])
-    group = ["window_end", "hostname", "level", "message_class"]
-    rows = ts.first_k_per_group(spans, k, group, ["event_time", "message"])
-    return rows.select(*group, "event_time", "message")
+    rows = ts.first_k_per_group(spans, k, SAMPLE_GROUP, ["event_time", "message"])
+    return rows.select(*SAMPLE_GROUP, "event_time", "message")
 
 
 def errors_by_level(errors: DataFrame, window: str = DEFAULT_WINDOW) -> DataFrame:

@@ -42,6 +42,15 @@ def checkpoint_root(spark: SparkSession, explicit: str | None = None) -> str:
     return root.rstrip("/")
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def file_system(spark: SparkSession, path: str):
+    """The file system that holds a path, as the session's Hadoop settings see it."""
+    return hadoop_path(spark, path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors, whose Python workers may not find it on their path."""
     context = spark.sparkContext

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import time
 from collections.abc import Sequence
+from datetime import date, timedelta
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +14,7 @@ from pyspark.sql import functions as F
 
 from logloom.operators.points import Measurement, latest_wins
 from logloom.operators.timeseries import in_range
+from logloom.session import file_system, hadoop_path
 
 
 def table_path(root: str, m: Measurement) -> str:
@@ -51,16 +55,15 @@ def dated(points: DataFrame, batch_id: int, generation: int = 0) -> DataFrame:
 
 
 def append_points(points: DataFrame, root: str, m: Measurement, batch_id: int = 0,
-                  files: int | None = None, generation: int = 0) -> None:
+                  files: int = 4, generation: int = 0) -> None:
     """Write the points of a micro-batch. Of a point's rewrites the newest generation's wins,
     and in it the one with the highest ``batch_id``: batch numbers start again with a checkpoint.
 
-    ``files`` spreads the rows over that many writers; a micro-batch otherwise leaves one
-    file per date and shuffle partition.
+    A date gets at most ``files`` files, whatever the number of state partitions; a
+    micro-batch that catches up many dates still spreads over all of them.
     """
-    rows = dated(points, batch_id, generation)
-    if files:
-        rows = rows.repartition(files)
+    part = F.pmod(F.hash(*m.tags), F.lit(files))
+    rows = dated(points, batch_id, generation).repartition("date", part)
     rows.write.mode("append").partitionBy("date").parquet(table_path(root, m))
 
 
@@ -120,9 +123,27 @@ def compact(spark: SparkSession, root: str, target: str, m: Measurement) -> None
 
 
 def measurements(tables: Sequence[tuple[Measurement, DataFrame]]) -> DataFrame:
-    """Names of the measurements that hold a point."""
-    names = [t.select(F.lit(m.name).alias("measurement")) for m, t in tables]
-    out = names[0]
-    for more in names[1:]:
-        out = out.unionByName(more)
-    return out.distinct()
+    """Names of the measurements that hold a point; one row of a table is enough.
+
+    Rows that are bound to give a point serve as well as the points themselves.
+    """
+    names = [t.select(F.lit(m.name).alias("measurement")).limit(1) for m, t in tables]
+    return reduce(DataFrame.unionByName, names)
+
+
+def expire(spark: SparkSession, root: str, m: Measurement, now: str, keep_days: int) -> list[str]:
+    """Remove the dates that ended more than ``keep_days`` before ``now``; returns them.
+
+    Whole folders go, no file is rewritten. Run it while no job reads those dates.
+    """
+    limit = date.fromisoformat(now[:10]) - timedelta(days=keep_days)
+    folder, system = hadoop_path(spark, table_path(root, m)), file_system(spark, root)
+    if not system.exists(folder):
+        return []
+    gone = []
+    for status in system.listStatus(folder):
+        name = status.getPath().getName()
+        if re.fullmatch(r"date=\d{4}-\d{2}-\d{2}", name) and date.fromisoformat(name[5:]) < limit:
+            system.delete(status.getPath(), True)
+            gone.append(name[5:])
+    return sorted(gone)

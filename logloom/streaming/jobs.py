@@ -22,7 +22,13 @@ from logloom.operators.points import (
     clean_tags,
     to_points,
 )
-from logloom.session import build_session, checkpoint_root, ship_package
+from logloom.session import (
+    build_session,
+    checkpoint_root,
+    file_system,
+    hadoop_path,
+    ship_package,
+)
 from logloom.sources.logs import (
     ACCESS,
     ERROR,
@@ -60,15 +66,13 @@ def access_rows(raw: DataFrame, override: bool = False) -> DataFrame:
     return clean_tags(rows, ["hostname", "method", "path"])
 
 
-def access_metrics(raw: DataFrame, settings: Settings, exact_paths: bool = False,
+def access_metrics(raw: DataFrame, settings: Settings,
                    override: bool = False) -> dict[Measurement, DataFrame]:
     """The three access measurements of raw JSON lines.
 
-    Streams count a client's paths by sketch unless ``exact_paths`` (append mode) is set.
+    A client's paths are counted with ``settings.path_error``, in a batch as in a stream.
     """
-    access = access_rows(raw, override)
-    rsd = None if exact_paths or not access.isStreaming else 0.05
-    return access_rollups(access, settings, rsd)
+    return access_rollups(access_rows(raw, override), settings, settings.path_error)
 
 
 def error_rows(raw: DataFrame, zone: str | None = None, override: bool = False) -> DataFrame:
@@ -100,15 +104,38 @@ def start_dead_letters(raw: DataFrame, log_type: str, path: str, checkpoints: st
 
 def start_error_samples(raw: DataFrame, settings: Settings, path: str, checkpoints: str,
                         zone: str | None = None, **trigger) -> StreamingQuery:
-    """A few raw rows for each kind of error, to look at next to the counts."""
+    """A few raw rows for each kind of error, for ``read_samples``."""
     writer = (
         error_rows(raw, zone).writeStream.queryName("error_samples")
-        .foreachBatch(sample_writer(path, settings.error_samples, settings.window))
+        .foreachBatch(sample_writer(
+            path, settings.error_samples, settings.window,
+            checkpoint_generation(raw.sparkSession, f"{checkpoints}/error_samples_generation")))
         .option("checkpointLocation", f"{checkpoints}/error_samples")
     )
     return (writer.trigger(**trigger) if trigger else writer).start()
 
 
+def start_ingest(raw: DataFrame, path: str, checkpoints: str, override: bool = False,
+                 **trigger) -> StreamingQuery:
+    """Parse access lines once, into typed columnar files that the metric queries follow."""
+    writer = (
+        access_rows(raw, override).writeStream.queryName("ingest_access").format("parquet")
+        .outputMode("append").option("path", path)
+        .option("checkpointLocation", f"{checkpoints}/ingest_access")
+    )
+    return (writer.trigger(**trigger) if trigger else writer).start()
+
+
+def ingested(spark: SparkSession, path: str, files_per_trigger: int = 1_000) -> DataFrame:
+    """The typed rows of ``start_ingest`` as they arrive; the folder may not be there yet."""
+    file_system(spark, path).mkdirs(hadoop_path(spark, path))
+    schema = access_rows(spark.createDataFrame([], "value string")).schema
+    return (
+        spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
+        .parquet(path)
+    )
+
+
 def start_metrics(metrics: Mapping[Measurement, DataFrame], sink: SinkFor, checkpoints: str,
                   mode: str = "update", **trigger) -> list[StreamingQuery]:
     """One query a measurement, each with a checkpoint of its own.
@@ -138,7 +165,7 @@ def backfill_access(raw: DataFrame, staging: str, store: str, settings: Settings
     access.write.mode("overwrite").parquet(staging)
     staged = raw.sparkSession.read.parquet(staging)
     generation = new_generation()
-    for m, frame in access_rollups(staged, settings, None).items():
+    for m, frame in access_rollups(staged, settings, settings.path_error).items():
         append_history(to_points(frame, m, settings.env), store, m, generation=generation)
 
 
@@ -177,30 +204,39 @@ def start_alerts(spark: SparkSession, store: str, target: str, checkpoints: str,
     return queries
 
 
-def run_access(store: str, settings: Settings | None = None, mode: str = "update") -> None:
-    """Topic to metric tables, until a query stops or fails."""
+def run_access(store: str, settings: Settings | None = None, mode: str = "update",
+               every: str = "10 seconds") -> None:
+    """Topic to metric tables, until a query stops or fails.
+
+    The topic is read and parsed once, into ``<store>/access_rows``; the metrics read that.
+    """
     settings = settings or Settings.from_env()
     spark = build_session("access-metrics")
     raw = open_stream(spark, access_topic(settings))
     checkpoints = f"{checkpoint_root(spark, settings.checkpoint_root)}/access"
     generation = checkpoint_generation(spark, checkpoints)
+    rows = f"{store.rstrip('/')}/access_rows"
+    start_ingest(raw, rows, checkpoints, processingTime=every)
     start_metrics(
-        access_metrics(raw, settings), lambda m: store_writer(m, store, settings.env, generation=generation),
-        checkpoints, mode,
+        access_rollups(ingested(spark, rows), settings, settings.path_error),
+        lambda m: store_writer(m, store, settings.env, generation=generation),
+        checkpoints, mode, processingTime=every,
     )
     wait(spark)
 
 
 def run_errors(store: str, settings: Settings | None = None, mode: str = "update",
-               zone: str | None = None) -> None:
+               zone: str | None = None, every: str = "10 seconds") -> None:
     settings = settings or Settings.from_env()
     spark = build_session("error-metrics")
     raw = open_stream(spark, error_topic(settings))
-    checkpoints = f"{checkpoint_root(spark, settings.checkpoint_root)}/errors"
+    root = settings.error_checkpoint_root or settings.checkpoint_root
+    checkpoints = f"{checkpoint_root(spark, root)}/errors"
     generation = checkpoint_generation(spark, checkpoints)
     start_metrics(
-        error_metrics(raw, settings, zone), lambda m: store_writer(m, store, settings.env, generation=generation),
-        checkpoints, mode,
+        error_metrics(raw, settings, zone),
+        lambda m: store_writer(m, store, settings.env, generation=generation),
+        checkpoints, mode, processingTime=every,
     )
     to_console(error_json(error_rows(raw, zone))).start()
     wait(spark)
@@ -209,3 +245,13 @@ def run_errors(store: str, settings: Settings | None = None, mode: str = "update
 def wait(spark: SparkSession) -> None:
     """Return or raise as soon as any query ends, not only the first one started."""
     spark.streams.awaitAnyTermination()
+
+
+def run_alerts(store: str, target: str, settings: Settings | None = None,
+               every: str = "1 minute") -> None:
+    """Alert states of a store's points, until a query stops or fails."""
+    settings = settings or Settings.from_env()
+    spark = build_session("alerts")
+    checkpoints = f"{checkpoint_root(spark, settings.checkpoint_root)}/alerts"
+    start_alerts(spark, store, target, checkpoints, processingTime=every)
+    wait(spark)

@@ -6,13 +6,14 @@ import urllib.request
 from collections.abc import Callable, Iterable, Iterator
 from itertools import islice
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from logloom.config import DEFAULT_WINDOW
 from logloom.operators.points import Measurement, clean_tags, to_lines, to_points
-from logloom.plans.reports import error_samples
+from logloom.operators.timeseries import first_k_per_group
+from logloom.plans.reports import SAMPLE_GROUP, error_samples
 from logloom.sources.metric_store import append_points
 
 BatchWriter = Callable[[DataFrame, int], None]
@@ -27,7 +28,7 @@ def _points(batch: DataFrame, m: Measurement, env: str, time_source: str) -> Dat
 
 
 def store_writer(m: Measurement, root: str, env: str = "dev",
-                 time_source: str = "window_end", files: int | None = None,
+                 time_source: str = "window_end", files: int = 4,
                  generation: int = 0) -> BatchWriter:
     """Append each micro-batch to the metric table.
 
@@ -84,14 +85,33 @@ def remote_writer(m: Measurement, send: Callable[[bytes], None], env: str = "dev
     return write
 
 
-def sample_writer(path: str, k: int = 5, window: str = DEFAULT_WINDOW) -> BatchWriter:
-    """A few raw error rows per window and key of each micro-batch, as Parquet."""
+def sample_writer(path: str, k: int = 5, window: str = DEFAULT_WINDOW,
+                  generation: int = 0) -> BatchWriter:
+    """The first raw error rows per window and key of each micro-batch, as Parquet.
+
+    ``read_samples`` cuts them to k per window. The place within a batch tells a replayed row
+    from an equal one.
+    """
+    order = Window.partitionBy(*SAMPLE_GROUP).orderBy("event_time", "message")
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        error_samples(batch, k, window).write.mode("append").parquet(path)
+        rows = error_samples(batch, k, window).withColumns({
+            "place": F.row_number().over(order), "batch_id": F.lit(batch_id).cast("bigint"),
+            "generation": F.lit(generation).cast("bigint"),
+        })
+        rows.write.mode("append").parquet(path)
 
     return write
 
 
+def read_samples(spark: SparkSession, path: str, k: int = 5) -> DataFrame:
+    """The first k samples of each window and key, over all micro-batches, replays once."""
+    rows = spark.read.parquet(path).dropDuplicates(
+        [*SAMPLE_GROUP, "generation", "batch_id", "place"])
+    return first_k_per_group(rows, k, SAMPLE_GROUP, ["event_time", "message"]).select(
+        *SAMPLE_GROUP, "event_time", "message")
+
+
 def keyed_messages(events: DataFrame) -> DataFrame:
     """Messages keyed by host, so that one server's lines stay in order."""
     return events.select(F.col("host").cast("string").alias("key"),

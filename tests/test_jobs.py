@@ -4,14 +4,15 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
+from logloom import submit
 from logloom.config import Settings, Thresholds
 from logloom.operators import alerts, rollups
 from logloom.operators.points import ANOMALY, ERROR_EVENTS, HTTP_STATS, MEASUREMENTS, TOP_URLS
-from logloom.plans import dashboards
+from logloom.plans import catalog, dashboards
 from logloom.sources import metric_store
 from logloom.sources.eventlog import access_json, access_rows, error_lines
-from logloom.streaming import jobs
-from tests.conftest import rows
+from logloom.streaming import jobs, sinks
+from tests.conftest import SMALL, rows
 
 SETTINGS = Settings(window="1 hour", thresholds=Thresholds(2, 2, 0.3))
 START, STOP = "2024-01-01 00:00:00", "2024-02-01 00:00:00"
@@ -44,7 +45,8 @@ def test_backfill_and_every_dashboard(spark, events, tmp_path):
     checks = dashboards.store_checks(tables, "2024-01-30 12:00:00")
     assert checks["available_measurements"].count() == 4
     assert set(checks) == {"available_measurements", "latest_data", "http_stats_sample",
-                           "top_urls_sample", "anomaly_sample", "record_counts"}
+                           "top_urls_sample", "anomaly_sample", "record_counts",
+                           "overview_samples", "series_counts"}
     assert checks["latest_data"].count() > 0
     book = dashboards.runbook(tables, "2024-01-30 12:00:01")
     for name, frame in book.items():
@@ -84,3 +86,62 @@ def test_sketched_percentile_is_close(spark, events):
     got = rollups.streaming_percentile(access_rows(events), "30 days", 0.95)
     assert got.count() > 0 and got.where("rt is null").count() == 0
     assert {HTTP_STATS.name, ERROR_EVENTS.name} <= {m.name for m in MEASUREMENTS}
+
+
+def test_one_ingest_feeds_the_metrics(spark, events, tmp_path):
+    lines, store = str(tmp_path / "lines"), str(tmp_path / "store")
+    access_json(events).select("value").repartition(3).write.text(lines)
+    raw = spark.readStream.text(lines)
+    settings = Settings(window="1 hour", thresholds=Thresholds(2, 2, 0.3))
+    staged, checkpoints = str(tmp_path / "rows"), str(tmp_path / "ckpt")
+    followed = jobs.ingested(spark, staged)
+    jobs.start_ingest(raw, staged, checkpoints, availableNow=True).awaitTermination()
+    metrics = jobs.access_rollups(followed, settings, settings.path_error)
+    one = {HTTP_STATS: metrics[HTTP_STATS]}
+    for q in jobs.start_metrics(one, lambda m: sinks.store_writer(m, store, "dev", files=2),
+                                checkpoints, availableNow=True):
+        q.awaitTermination()
+    got = metric_store.read_points(spark, store, HTTP_STATS, START, STOP)
+    whole = backfilled(events, tmp_path / "batch")
+    expected = metric_store.read_points(spark, whole, HTTP_STATS, START, STOP)
+    columns = [c for c in got.columns if c != "avg_rt"]
+    assert rows(got.select(columns)) == rows(expected.select(columns))
+
+
+def test_files_per_date_are_bounded(spark, events, tmp_path):
+    store = str(tmp_path / "store")
+    points = spark.range(500).selectExpr(
+        "timestamp'2025-01-01 00:00:00' + make_interval(0,0,0,id % 2) AS time", "'dev' AS env",
+        "concat('h', id) AS hostname", "200 AS status", "'/' AS path", "id AS count")
+    metric_store.append_points(points.repartition(40), store, TOP_URLS, files=3)
+    for date in ("2025-01-01", "2025-01-02"):
+        assert 1 <= len(list((tmp_path / "store" / "top_urls" / f"date={date}").glob("*.parquet"))) <= 3
+
+
+def test_expired_dates_go(spark, tmp_path):
+    store = str(tmp_path / "store")
+    points = spark.range(4).selectExpr(
+        "timestamp'2025-01-01 06:00:00' + make_interval(0,0,0,id) AS time", "'dev' AS env",
+        "'h' AS hostname", "200 AS status", "'/' AS path", "id AS count")
+    metric_store.append_points(points, store, TOP_URLS)
+    assert metric_store.expire(spark, store, ANOMALY, "2025-01-05 00:00:00", 2) == []
+    gone = metric_store.expire(spark, store, TOP_URLS, "2025-01-05 00:00:00", 2)
+    assert gone == ["2025-01-01", "2025-01-02"]
+    left = metric_store.read_points(spark, store, TOP_URLS, "2025-01-01", "2025-02-01")
+    assert sorted(r["count"] for r in left.collect()) == [2, 3]
+
+
+def test_submit_lines():
+    args = submit.parser().parse_args(["access", "--store", "/s", "--mode", "append"])
+    assert (args.command, args.store, args.mode) == ("access", "/s", "append")
+    args = submit.parser().parse_args(["expire", "--store", "/s", "--now", "2025-01-01",
+                                       "--keep-days", "7"])
+    assert args.keep_days == 7
+
+
+def test_ranges_reach_the_scan(spark):
+    for name in ("range_scan", "top10_urls", "err_rate_mean"):
+        plan = catalog.queries()[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+        assert "GreaterThanOrEqual(ts" in plan and "LessThan(ts" in plan, name
+    plan = catalog.queries()["retention"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(ts" in plan
