@@ -2,7 +2,8 @@
 
 Toxic documents go, one document of each group of near copies stays, secrets are replaced,
 sources are interleaved by target weight (the rows are written in that order), and the documents
-are packed into sequences. All stages but the last return the columns of `documents`.
+are packed into sequences that follow the written order. All stages but the last return the
+columns of `documents`.
 """
 
 from __future__ import annotations
@@ -37,9 +38,9 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row per token piece, with its sequence and offset."""
+    """One row per token piece, with its sequence and offset; sequences in the order of the mix."""
     ship_package(spark)
-    return packing.pack_documents(docs)
+    return packing.pack_documents(common.in_written_order(docs, "_place"), order="_place")
 
 
 #: Words of a shingle and least similarity in percent for near copies.

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -9,7 +10,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Bytes of text whose words are hashed at once; a longer document is hashed alone.
@@ -44,6 +46,32 @@ def cut(frame: DataFrame) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def in_written_order(frame: DataFrame, name: str) -> DataFrame:
+    """Add `name`: 0, 1, 2, ... in the order in which a table's rows were written.
+
+    Writers number their files, and a row has an index in its file; only the number of rows of
+    each file reaches the driver. Rows that come from no file count in the order of their tasks.
+    """
+    try:
+        at = frame.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_index"))
+    except AnalysisException:
+        return frame.withColumn(name, F.monotonically_increasing_id())
+    counts = {r[0]: r[1] for r in at.groupBy("_file").count().collect()}
+    begins, n = [], 0
+    for path in sorted(counts, key=_written):
+        begins.append((path, n))
+        n += counts[path]
+    begin = frame.sparkSession.createDataFrame(begins, "_file string, _begin long")
+    return at.join(F.broadcast(begin), "_file").withColumn(name, F.col("_begin") + F.col("_index")).drop("_file", "_index", "_begin")
+
+
+def _written(path: str) -> tuple:
+    """Task number and file number of a path such as .../part-00012-...-c003.snappy.parquet."""
+    file = path.rsplit("/", 1)[-1]
+    task, part = re.match(r"part-(\d+)", file), re.search(r"-c(\d+)(?=\.|$)", file)
+    return int(task[1]) if task else -1, int(part[1]) if part else -1, path
+
+
 def with_columns_of(frame: DataFrame, needed: list[str]) -> DataFrame:
     """Only the needed columns, so that extra ones never clash with those an operator adds."""
     return frame.select(*[F.col(f"`{name}`") for name in needed])
@@ -53,15 +81,18 @@ def with_columns_of(frame: DataFrame, needed: list[str]) -> DataFrame:
 # Ranks within a key, without sorting a key in one task
 
 
-def ranked(frame: DataFrame, keys: list[str], order: list[str], name: str, parts: int = 32) -> DataFrame:
+def ranked(frame: DataFrame, keys: list[str], order: list[str], name: str, parts: int = 32,
+           slices: Column | None = None) -> DataFrame:
     """Add `name`: 0, 1, 2, ... within each key.
 
     A key's rows are spread over `parts` slices, ranked inside each slice, and shifted by the
     rows in the slices before, so a key that holds a third of all rows is no single task.
     The slice totals reduce on the map side to (key, slice) and are joined back.
+    Slices come from a hash of the order, so ranks follow it inside a slice only; `slices`, a
+    number that never falls along the order, makes them follow it throughout.
     """
     spread = F.pmod(F.xxhash64(*[F.col(c) for c in order]), F.lit(parts)).cast("int")
-    sliced = frame.withColumn("_slice", spread)
+    sliced = frame.withColumn("_slice", spread if slices is None else slices)
     totals = sliced.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_rows"))
     before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     shifts = totals.select(*keys, "_slice", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_shift"))

@@ -12,6 +12,10 @@ Token pieces go into sequences of `capacity` tokens:
    plan moves whole classes of equal slack, so it has a bounded number of entries whatever
    the number of pieces; Spark looks every piece up by its rank.
 
+With an order column (one number a row, such as the places of a mix), pieces of equal length and
+sequences of equal slack are taken in that order, and sequences are numbered by the place of the piece that
+begins them. Without one, both follow hashes of the ids.
+
 Edge cases: a null text is empty (one token, the end mark); rows that repeat a doc_id are packed
 one by one; a null doc_id stays null; extra columns are ignored; an empty table packs to an
 empty result.
@@ -129,16 +133,21 @@ def _tokenizer_path(path: str | None) -> str:
 
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
+#: Slices of the order, for ranks among equal lengths and for the numbers of all sequences.
+SLICES, SEQUENCE_SLICES = 32, 256
+
 
+def token_pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = None, order: str | None = None) -> DataFrame:
+    """Each document's ids and the end mark 0, cut into pieces; only the first may be shorter.
 
-def token_pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = None) -> DataFrame:
-    """Each document's ids and the end mark 0, cut into pieces; only the first may be shorter."""
+    The pieces keep the document's number in the order column.
+    """
     def run(batches):
         encoder = _encoder(_tokenizer_path(tokenizer))
         for batch in batches:
             for part in common.text_slices(batch):
-                docs_, pieces, starts, lengths, sums = [], [], [], [], []
-                for doc, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist()):
+                docs_, pieces, starts, lengths, sums, rows = [], [], [], [], [], []
+                for row, (doc, text) in enumerate(zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist())):
                     ids = encoder.encode(text) + b"\0\0\0\0"
                     n = len(ids) // 4
                     short = n % capacity or capacity
@@ -149,12 +158,17 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | Non
                         starts.append(a)
                         lengths.append(b - a)
                         sums.append(zlib.crc32(ids[4 * a : 4 * b]))
+                        rows.append(row)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(docs_, pa.int64()), pa.array(pieces, pa.int32()), pa.array(starts, pa.int64()),
-                     pa.array(lengths, pa.int64()), pa.array(sums, pa.int64())],
-                    ["doc_id", "piece", "start", "length", "ids_crc32"])
+                     pa.array(lengths, pa.int64()), pa.array(sums, pa.int64()),
+                     *[part.column(c).take(pa.array(rows, pa.int64())) for c in numbers]],
+                    ["doc_id", "piece", "start", "length", "ids_crc32", *numbers])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, PIECE)
+    numbers = ["_order"] if order else []
+    return docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), "text", *[F.col(f"`{order}`").cast("long").alias(c) for c in numbers]
+    ).mapInArrow(run, PIECE + "".join(f", {c} long" for c in numbers))
 
 
 # ---------------------------------------------------------------------------------------
@@ -302,34 +316,42 @@ def _small_places(plan):
     return run
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = CAPACITY, order: str | None = None) -> DataFrame:
     """Add sequence_id and offset to pieces(doc_id, piece, start, length, ids_crc32)."""
-    spark = pieces.sparkSession
-    held = common.cut(common.ranked(pieces, ["length"], ["doc_id", "piece", "ids_crc32"], "rank"))
+    numbers, by, slices = [], [], dict.fromkeys((SLICES, SEQUENCE_SLICES))
+    if order:
+        numbers, by = ["_order"], ["_order"]
+        pieces = pieces.withColumnRenamed(order, "_order")
+        least, most = pieces.agg(F.min("_order"), F.max("_order")).first()
+        share = (F.col("_order") - F.lit(least or 0)) / F.lit((most or 0) - (least or 0) + 1)
+        slices = {n: F.coalesce(F.least(F.floor(share * n), F.lit(n - 1)), F.lit(0)).cast("int") for n in slices}
+    held = common.cut(common.ranked(pieces, ["length"], [*by, "doc_id", "piece", "ids_crc32"], "rank", SLICES, slices[SLICES]))
     counts = {r[0]: r[1] for r in held.groupBy("length").count().collect()}
     if not counts:
-        return held.select(*pieces.columns, F.col("rank").alias("sequence_id"), F.col("rank").alias("offset"))
+        kept = [c for c in pieces.columns if c not in numbers]
+        return held.select(*kept, F.col("rank").alias("sequence_id"), F.col("rank").alias("offset"))
     limit = int(capacity * LARGE)
     whole = counts.get(capacity, 0)
     firsts, size, places, sequences = plan_large(
         {x: n for x, n in counts.items() if limit < x < capacity}, capacity)
-    fields = "doc_id long, piece int, start long, length long, ids_crc32 long, rank long"
-    held = held.select("doc_id", "piece", "start", "length", "ids_crc32", "rank")
+    fields = "doc_id long, piece int, start long, length long, ids_crc32 long, rank long" + "".join(f", {c} long" for c in numbers)
+    held = held.select("doc_id", "piece", "start", "length", "ids_crc32", "rank", *numbers)
     large = common.cut(
         held.where((F.col("length") > limit) & (F.col("length") < capacity))
         .mapInArrow(_large_places(firsts, size, places, whole), f"{fields}, sequence_id long, slot int")
     )
-    filled = large.groupBy("sequence_id").agg((F.lit(capacity) - F.sum("length")).alias("slack"))
-    bins = common.cut(common.ranked(filled, ["slack"], ["sequence_id"], "index"))
+    filled = large.groupBy("sequence_id").agg(
+        (F.lit(capacity) - F.sum("length")).alias("slack"), *[F.min_by(c, "slot").alias(c) for c in numbers])
+    bins = common.cut(common.ranked(filled, ["slack"], [*by, "sequence_id"], "index", SLICES, slices[SLICES]).drop(*numbers))
     slacks = {r[0]: r[1] for r in bins.groupBy("slack").count().collect()}
     plan, _ = plan_small({x: n for x, n in counts.items() if x <= limit}, slacks, capacity)
     small = (
         held.where(F.col("length") <= limit)
         .mapInArrow(_small_places(plan), f"{fields}, slack long, index long, offset long")
     )
-    out = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+    out = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", *numbers]
     before = Window.partitionBy("sequence_id").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
-    return (
+    packed = (
         held.where(F.col("length") == capacity)
         .withColumn("sequence_id", F.col("rank")).withColumn("offset", F.lit(0).cast("long")).select(*out)
         .unionByName(large.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0).cast("long"))).select(*out))
@@ -338,9 +360,21 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     )
 
 
-def pack_documents(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = None) -> DataFrame:
+    if not order:
+        return packed
+    packed = common.cut(packed)
+    heads = packed.where("offset = 0").select("sequence_id", "_order", "piece")
+    numbered = common.ranked(heads, [], ["_order", "piece", "sequence_id"], "_number", SEQUENCE_SLICES, slices[SEQUENCE_SLICES])
+    return (
+        packed.join(numbered.select("sequence_id", "_number"), "sequence_id")
+        .withColumn("sequence_id", F.col("_number")).select(*[c for c in out if c not in numbers])
+    )
+
+
+def pack_documents(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = None, order: str | None = None) -> DataFrame:
+    """Token pieces of docs(doc_id, text, ...) in sequences; `order` names a column with one number a row."""
     # Ranking reads the pieces twice; the texts are tokenized once.
-    return pack(common.cut(token_pieces(docs, capacity, tokenizer)), capacity)
+    return pack(common.cut(token_pieces(docs, capacity, tokenizer, order)), capacity, order and "_order")
 
 
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -107,3 +107,35 @@ def test_mix_keeps_all_rows_in_every_phase(spark):
     blocks = {r.slot: r.source for r in mixed}
     assert sorted(blocks) == list(range(len(blocks)))
     assert mixing.mix(frame.limit(0)).count() == 0
+
+
+def test_packing_follows_the_written_order(spark):
+    import corpus_pipeline
+
+    docs = spark.createDataFrame([(i, "s%d" % (i % 3), "word " * (300 + 400 * (i % 4))) for i in range(240)], "doc_id long, source string, text string")
+
+    def packed(weights):
+        held = packing.common.cut(mixing.mix(docs, weights).repartitionByRange(4, "position").sortWithinPartitions("position").select(*docs.columns))
+        assert len(held.inputFiles()) > 1
+        rows = corpus_pipeline.packing_stage(spark, held, SMALL).collect()
+        check_sequences(rows)
+        return rows
+
+    weights = {"s0": 6.0, "s1": 1.0, "s2": 1.0}
+    rows, other = packed(weights), packed({"s0": 1.0, "s1": 1.0, "s2": 6.0})
+    assert sorted(r[:5] for r in rows) == sorted(r[:5] for r in other)
+    assert {(r.doc_id, r.sequence_id) for r in rows} != {(r.doc_id, r.sequence_id) for r in other}
+    places = {r.doc_id: r.position for r in mixing.mix(docs, weights).collect()}
+    heads = [places[r.doc_id] for r in sorted(rows, key=lambda r: r.sequence_id) if r.offset == 0]
+    assert heads == sorted(heads)
+    assert sorted({r.sequence_id for r in rows}) == list(range(len(heads)))
+    early = [r.doc_id % 3 for r in rows if r.sequence_id < len(heads) // 3]
+    assert early.count(0) > len(early) / 2
+
+
+def test_written_order_is_read_back(spark, tmp_path):
+    frame = spark.range(1000)
+    frame.orderBy("id").write.option("maxRecordsPerFile", 70).parquet(str(tmp_path / "t"))
+    rows = packing.common.in_written_order(spark.read.parquet(str(tmp_path / "t")), "place").collect()
+    assert len(rows) == 1000 and all(r.id == r.place for r in rows)
+    assert packing.common._written("a/part-100000-x-c000.parquet") > packing.common._written("a/part-20000-x-c000.parquet")
