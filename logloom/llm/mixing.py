@@ -2,13 +2,15 @@
 
 Each source's documents, in a hash order, form blocks. With weight w, block i of a source may
 start at slot floor(i / w) and must be placed before slot ceil((i + 1) / w); in each slot the
-released block with the earliest deadline goes next. After any number of slots a source is
-less than one block away from its target.
+released block with the earliest deadline goes next. After any number of slots of a phase a
+source is less than one block away from its target. Weights are taken as they are, as exact
+fractions, so nothing adds up over a long table and a rare source is not raised.
 
-Weights are whole numbers of a period, and after a period the schedule repeats, so the driver
-orders one period (a parameter) and every document computes its place from its rank. When
-a source runs out, the others go on with their weights scaled up, in a new phase. No document
-is dropped or repeated. Ranks in a source that holds most rows are found in slices.
+The state of the schedule is the next block of each source. The driver walks the slots of all
+blocks once and keeps the state at evenly spaced slots, at most STATES of them and one a
+phase; tasks schedule from one state to the next, and documents find their block's slot by a
+join. When a source runs out, the others go on with their weights scaled up, in a new phase. No
+document is dropped or repeated. Ranks in a source that holds most rows are found in slices.
 
 Edge cases: rows with a null source form a source of their own; repeated rows and null ids are
 placed like others; a single source keeps its hash order; extra columns are kept; an empty
@@ -18,17 +20,21 @@ table gives an empty result.
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
+from fractions import Fraction
+from math import lcm
 
-import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logloom.llm import common
+from logloom.session import ship_package
 
 #: Documents of a block.
 BLOCK = 8
-#: Slots of a period; four slots a source at least.
-PERIOD = 1000
+#: Slots from one kept state to the next at least, and about the most states kept.
+PERIOD, STATES = 1000, 4096
 
 
 def whole_weights(weights: dict[str, float], period: int) -> dict[str, int]:
@@ -45,40 +51,75 @@ def whole_weights(weights: dict[str, float], period: int) -> dict[str, int]:
     return slots
 
 
-def period_slots(weights: dict[str, int]) -> dict[str, list[int]]:
-    """The slots of each source in one period, earliest deadline first among released blocks."""
-    period = sum(weights.values())
-    waiting = [(0, s, 0) for s in sorted(weights)]
+def exact_weights(weights: dict[str, float]) -> dict[str, int]:
+    """Whole numbers in exactly the proportions of the weights."""
+    exact = {s: Fraction(w) for s, w in weights.items()}
+    unit = lcm(*[x.denominator for x in exact.values()])
+    return {s: int(x * unit) for s, x in exact.items()}
+
+
+def turns(weights: dict[str, int], start: int = 0, first: dict[str, int] | None = None) -> Iterator[tuple[int, str, int]]:
+    """(slot, source, block) from the start slot on, when the next block of each source is `first`."""
+    total = sum(weights.values())
+    waiting = [(i * total // weights[s], s, i) for s, i in sorted((first or dict.fromkeys(weights, 0)).items())]
     heapq.heapify(waiting)
     ready: list[tuple[int, str, int]] = []
-    slots: dict[str, list[int]] = {s: [] for s in weights}
-    for t in range(period):
+    t = start
+    while True:
         while waiting and waiting[0][0] <= t:
             _, s, i = heapq.heappop(waiting)
-            heapq.heappush(ready, (-(-(i + 1) * period // weights[s]), s, i))
+            heapq.heappush(ready, (-(-(i + 1) * total // weights[s]), s, i))
         _, s, i = heapq.heappop(ready)
+        yield t, s, i
+        heapq.heappush(waiting, ((i + 1) * total // weights[s], s, i + 1))
+        t += 1
+
+
+def period_slots(weights: dict[str, int]) -> dict[str, list[int]]:
+    """The slots of each source in one period, earliest deadline first among released blocks."""
+    slots: dict[str, list[int]] = {s: [] for s in weights}
+    for (t, s, _), _ in zip(turns(weights), range(sum(weights.values()))):
         slots[s].append(t)
-        if i + 1 < weights[s]:
-            heapq.heappush(waiting, ((i + 1) * period // weights[s], s, i + 1))
     return slots
 
 
 def phases(blocks: dict[str, int], weights: dict[str, float], period: int = PERIOD):
-    """source -> [(first block, first slot, slots of a period, the period, its slots)]."""
-    plan: dict[str, list] = {s: [] for s in blocks}
+    """[(weights, first slot, blocks placed before)] and [(phase, slot in it, slots, next block of each source)]."""
+    plan, states = [], []
+    every = max(period, -(-sum(blocks.values()) // STATES))
     done, base = {s: 0 for s in blocks}, 0
     while left := {s: n - done[s] for s, n in blocks.items() if n > done[s]}:
-        length = max(period, 4 * len(left))
-        share = whole_weights({s: weights[s] for s in left}, length)
-        table = period_slots(share)
-        ends = {s: (n - 1) // share[s] * length + table[s][(n - 1) % share[s]] for s, n in left.items()}
-        last = min(ends.values())
+        share = exact_weights({s: weights[s] for s in left})
+        plan.append((share, base, {s: done[s] for s in left}))
+        following, last = dict.fromkeys(left, 0), 0
+        for t, s, i in turns(share):
+            if t % every == 0:
+                states.append([len(plan) - 1, t, every, dict(following)])
+            following[s], last = i + 1, t + 1
+            if i + 1 == left[s]:
+                break
+        states[-1][2] = last - states[-1][1]
         for s in left:
-            plan[s].append((done[s], base, share[s], length, table[s]))
-            full, rest = divmod(last + 1, length)
-            done[s] += full * share[s] + int(np.searchsorted(table[s], rest))
-        base += last + 1
-    return plan
+            done[s] += following[s]
+        base += last
+    return plan, states
+
+
+def scheduled(spark: SparkSession, blocks: dict[str, int], weights: dict[str, float], period: int = PERIOD) -> DataFrame:
+    """(_source, _at, slot): the slot of every block, from the kept states."""
+    plan, states = phases(blocks, weights, period)
+
+    def run(batches):
+        for batch in batches:
+            for k in batch.column("k").to_pylist():
+                phase, start, n, following = states[k]
+                share, base, before = plan[phase]
+                rows = [x for x, _ in zip(turns(share, start, following), range(n))]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([s for _, s, _ in rows], pa.string()), pa.array([before[s] + i for _, s, i in rows], pa.int64()),
+                     pa.array([base + t for t, _, _ in rows], pa.int64())], ["_source", "_at", "slot"])
+
+    return spark.range(len(states)).select(F.col("id").alias("k")).mapInArrow(run, "_source string, _at long, slot long")
 
 
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, block: int = BLOCK, period: int = PERIOD) -> DataFrame:
@@ -92,23 +133,14 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, block: int = B
         F.coalesce(F.concat(F.lit("s:"), F.col("source")), F.lit("null")).alias("_source"),
         F.xxhash64("doc_id").alias("_order"), F.col("doc_id").alias("_id"),
     )
+    ship_package(docs.sparkSession)
     counts = {r[0]: r[1] for r in keyed.groupBy("_source").count().collect()}
     wanted = {s: (weights or {}).get(s[2:], 0) or n ** 0.5 for s, n in counts.items()}
-    plan = phases({s: -(-n // block) for s, n in counts.items()}, wanted, period)
-    placed = common.ranked(keyed, ["_source"], ["_order", "_id"], "_rank").select("_row", "_source", "_rank")
-    turns = [
-        (source, first, following[0] if following else 1 << 62, base, share, length, table)
-        for source, rows in plan.items()
-        for (first, base, share, length, table), following in zip(rows, [*rows[1:], None])
-    ]
-    # A phase has at most max(period, 4 * sources) slots, and there are no more phases than sources.
-    steps = docs.sparkSession.createDataFrame(
-        turns, "_source string, _first long, _end long, _base long, _share long, _length long, _table array<long>")
-    at, turn = F.floor(F.col("_rank") / block), F.col("_at") - F.col("_first")
-    slot = F.col("_base") + F.floor(turn / F.col("_share")) * F.col("_length") + F.element_at("_table", (turn % F.col("_share") + 1).cast("int"))
-    placed = placed.withColumn("_at", at)
-    found = placed.join(F.broadcast(steps), (placed["_source"] == steps["_source"]) & (F.col("_at") >= F.col("_first")) & (F.col("_at") < F.col("_end")))
-    return found.select("_row.*", slot.alias("slot"), (slot * block + F.col("_rank") % block).alias("position"))
+    steps = scheduled(docs.sparkSession, {s: -(-n // block) for s, n in counts.items()}, wanted, period)
+    placed = common.ranked(keyed, ["_source"], ["_order", "_id"], "_rank").select(
+        "_row", "_source", "_rank", F.floor(F.col("_rank") / block).alias("_at"))
+    found = placed.join(steps, ["_source", "_at"])
+    return found.select("_row.*", "slot", (F.col("slot") * block + F.col("_rank") % block).alias("position"))
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

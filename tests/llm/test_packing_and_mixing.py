@@ -139,3 +139,24 @@ def test_written_order_is_read_back(spark, tmp_path):
     rows = packing.common.in_written_order(spark.read.parquet(str(tmp_path / "t")), "place").collect()
     assert len(rows) == 1000 and all(r.id == r.place for r in rows)
     assert packing.common._written("a/part-100000-x-c000.parquet") > packing.common._written("a/part-20000-x-c000.parquet")
+
+
+def test_many_periods_stay_within_one_block_of_the_real_weights():
+    weights = {"hot": 186.7, "rare": 0.31, **{f"s{i}": 42.8 + i / 7 for i in range(19)}}
+    total, n = sum(weights.values()), 30_000
+    plan, states = mixing.phases({s: int(w / total * n) + 1 for s, w in weights.items()}, weights, 100)
+    share, base, _ = plan[0]
+    assert base == 0
+    seen = {s: 0 for s in weights}
+    slot = 0
+    for phase, start, slots, following in states:
+        if phase:
+            break
+        assert start == slot and following == seen  # a task begins where the one before ends
+        for (t, s, i), _ in zip(mixing.turns(share, start, following), range(slots)):
+            assert i == seen[s]
+            seen[s] += 1
+            slot = t + 1
+            if slot % 37 == 0:
+                assert all(abs(seen[x] - slot * w / total) < 1 for x, w in weights.items())
+    assert slot > 29_000 and len(states) > 200
