@@ -35,6 +35,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -48,6 +49,8 @@ from logloom.session import ship_package
 INSERT, REROLE, DELETE, TRUNCATED = 3, 3, 4, 3
 #: Rows whose letters share one integer.
 BLOCK = 256
+#: Plans of short conversations that a task remembers.
+REMEMBERED = 1 << 16
 #: White space that does not count as text.
 SPACE = " \t\n\x0b\x0c\r"
 NEEDED = ["conv_id", "turn", "role", "text"]
@@ -134,13 +137,14 @@ def plan(characters: str, block: int = BLOCK) -> tuple[int, str]:
 
 def _planned(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     legal = {"su", "ua", "au"}
+    short = lru_cache(REMEMBERED)(plan)  # short conversations often have the same characters
     for batch in batches:
         out = []
         for characters in batch.column("characters").to_pylist():
             codes = [_code(c) for c in characters]
             faults = [fault for _, fault in codes]
             illegal = sum(a[0] + b[0] not in legal for a, b in zip(codes, codes[1:]))
-            out.append((*(faults.count(f) for f in (_BLANK, _DUPLICATE, _TRUNCATED)), illegal, *plan(characters)))
+            out.append((*(faults.count(f) for f in (_BLANK, _DUPLICATE, _TRUNCATED)), illegal, *(short if len(characters) <= 64 else plan)(characters)))
         columns = list(zip(*out)) or [[]] * 6
         yield pa.RecordBatch.from_arrays(
             [batch.column("conv_id"), *(pa.array(c, pa.int64()) for c in columns[:5]), pa.array(columns[5], pa.string())],
