@@ -35,6 +35,8 @@ from logloom.session import ship_package
 SAMPLE, PASSAGE = 256, 500
 #: Bytes of a language's dictionary, and of all dictionaries together.
 DICTIONARY_BYTES, TOTAL_BYTES = 1 << 16, 1 << 25
+#: Rows of sampled hashes that are broadcast at most.
+BROADCAST_ROWS = 1 << 20
 #: Compression level.
 LEVEL = 12
 #: Least share by which the second smallest encoding must be larger.
@@ -66,9 +68,12 @@ def learn(documents: DataFrame, learned: Column | None = None) -> dict[str, tupl
     counts = {r[0]: r[1] for r in texts.groupBy("lang").agg(F.sum("rows")).collect()}
     if not counts:
         return {}
+    sampled = smallest.select("lang", "hash")
+    if len(counts) * SAMPLE <= BROADCAST_ROWS:  # at most SAMPLE rows a language
+        sampled = F.broadcast(sampled)
     place = F.pmod(F.xxhash64("hash"), F.greatest(F.length("text") - PASSAGE, F.lit(0)) + 1)
     passages = (
-        rows.join(smallest.select("lang", "hash"), ["lang", "hash"])
+        rows.join(sampled, ["lang", "hash"])
         .groupBy("lang", "hash").agg(F.min(F.col("text").substr(place.cast("int") + 1, F.lit(PASSAGE))).alias("passage"))
     )
     size = min(DICTIONARY_BYTES, TOTAL_BYTES // len(counts))
