@@ -27,8 +27,19 @@ class Settings:
     watermark: str = DEFAULT_WATERMARK
     thresholds: Thresholds = field(default_factory=Thresholds)
     error_samples: int = 5
-    #: Relative error of a client's path count in the jobs; None counts exactly (append mode).
-    path_error: float | None = 0.05
+    #: Relative error of a client's path count in the jobs; None counts exactly.
+    path_error: float | None = None
+    #: Where the jobs write points: "store" (metric tables) or "remote" (line-protocol endpoint).
+    sink: str = "store"
+    #: Time of error points: "window_end" or "processing_time".
+    error_time: str = "window_end"
+    remote_url: str = "http://influxdb:8086"
+    remote_org: str = "primary"
+    remote_bucket: str = "logs"
+    remote_token: str = field(default="", repr=False)
+    #: Lines a request, and how often a request is tried.
+    remote_block: int = 5_000
+    remote_tries: int = 5
     kafka_bootstrap: str = "kafka:9092"
     access_topic: str = ACCESS_TOPIC
     error_topic: str = ERROR_TOPIC
@@ -52,6 +63,15 @@ class Settings:
                 scan_paths=int(e.get("SCAN_DISTINCT_PATHS_THRESHOLD", "20")),
                 error_rate=float(rate),
             ),
+            path_error=float(e["SCAN_PATH_ERROR"]) if e.get("SCAN_PATH_ERROR") else None,
+            sink=e.get("METRIC_SINK", "store"),
+            error_time=e.get("ERROR_TIME_SOURCE", "window_end"),
+            remote_url=e.get("INFLUX_URL", "http://influxdb:8086"),
+            remote_org=e.get("INFLUX_ORG", "primary"),
+            remote_bucket=e.get("INFLUX_BUCKET", "logs"),
+            remote_token=e.get("INFLUX_TOKEN", ""),
+            remote_block=int(e.get("REMOTE_BLOCK_LINES", "5000")),
+            remote_tries=int(e.get("REMOTE_TRIES", "5")),
             error_samples=int(e.get("ERROR_SAMPLE_LIMIT", "5")),
             kafka_bootstrap=e.get("KAFKA_BOOTSTRAP_SERVERS", "kafka:9092"),
             access_topic=e.get("KAFKA_TOPIC_ACCESS", ACCESS_TOPIC),

@@ -49,16 +49,17 @@ def path_scans(access: DataFrame, threshold: int = 20, window: str = DEFAULT_WIN
                watermark: str = DEFAULT_WATERMARK, rsd: float | None = None) -> DataFrame:
     """Clients that ask a host for at least ``threshold`` different paths in a window.
 
-    Exact by default: Spark first reduces to one row per path, so a client with very
-    many paths spreads over tasks. ``rsd`` asks for the sketch, as streams need.
+    Exact by default, in a batch as in a stream: rows first reduce to one per path, so a client
+    with very many paths spreads over tasks. ``rsd`` asks for a sketch with that error.
     """
-    if rsd is None and access.isStreaming:
-        rsd = 0.05
-    distinct = F.count_distinct("path") if rsd is None else F.approx_count_distinct("path", rsd)
-    keys = ["hostname", F.col("remote").alias("ip")]
+    if rsd is None:
+        counts = _path_counts(watermarked(access, watermark), window)
+    else:
+        keys = ["hostname", F.col("remote").alias("ip")]
+        distinct = F.approx_count_distinct("path", rsd).alias("count")
+        counts = rollup(access, window, keys, [distinct], watermark)
     return (
-        rollup(access, window, keys, [distinct.alias("count")], watermark)
-        .where(F.col("count") >= threshold)
+        counts.where(F.col("count") >= threshold)
         .withColumns({"kind": F.lit("scan"), "score": F.col("count") / threshold})
         .select(*COLUMNS)
     )
@@ -81,16 +82,25 @@ def _by_sketch(rows: DataFrame, window: str, rsd: float) -> DataFrame:
     return _two_levels(spans, [_requests(), _failures(), paths])
 
 
+def _path_counts(rows: DataFrame, window: str) -> DataFrame:
+    """Exact number of different paths per window, host and client.
+
+    In a stream the first row of each path passes a deduplication whose state the watermark
+    clears with its window; the count behind it then works in any output mode.
+    """
+    seen = rows.where(F.col("path").isNotNull()).select(
+        F.window("event_time", window).alias("span"), "hostname", F.col("remote").alias("ip"), "path"
+    ).dropDuplicates(["span", "hostname", "ip", "path"])
+    counts = seen.groupBy("span", "hostname", "ip").agg(F.count(F.lit(1)).alias("count"))
+    return counts.withColumn("window_end", F.col("span.end")).drop("span")
+
+
 def _by_path(rows: DataFrame, window: str) -> DataFrame:
     """Exact path counts without per-client sets: reduce to paths, then to clients."""
     span = F.window("event_time", window).alias("span")
     per_path = rows.groupBy(span, "hostname", F.col("remote").alias("ip"), "path").agg(
         _requests(), _failures()
     )
-    if rows.isStreaming:
-        # A second windowed step needs an event time of its own.
-        again = F.window(F.window_time("span"), window).alias("span")
-        per_path = per_path.select(again, "hostname", "ip", "path", "requests", "failures")
     return _two_levels(per_path, [
         F.sum("requests").alias("requests"),
         F.sum("failures").alias("failures"),
@@ -98,6 +108,12 @@ def _by_path(rows: DataFrame, window: str) -> DataFrame:
     ])
 
 
+def _requests_only(rows: DataFrame, window: str) -> DataFrame:
+    spans = rows.select(
+        F.window("event_time", window).alias("span"), "hostname", F.col("remote").alias("ip"), "status")
+    return _two_levels(spans, [_requests(), _failures(), F.lit(None).cast("bigint").alias("paths")])
+
+
 def anomalies(access: DataFrame, thresholds: Thresholds = Thresholds(),
               window: str = DEFAULT_WINDOW, watermark: str = DEFAULT_WATERMARK,
               rsd: float | None = None) -> DataFrame:
@@ -105,11 +121,15 @@ def anomalies(access: DataFrame, thresholds: Thresholds = Thresholds(),
 
     Client and host totals come from one scan by grouping sets, and each total emits
     the verdicts it supports, instead of three scans and aggregates in a union.
-    ``rsd`` counts paths by sketch (any output mode, one stateful step); without it
-    they are exact (for streams: append mode, two stateful steps).
+    ``rsd`` counts paths by sketch; without it they are exact. A stream then counts the paths in
+    a branch of their own, behind a deduplication, so any output mode works.
     """
     rows = watermarked(access, watermark)
-    totals = _by_path(rows, window) if rsd is None else _by_sketch(rows, window, rsd)
+    exact_stream = rsd is None and access.isStreaming
+    if exact_stream:
+        totals = _requests_only(rows, window)
+    else:
+        totals = _by_path(rows, window) if rsd is None else _by_sketch(rows, window, rsd)
     requests, paths = F.col("requests"), F.col("paths")
     rate = F.try_divide("failures", "requests")
     client = F.col("per_client")
@@ -128,9 +148,11 @@ def anomalies(access: DataFrame, thresholds: Thresholds = Thresholds(),
                 paths / t.scan_paths),
         verdict(~client & (rate >= t.error_rate), "error_surge", F.lit(""), requests, rate),
     ))
-    return (
+    found = (
         totals.select(F.col("span.end").alias("window_end"), "hostname",
                       F.explode(verdicts).alias("v"))
-        .select("window_end", "hostname", "v.ip", "v.kind", "v.count", "v.score",
-                seconds_in(window).cast("bigint").alias("window_s"))
+        .select("window_end", "hostname", "v.ip", "v.kind", "v.count", "v.score")
     )
+    if exact_stream:
+        found = found.unionByName(path_scans(access, t.scan_paths, window, watermark))
+    return found.withColumn("window_s", seconds_in(window).cast("bigint"))

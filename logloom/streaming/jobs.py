@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from logloom.config import Settings
@@ -38,13 +39,19 @@ from logloom.sources.logs import (
     override_host,
 )
 from logloom.sources.metric_store import (
-    append_history,
     checkpoint_generation,
-    new_generation,
+    replace_points,
     stream_points,
 )
 from logloom.streaming.alerts import alert_stream
-from logloom.streaming.sinks import BatchWriter, sample_writer, store_writer, to_console
+from logloom.streaming.monitor import LineCounts, counted
+from logloom.streaming.samples import sample_stream
+from logloom.streaming.sinks import (
+    BatchWriter,
+    remote_sink,
+    store_writer,
+    to_console,
+)
 
 SinkFor = Callable[[Measurement], BatchWriter]
 
@@ -68,10 +75,7 @@ def access_rows(raw: DataFrame, override: bool = False) -> DataFrame:
 
 def access_metrics(raw: DataFrame, settings: Settings,
                    override: bool = False) -> dict[Measurement, DataFrame]:
-    """The three access measurements of raw JSON lines.
-
-    A client's paths are counted with ``settings.path_error``, in a batch as in a stream.
-    """
+    """The three access measurements of raw JSON lines."""
     return access_rollups(access_rows(raw, override), settings, settings.path_error)
 
 
@@ -83,7 +87,8 @@ def error_rows(raw: DataFrame, zone: str | None = None, override: bool = False)
 
 def error_metrics(raw: DataFrame, settings: Settings, zone: str | None = None,
                   override: bool = False) -> dict[Measurement, DataFrame]:
-    errors = clean_tags(error_rows(raw, zone, override), ["hostname", "level"])
+    rows = error_rows(raw, zone, override)
+    errors = clean_tags(counted(rows) if rows.isStreaming else rows, ["hostname", "level"])
     return {ERROR_EVENTS: rollups.error_events(errors, settings.window, settings.watermark)}
 
 
@@ -104,12 +109,16 @@ def start_dead_letters(raw: DataFrame, log_type: str, path: str, checkpoints: st
 
 def start_error_samples(raw: DataFrame, settings: Settings, path: str, checkpoints: str,
                         zone: str | None = None, **trigger) -> StreamingQuery:
-    """A few raw rows for each kind of error, for ``read_samples``."""
+    """The first raw rows of each kind of error, by date, for ``read_samples``.
+
+    A window's rows are kept in state and written once, when the watermark has closed it.
+    """
+    ship_package(raw.sparkSession)
+    errors = clean_tags(error_rows(raw, zone), ["hostname", "level"])
+    samples = sample_stream(errors, settings.error_samples, settings.window, settings.watermark)
     writer = (
-        error_rows(raw, zone).writeStream.queryName("error_samples")
-        .foreachBatch(sample_writer(
-            path, settings.error_samples, settings.window,
-            checkpoint_generation(raw.sparkSession, f"{checkpoints}/error_samples_generation")))
+        samples.withColumn("date", F.to_date("window_end")).writeStream.queryName("error_samples")
+        .outputMode("append").format("parquet").partitionBy("date").option("path", path)
         .option("checkpointLocation", f"{checkpoints}/error_samples")
     )
     return (writer.trigger(**trigger) if trigger else writer).start()
@@ -119,7 +128,7 @@ def start_ingest(raw: DataFrame, path: str, checkpoints: str, override: bool = F
                  **trigger) -> StreamingQuery:
     """Parse access lines once, into typed columnar files that the metric queries follow."""
     writer = (
-        access_rows(raw, override).writeStream.queryName("ingest_access").format("parquet")
+        counted(access_rows(raw, override)).writeStream.queryName("ingest_access").format("parquet")
         .outputMode("append").option("path", path)
         .option("checkpointLocation", f"{checkpoints}/ingest_access")
     )
@@ -154,27 +163,56 @@ def start_metrics(metrics: Mapping[Measurement, DataFrame], sink: SinkFor, check
     return queries
 
 
+def _span(rows: DataFrame, window: str) -> tuple[int, int] | None:
+    """Microseconds from the first event to the end of the last one's window; None without events.
+
+    Points lie at the ends of windows, so this holds exactly the points that the rows give.
+    """
+    spans = rows.select(F.unix_micros(F.col("event_time").cast("timestamp")).alias("at"),
+                        F.unix_micros(F.window("event_time", window)["end"].cast("timestamp")).alias("end"))
+    first, last = spans.agg(F.min("at"), F.max("end")).first()
+    return None if first is None else (first, last + 1)
+
+
+def _replace(metrics: Mapping[Measurement, DataFrame], rows: DataFrame, store: str, settings: Settings) -> None:
+    span = _span(rows, settings.window)
+    if span is None:
+        return
+    for m, frame in metrics.items():
+        replace_points(to_points(frame, m, settings.env), store, m, *span,
+                       open_for=f"{settings.window} + {settings.watermark}")
+
+
 def backfill_access(raw: DataFrame, staging: str, store: str, settings: Settings) -> None:
     """Metric tables of a bounded log archive.
 
     The text is parsed once into a columnar table on shared storage. The three metrics then
     read only their columns of it, and a lost executor costs a re-read, not a re-parse. A backfill
-    is a generation of its own, so it replaces what a stream or an earlier run wrote.
+    replaces all points in the time of its rows, also those it does not produce itself, at once;
+    windows that a running stream may still rewrite are left to the stream.
     """
     access = access_rows(raw)
     access.write.mode("overwrite").parquet(staging)
     staged = raw.sparkSession.read.parquet(staging)
-    generation = new_generation()
-    for m, frame in access_rollups(staged, settings, settings.path_error).items():
-        append_history(to_points(frame, m, settings.env), store, m, generation=generation)
+    _replace(access_rollups(staged, settings, settings.path_error), staged, store, settings)
 
 
 def backfill_errors(raw: DataFrame, store: str, settings: Settings,
                     zone: str | None = None) -> None:
     """Error points of a bounded archive; the one metric needs no staging."""
-    generation = new_generation()
-    for m, frame in error_metrics(raw, settings, zone).items():
-        append_history(to_points(frame, m, settings.env), store, m, generation=generation)
+    _replace(error_metrics(raw, settings, zone), error_rows(raw, zone), store, settings)
+
+
+def metric_sink(spark: SparkSession, settings: Settings, store: str, checkpoints: str,
+                time_source: str = "window_end") -> SinkFor:
+    """The sink that the settings name: metric tables or the remote line-protocol endpoint."""
+    if settings.sink == "remote":
+        ship_package(spark)
+        return remote_sink(settings, checkpoints, time_source)
+    if settings.sink != "store":
+        raise ValueError(f"unknown sink: {settings.sink}")
+    return lambda m: store_writer(m, store, settings.env, time_source,
+                                  generation=checkpoint_generation(spark, checkpoints, store, m))
 
 
 def start_alerts(spark: SparkSession, store: str, target: str, checkpoints: str,
@@ -212,16 +250,14 @@ def run_access(store: str, settings: Settings | None = None, mode: str = "update
     """
     settings = settings or Settings.from_env()
     spark = build_session("access-metrics")
+    spark.streams.addListener(LineCounts())
     raw = open_stream(spark, access_topic(settings))
     checkpoints = f"{checkpoint_root(spark, settings.checkpoint_root)}/access"
-    generation = checkpoint_generation(spark, checkpoints)
     rows = f"{store.rstrip('/')}/access_rows"
     start_ingest(raw, rows, checkpoints, processingTime=every)
-    start_metrics(
-        access_rollups(ingested(spark, rows), settings, settings.path_error),
-        lambda m: store_writer(m, store, settings.env, generation=generation),
-        checkpoints, mode, processingTime=every,
-    )
+    start_metrics(access_rollups(ingested(spark, rows), settings, settings.path_error),
+                  metric_sink(spark, settings, store, checkpoints),
+                  checkpoints, mode, processingTime=every)
     wait(spark)
 
 
@@ -229,19 +265,39 @@ def run_errors(store: str, settings: Settings | None = None, mode: str = "update
                zone: str | None = None, every: str = "10 seconds") -> None:
     settings = settings or Settings.from_env()
     spark = build_session("error-metrics")
+    spark.streams.addListener(LineCounts())
     raw = open_stream(spark, error_topic(settings))
     root = settings.error_checkpoint_root or settings.checkpoint_root
     checkpoints = f"{checkpoint_root(spark, root)}/errors"
-    generation = checkpoint_generation(spark, checkpoints)
-    start_metrics(
-        error_metrics(raw, settings, zone),
-        lambda m: store_writer(m, store, settings.env, generation=generation),
-        checkpoints, mode, processingTime=every,
-    )
+    start_metrics(error_metrics(raw, settings, zone),
+                  metric_sink(spark, settings, store, checkpoints, settings.error_time),
+                  checkpoints, mode, processingTime=every)
     to_console(error_json(error_rows(raw, zone))).start()
     wait(spark)
 
 
+def run_samples(path: str, settings: Settings | None = None, zone: str | None = None,
+                every: str = "10 seconds") -> None:
+    """Error lines of the topic to stored samples, until the query stops or fails."""
+    settings = settings or Settings.from_env()
+    spark = build_session("error-samples")
+    root = checkpoint_root(spark, settings.error_checkpoint_root or settings.checkpoint_root)
+    start_error_samples(open_stream(spark, error_topic(settings)), settings, path, f"{root}/samples",
+                        zone, processingTime=every)
+    wait(spark)
+
+
+def run_dead_letters(path: str, settings: Settings | None = None, every: str = "10 seconds") -> None:
+    """Unreadable lines of both topics to text files, until a query stops or fails."""
+    settings = settings or Settings.from_env()
+    spark = build_session("dead-letters")
+    root = checkpoint_root(spark, settings.checkpoint_root)
+    for log_type, topic in ((ACCESS, access_topic), (ERROR, error_topic)):
+        start_dead_letters(open_stream(spark, topic(settings)), log_type, f"{path.rstrip('/')}/{log_type}",
+                           f"{root}/dead_letters", processingTime=every)
+    wait(spark)
+
+
 def wait(spark: SparkSession) -> None:
     """Return or raise as soon as any query ends, not only the first one started."""
     spark.streams.awaitAnyTermination()

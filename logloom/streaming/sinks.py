@@ -2,28 +2,34 @@
 
 from __future__ import annotations
 
+import time
+import urllib.error
+import urllib.parse
 import urllib.request
 from collections.abc import Callable, Iterable, Iterator
 from itertools import islice
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from logloom.config import DEFAULT_WINDOW
+from logloom.config import Settings
 from logloom.operators.points import Measurement, clean_tags, to_lines, to_points
-from logloom.operators.timeseries import first_k_per_group
-from logloom.plans.reports import SAMPLE_GROUP, error_samples
-from logloom.sources.metric_store import append_points
+from logloom.sources.commits import CommitLog
+from logloom.sources.metric_store import append_points, table_path
 
 BatchWriter = Callable[[DataFrame, int], None]
 
 
-def _points(batch: DataFrame, m: Measurement, env: str, time_source: str) -> DataFrame:
+def _points(batch: DataFrame, m: Measurement, env: str, time_source: str,
+            stamp: int | None = None) -> DataFrame:
+    """The points of a micro-batch; ``stamp`` (microseconds) is the time of its first attempt."""
     if time_source not in ("window_end", "processing_time"):
         raise ValueError(f"unknown time source: {time_source}")
-    time = F.current_timestamp() if time_source == "processing_time" else None
-    points = to_points(batch, m, env, time)
+    at = None
+    if time_source == "processing_time":
+        at = F.current_timestamp() if stamp is None else F.timestamp_micros(F.lit(stamp))
+    points = to_points(batch, m, env, at)
     return clean_tags(points, [t for t in m.tags if t not in ("status", "ip")])
 
 
@@ -32,11 +38,25 @@ def store_writer(m: Measurement, root: str, env: str = "dev",
                  generation: int = 0) -> BatchWriter:
     """Append each micro-batch to the metric table.
 
-    The batch number (in its checkpoint's generation) makes a re-emitted window a newer version of the same point, and
-    a replayed batch writes equal versions, so readers see each point once.
+    With the stream's ``generation`` (its number in the table's commit log) a batch writes with the
+    newest number published at its first attempt, so it wins over earlier backfills, and a
+    replayed batch writes the same versions with the same times, so readers see each point once.
+    Without one the batch number alone orders the versions, and a replay at processing time gets
+    another time.
     """
+    newest = 0
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        append_points(_points(batch, m, env, time_source), root, m, batch_id, files, generation)
+        nonlocal newest
+        if not generation:
+            append_points(_points(batch, m, env, time_source), root, m, batch_id, files)
+            return
+        entry = CommitLog(batch.sparkSession, table_path(root, m)).attempt(generation, batch_id, newest)
+        written = Observation()
+        points = _points(batch, m, env, time_source, entry.stamp).observe(
+            written, F.max(F.unix_micros(F.col("time").cast("timestamp"))).alias("newest"))
+        append_points(points, root, m, batch_id, files, entry.number)
+        newest = max(newest, entry.newest, written.get["newest"] or 0)
 
     return write
 
@@ -54,7 +74,8 @@ def line_writer(m: Measurement, path: str, env: str = "dev",
 def http_sender(url: str, org: str, bucket: str, token: str,
                 timeout: float = 10.0) -> Callable[[bytes], None]:
     """A function that posts one block of lines to a line-protocol write endpoint."""
-    target = f"{url.rstrip('/')}/api/v2/write?org={org}&bucket={bucket}&precision=ns"
+    query = urllib.parse.urlencode({"org": org, "bucket": bucket, "precision": "ns"})
+    target = f"{url.rstrip('/')}/api/v2/write?{query}"
 
     def send(body: bytes) -> None:
         request = urllib.request.Request(
@@ -66,6 +87,32 @@ def http_sender(url: str, org: str, bucket: str, token: str,
     return send
 
 
+def is_passing(error: Exception) -> bool:
+    """Whether the same block may be taken later: busy or broken servers, lost connections."""
+    if isinstance(error, urllib.error.HTTPError):
+        return error.code == 429 or error.code >= 500
+    return isinstance(error, OSError)
+
+
+def patient(send: Callable[[bytes], None], tries: int = 5, pause: float = 0.5,
+            longest: float = 30.0) -> Callable[[bytes], None]:
+    """Send again after a passing failure, each time after twice the pause, ``tries`` times in all.
+
+    A refused block fails at once, and the last failure fails the task, so Spark repeats the task
+    or the micro-batch: no block is given up silently.
+    """
+    def send_until_taken(body: bytes) -> None:
+        for attempt in range(1, tries + 1):
+            try:
+                return send(body)
+            except Exception as error:
+                if attempt == tries or not is_passing(error):
+                    raise
+                time.sleep(min(longest, pause * 2 ** (attempt - 1)))
+
+    return send_until_taken
+
+
 def blocks(lines: Iterable[str], size: int) -> Iterator[bytes]:
     rest = iter(lines)
     while block := list(islice(rest, size)):
@@ -73,43 +120,38 @@ def blocks(lines: Iterable[str], size: int) -> Iterator[bytes]:
 
 
 def remote_writer(m: Measurement, send: Callable[[bytes], None], env: str = "dev",
-                  time_source: str = "window_end", block: int = 5_000) -> BatchWriter:
-    """Every task sends its own lines in blocks; a repeated block rewrites equal points."""
+                  time_source: str = "window_end", block: int = 5_000,
+                  attempts: str | None = None, generation: int = 1) -> BatchWriter:
+    """Every task sends its own lines in blocks; a repeated block rewrites equal points.
+
+    ``attempts`` is a folder beside the checkpoint that keeps the time of a micro-batch's first attempt,
+    so that points at processing time are equal in a replay as well.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
         def send_partition(rows) -> None:
             for body in blocks((row.line for row in rows), block):
                 send(body)
 
-        to_lines(_points(batch, m, env, time_source), m).foreachPartition(send_partition)
+        stamp = None
+        if attempts:
+            stamp = CommitLog(batch.sparkSession, attempts).attempt(generation, batch_id).stamp
+        to_lines(_points(batch, m, env, time_source, stamp), m).foreachPartition(send_partition)
 
     return write
 
 
-def sample_writer(path: str, k: int = 5, window: str = DEFAULT_WINDOW,
-                  generation: int = 0) -> BatchWriter:
-    """The first raw error rows per window and key of each micro-batch, as Parquet.
-
-    ``read_samples`` cuts them to k per window. The place within a batch tells a replayed row
-    from an equal one.
-    """
-    order = Window.partitionBy(*SAMPLE_GROUP).orderBy("event_time", "message")
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        rows = error_samples(batch, k, window).withColumns({
-            "place": F.row_number().over(order), "batch_id": F.lit(batch_id).cast("bigint"),
-            "generation": F.lit(generation).cast("bigint"),
-        })
-        rows.write.mode("append").parquet(path)
-
-    return write
+def remote_sink(settings: Settings, checkpoints: str, time_source: str = "window_end",
+                send: Callable[[bytes], None] | None = None) -> Callable[[Measurement], BatchWriter]:
+    """The writer of each measurement to the endpoint of the settings, or through another sender."""
+    send = send or http_sender(settings.remote_url, settings.remote_org, settings.remote_bucket, settings.remote_token)
+    careful = patient(send, settings.remote_tries)
+    return lambda m: remote_writer(m, careful, settings.env, time_source, settings.remote_block,
+                                   f"{checkpoints}/{m.name}_attempts")
 
 
-def read_samples(spark: SparkSession, path: str, k: int = 5) -> DataFrame:
-    """The first k samples of each window and key, over all micro-batches, replays once."""
-    rows = spark.read.parquet(path).dropDuplicates(
-        [*SAMPLE_GROUP, "generation", "batch_id", "place"])
-    return first_k_per_group(rows, k, SAMPLE_GROUP, ["event_time", "message"]).select(
-        *SAMPLE_GROUP, "event_time", "message")
+def read_samples(spark: SparkSession, path: str) -> DataFrame:
+    """The stored samples: at most k rows of each window and key, each written once."""
+    return spark.read.parquet(path).drop("date")
 
 
 def keyed_messages(events: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import glob
 import os
+import urllib.error
 import uuid
 from dataclasses import replace
 from datetime import datetime, timedelta
@@ -15,10 +16,11 @@ from logloom.operators import alerts as batch_alerts
 from logloom.operators.errors import error_json
 from logloom.operators.points import ANOMALY, ERROR_EVENTS, HTTP_STATS, TOP_URLS, to_points
 from logloom.session import checkpoint_root
+from logloom.plans import reports
 from logloom.sources import logs, metric_store
 from logloom.sources.eventlog import access_json, error_lines
 from logloom.sources.logs import LogSource
-from logloom.streaming import alerts, jobs, sinks
+from logloom.streaming import alerts, jobs, monitor, sinks
 from tests.conftest import rows
 from tests.samples import NO_SERVER, NOTICE, REFUSED, at, request
 
@@ -311,12 +313,13 @@ def test_a_newer_generation_wins(spark, tmp_path):
 
     assert read() == []
     checkpoint = str(tmp_path / "ckpt")
-    first = metric_store.checkpoint_generation(spark, checkpoint)
-    assert metric_store.checkpoint_generation(spark, checkpoint) == first
+    first = metric_store.checkpoint_generation(spark, checkpoint, store, TOP_URLS)
+    assert metric_store.checkpoint_generation(spark, checkpoint, store, TOP_URLS) == first
     put_count(3, 500, first)
-    put_count(10, 0, metric_store.new_generation())
-    assert read() == [10]
-    put_count(11, 0, metric_store.checkpoint_generation(spark, str(tmp_path / "other")))
+    second = metric_store.checkpoint_generation(spark, str(tmp_path / "other"), store, TOP_URLS)
+    put_count(10, 0, second)
+    assert second > first and read() == [10]
+    put_count(11, 0, metric_store.checkpoint_generation(spark, str(tmp_path / "third"), store, TOP_URLS))
     assert read() == [11]
 
 
@@ -333,22 +336,125 @@ def test_host_of_the_envelope_wins(spark, tmp_path):
     assert plain.first().hostname == "localhost:9443"
 
 
-def test_dead_letters_and_samples(spark, tmp_path):
+def test_dead_letters(spark, tmp_path):
     put(tmp_path / "logs" / "web1", "access.json.log", [request(at(1)), "junk", "{}"])
-    put(tmp_path / "errs" / "web1", "error.log", [REFUSED] * 9 + [NO_SERVER, "?"])
+    put(tmp_path / "errs" / "web1", "error.log", [REFUSED, NO_SERVER, "?"])
     checkpoints, out = str(tmp_path / "ckpt"), tmp_path / "out"
     access, errors = (stream(spark, tmp_path / d / "*") for d in ("logs", "errs"))
     drain([
         jobs.start_dead_letters(access, "access", str(out / "a"), checkpoints, **ONCE),
         jobs.start_dead_letters(errors, "error", str(out / "e"), checkpoints, **ONCE),
-        jobs.start_error_samples(errors, Settings(), str(out / "s"), checkpoints, **ONCE),
     ])
     assert {r.value for r in spark.read.text(str(out / "a")).collect()} == {"junk", "{}"}
     assert [r.value for r in spark.read.text(str(out / "e")).collect()] == ["?"]
-    replayed = spark.read.parquet(str(out / "s"))
-    replayed.write.mode("append").parquet(str(out / "again"))
-    replayed.write.mode("append").parquet(str(out / "again"))
-    replayed.withColumn("batch_id", F.lit(1).cast("bigint")).write.mode("append").parquet(str(out / "again"))
-    samples = sinks.read_samples(spark, str(out / "again"))
-    assert {r.hostname: r["count"] for r in samples.groupBy("hostname").count().collect()} == {
-        "web1": 5, "localhost:9443": 2}
+
+
+def test_stored_samples_equal_batch(spark, tmp_path):
+    """At most k rows a group, over micro-batches and restarts; later files hold earlier rows too."""
+    folder = tmp_path / "logs" / "web1"
+    lines = [REFUSED.replace("21:05:30", f"21:05:{s:02d}") for s in (9, 7, 5, 8, 6, 4, 3)]
+    checkpoints, out = str(tmp_path / "ckpt"), str(tmp_path / "samples")
+    settings = Settings(error_samples=3, window="1 minute", watermark="1 minute")
+
+    def go():
+        raw = stream(spark, tmp_path / "logs" / "*", per_trigger=1)
+        drain([jobs.start_error_samples(raw, settings, out, checkpoints, **ONCE)])
+
+    put(folder, "a.log", lines[:3])
+    go()
+    put(folder, "b.log", [*lines[3:], "?", NO_SERVER])
+    go()
+    every = [line for p in sorted(folder.glob("*.log")) for line in p.read_text().splitlines()]
+    put(folder, "z.log", [NOTICE.replace("2024/", "2030/")])
+    go()
+    errors = jobs.error_rows(spark.createDataFrame([(x,) for x in every], "value string"))
+    expected = reports.error_samples(errors, 3, "1 minute")
+    got = sinks.read_samples(spark, out)
+    assert rows(got) == rows(expected.select(*got.columns)) and got.count() >= 4
+    assert metric_store.expire_rows(spark, out, "2031-01-01", 30) == sorted(
+        {str(r.window_end.date()) for r in expected.collect()})
+
+
+def test_lines_are_counted_per_batch(spark, tmp_path):
+    folder, counts, late = tmp_path / "logs" / "web1", [], []
+    for name, lines in (("a", [request(at(1)), "junk", "{}", request(END)]), ("b", [request(at(2)), "junk"])):
+        put(folder, f"{name}.json.log", lines)
+        raw = stream(spark, tmp_path / "logs" / "*")
+        query = jobs.start_ingest(raw, str(tmp_path / "rows"), str(tmp_path / "ckpt"), **ONCE)
+        drain([query])
+        counts += [(c["rows"], c["undated"]) for c in monitor.recent_counts(query) if c["rows"]]
+        followed = jobs.ingested(spark, str(tmp_path / "rows"))
+        metrics = {TOP_URLS: jobs.access_rollups(followed, SETTINGS, None)[TOP_URLS]}
+        queries = jobs.start_metrics(metrics, lambda m: sinks.store_writer(m, str(tmp_path / "store")),
+                                     str(tmp_path / "ckpt"), **ONCE)
+        drain(queries)
+        late.append(sum(c["late"] for c in monitor.recent_counts(queries[0])))
+    assert counts == [(4, 2), (2, 1)] and late == [0, 1]
+
+
+def test_update_mode_counts_paths_exactly(spark, tmp_path):
+    """Clients with 19, 20 and 21 different paths, dealt over files with repeats."""
+    folder, store = tmp_path / "logs" / "web1", str(tmp_path / "store")
+    hits = [(f"10.0.0.{n}", f"/{i}") for n in (19, 20, 21) for i in range(n)]
+    for part in range(3):
+        put(folder, f"{part}.json.log", [request(at(part), ip=ip, path=path) for i, (ip, path) in enumerate(hits)
+                                         if i % 3 == part or i % 2 == 0])
+    settings = Settings(window="1 hour", thresholds=Thresholds(1_000, 20, 2.0))
+    raw = stream(spark, tmp_path / "logs" / "*", per_trigger=1)
+    metrics = {ANOMALY: jobs.access_metrics(raw, settings)[ANOMALY]}
+    drain(jobs.start_metrics(metrics, lambda m: sinks.store_writer(m, store), str(tmp_path / "ckpt"), "update", **ONCE))
+    got = metric_store.read_points(spark, store, ANOMALY, "2025-01-01", "2025-01-02")
+    assert sorted((r.ip, r.kind, r["count"]) for r in got.collect()) == [
+        ("10.0.0.20", "scan", 20), ("10.0.0.21", "scan", 21)]
+    batch = jobs.access_metrics(logs.open_batch(spark, LogSource("text", str(tmp_path / "logs" / "*"))), settings)[ANOMALY]
+    assert rows(got) == rows(to_points(batch, ANOMALY).select(*got.columns))
+
+
+def test_remote_writes_are_tried_again(spark, tmp_path):
+    tried = []
+
+    def busy(body):
+        tried.append(body)
+        if len(tried) < 3:
+            raise urllib.error.HTTPError("u", 503, "busy", None, None)
+
+    sinks.patient(busy, 3, pause=0.001)(b"x")
+    assert tried == [b"x"] * 3
+    for error, times in ((urllib.error.HTTPError("u", 400, "bad", None, None), 1), (ConnectionResetError(), 4)):
+        tried.clear()
+
+        def refuse(body, error=error):
+            tried.append(body)
+            raise error
+
+        with pytest.raises(type(error)):
+            sinks.patient(refuse, 4, pause=0.001)(b"x")
+        assert len(tried) == times
+
+
+def test_remote_sink_of_a_job(spark, tmp_path, monkeypatch):
+    """The settings choose the remote sink; a replay at processing time sends equal points."""
+    settings = Settings.from_env({"METRIC_SINK": "remote", "INFLUX_ORG": "a b&c", "INFLUX_BUCKET": "x/y", "REMOTE_BLOCK_LINES": "2"})
+    asked = []
+    monkeypatch.setattr("urllib.request.urlopen", lambda r, timeout: asked.append(r) or open("/dev/null"))
+    sinks.http_sender(settings.remote_url, settings.remote_org, settings.remote_bucket, "t")(b"x")
+    assert asked[0].full_url.endswith("/api/v2/write?org=a+b%26c&bucket=x%2Fy&precision=ns")
+    folder = tmp_path / "sent"
+    folder.mkdir()
+    target = str(folder)
+
+    def send(body):
+        with open(f"{target}/{uuid.uuid4()}", "wb") as f:
+            f.write(body)
+
+    frame = spark.createDataFrame(
+        [(datetime(2025, 1, 1), f"h{i}", "error", "other", i) for i in range(3)],
+        "window_end timestamp, hostname string, level string, message_class string, count bigint").coalesce(1)
+    for batch in (0, 0, 1):
+        sink = sinks.remote_sink(settings, str(tmp_path / "ckpt"), "processing_time", send)
+        sink(ERROR_EVENTS)(frame, batch)
+    sent = [line for p in glob.glob(f"{target}/*") for line in open(p).read().split("\n")]
+    assert len(sent) == 9 and len(set(sent)) == 6
+    assert jobs.metric_sink(spark, settings, "", str(tmp_path / "c"))(ERROR_EVENTS)
+    with pytest.raises(ValueError):
+        jobs.metric_sink(spark, replace(settings, sink="other"), "", "")
