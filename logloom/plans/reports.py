@@ -17,7 +17,7 @@ from logloom.operators.points import (
     to_long,
     to_series,
 )
-from logloom.operators.quantiles import exact_quantile
+from logloom.operators.quantiles import exact_quantile, largest_group
 from logloom.operators.rollups import rollup
 
 SERIES = ("env", "hostname", "method")
@@ -59,9 +59,10 @@ def field_trend(stats: DataFrame, field: str, every: str = "5 minutes") -> DataF
 def latency_percentiles(stats: DataFrame, q: float = 0.95) -> DataFrame:
     """Exact percentile of the mean and maximum response times, per series."""
     long = to_long(stats, HTTP_STATS).where(F.col("field").isin("avg_rt", "max_rt"))
-    return exact_quantile(long, [*SERIES, "field"], "value", q).withColumnRenamed(
-        "field", "metric"
-    )
+    # A series has one value of each field a point, so its points are counted, not unfolded.
+    return exact_quantile(
+        long, [*SERIES, "field"], "value", q, largest=largest_group(stats, SERIES)
+    ).withColumnRenamed("field", "metric")
 
 
 def slow_windows(stats: DataFrame, seconds: float = 0.2) -> DataFrame:

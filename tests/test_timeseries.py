@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from logloom.operators import timeseries as ts
+from logloom.operators import quantiles
 from logloom.operators.quantiles import exact_quantile
 from logloom.plans import reports
 from tests.conftest import rows
@@ -79,15 +80,15 @@ def test_top_k_and_share(spark):
     assert shares["a"] == pytest.approx(100 / 7) and sum(shares.values()) == pytest.approx(100)
 
 
-@pytest.mark.parametrize("q", [0.05, 0.5, 0.95, 1.0])
-@pytest.mark.parametrize("bins, levels", [(3, 2), (64, 1)])
-def test_quantile_against_sorting(spark, q, bins, levels):
+@pytest.mark.parametrize("q", [0.05, 0.95, 1.0])
+@pytest.mark.parametrize("bound, bins", [(60, 3), (300, 64), (3_000, 64), (100_000, 256)])
+def test_quantile_against_sorting(spark, q, bound, bins):
     rng = random.Random(7)
     data = [("hot", round(rng.expovariate(1.0), 3)) for _ in range(6_000)]
     data += [(f"k{i % 40}", float(rng.randrange(50))) for i in range(2_000)]
     data += [(None, 1.0), (None, 2.0), ("one", 5.0), ("null", None), ("hot", None)]
     frame = spark.createDataFrame(data, "k string, v double").repartition(6)
-    got = {r.k: r.quantile for r in exact_quantile(frame, ["k"], "v", q, 50, bins, levels).collect()}
+    got = {r.k: r.quantile for r in exact_quantile(frame, ["k"], "v", q, bound, bins, 50).collect()}
     groups = {}
     for k, v in data:
         if v is not None:
@@ -95,6 +96,24 @@ def test_quantile_against_sorting(spark, q, bins, levels):
     assert got == {k: sorted(v)[max(math.ceil(q * len(v)), 1) - 1] for k, v in groups.items()}
 
 
+def test_quantile_windows_are_bounded(spark):
+    """A million different values in one group beside small groups: no window over the bound."""
+    bound, bins, accuracy = 2_000, 256, 4_000
+    values = spark.range(1_000_000).select(
+        F.lit("hot").alias("k"), (F.pmod(F.xxhash64("id"), F.lit(10**15)) / 1e3).alias("v"))
+    small = spark.range(3_000).select(F.concat(F.lit("s"), F.col("id") % 30).alias("k"), F.col("id").cast("double").alias("v"))
+    frame = values.unionByName(small)
+    assert [quantiles.levels_needed(n, bound, bins, accuracy) for n in (2_000, 2_001, 10**6, 10**9)] == [0, 1, 2, 3]
+    counted = frame.groupBy("k", "v").agg(F.count(F.lit(1)).alias("n"))
+    place = None
+    for _ in range(2):
+        place = quantiles._holding_range(counted, place, ["k"], 0.95, bins, accuracy)
+    assert 0 < quantiles.largest_group(quantiles._inside(counted, place, ["k"]), ["k"]) <= bound
+    got = {r.k: r.quantile for r in exact_quantile(frame, ["k"], "v", 0.95, bound).collect()}
+    expected = frame.groupBy("k").agg(F.expr("percentile_disc(0.95) WITHIN GROUP (ORDER BY v)").alias("v"))
+    assert got == {r.k: r.v for r in expected.collect()} and len(got) == 31
+
+
 def test_labels_with_a_missing_part_are_null(spark):
     frame = points(spark, [(0, None, 1.0)])
     assert frame.select(reports.label("host", "count")).first()[0] is None
@@ -113,7 +132,7 @@ def test_quantile_shuffles_no_raw_rows(spark):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        got = exact_quantile(frame, ["k"], "v", 0.95)
+        got = exact_quantile(frame, ["k"], "v", 0.95, bound=20)
         plan = got._jdf.queryExecution().executedPlan().toString()
         assert [r.quantile for r in got.collect()] == [94.0]
     finally:
