@@ -66,11 +66,3 @@ def error_events(errors: DataFrame, window: str = DEFAULT_WINDOW,
     """Error lines per key."""
     counts = rollup(errors, window, by, [F.count(F.lit(1)).alias("count")], watermark)
     return counts.select("window_end", *by, "count")
-
-
-def streaming_percentile(access: DataFrame, window: str, q: float,
-                         watermark: str = DEFAULT_WATERMARK, by: Sequence[str] = ("hostname",),
-                         accuracy: int = 10_000) -> DataFrame:
-    """Approximate response-time percentile; a bounded sketch, fit for streams."""
-    level = F.percentile_approx("rt", q, accuracy).alias("rt")
-    return rollup(access, window, by, [level], watermark).select("window_end", *by, "rt")

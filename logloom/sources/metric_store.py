@@ -32,7 +32,8 @@ def schema_of(m: Measurement) -> str:
     """Columns of a table, for readers that start before its first point."""
     tags = [f"{t} {'int' if t == 'status' else 'string'}" for t in m.tags]
     whole = ("count", "window_s")
-    fields = [f"{f} {'bigint' if f in whole else 'double'}" for f in m.fields]
+    kind = lambda f: "bigint" if f in whole else "binary" if f.endswith("_sketch") else "double"
+    fields = [f"{f} {kind(f)}" for f in m.fields]
     return ", ".join(["time timestamp", *tags, *fields, "generation bigint", "batch_id bigint", "date date"])
 
 

@@ -23,6 +23,7 @@ from logloom.operators.points import (
     clean_tags,
     to_points,
 )
+from logloom.operators.sketches import SKETCHES, sketch_rollup
 from logloom.session import (
     build_session,
     checkpoint_root,
@@ -67,6 +68,14 @@ def access_rollups(access: DataFrame, settings: Settings,
     }
 
 
+def stored_rollups(access: DataFrame, settings: Settings) -> dict[Measurement, DataFrame]:
+    """All measurements of access rows that a metric table can hold: also the sketches."""
+    return {
+        **access_rollups(access, settings, settings.path_error),
+        SKETCHES: sketch_rollup(access, settings.window, settings.watermark),
+    }
+
+
 def access_rows(raw: DataFrame, override: bool = False) -> DataFrame:
     """Normalized access rows with clean tags; ``override`` prefers the envelope's host."""
     rows = override_host(read_access(raw, keep=["host"])) if override else read_access(raw)
@@ -194,7 +203,7 @@ def backfill_access(raw: DataFrame, staging: str, store: str, settings: Settings
     access = access_rows(raw)
     access.write.mode("overwrite").parquet(staging)
     staged = raw.sparkSession.read.parquet(staging)
-    _replace(access_rollups(staged, settings, settings.path_error), staged, store, settings)
+    _replace(stored_rollups(staged, settings), staged, store, settings)
 
 
 def backfill_errors(raw: DataFrame, store: str, settings: Settings,
@@ -255,9 +264,12 @@ def run_access(store: str, settings: Settings | None = None, mode: str = "update
     checkpoints = f"{checkpoint_root(spark, settings.checkpoint_root)}/access"
     rows = f"{store.rstrip('/')}/access_rows"
     start_ingest(raw, rows, checkpoints, processingTime=every)
-    start_metrics(access_rollups(ingested(spark, rows), settings, settings.path_error),
-                  metric_sink(spark, settings, store, checkpoints),
-                  checkpoints, mode, processingTime=every)
+    followed = ingested(spark, rows)
+    # Sketches are bytes, which the line protocol cannot carry.
+    metrics = stored_rollups(followed, settings) if settings.sink == "store" else access_rollups(
+        followed, settings, settings.path_error)
+    start_metrics(metrics, metric_sink(spark, settings, store, checkpoints), checkpoints, mode,
+                  processingTime=every)
     wait(spark)
 
 

@@ -8,6 +8,7 @@ from dataclasses import replace
 
 from logloom.config import Settings
 from logloom.operators.points import MEASUREMENTS
+from logloom.operators.sketches import SKETCHES
 from logloom.session import build_session
 from logloom.sources.logs import LogSource, open_batch
 from logloom.sources.metric_store import clean, compact_dates, expire, expire_rows
@@ -67,13 +68,13 @@ def main(words: Sequence[str] | None = None) -> None:
         jobs.run_alerts(args.store, args.target, settings, args.every)
     elif args.command == "expire":
         spark = build_session("expire")
-        for m in MEASUREMENTS:
+        for m in (*MEASUREMENTS, SKETCHES):
             expire(spark, args.store, m, args.now, args.keep_days)
         for path in args.rows:
             expire_rows(spark, path, args.now, args.keep_days)
     elif args.command == "compact":
         spark = build_session("compact")
-        for m in MEASUREMENTS:
+        for m in (*MEASUREMENTS, SKETCHES):
             compact_dates(spark, args.store, m, args.most_files)
             clean(spark, args.store, m, args.grace)
     elif args.command == "samples":

@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 
 from logloom import submit
 from logloom.config import Settings, Thresholds
-from logloom.operators import alerts, rollups
-from logloom.operators.points import ANOMALY, ERROR_EVENTS, HTTP_STATS, MEASUREMENTS, TOP_URLS
+from logloom.operators import alerts, sketches
+from logloom.operators.points import ANOMALY, HTTP_STATS, MEASUREMENTS, TOP_URLS
 from logloom.plans import catalog, dashboards
 from logloom.sources import metric_store
-from logloom.sources.eventlog import access_json, access_rows, error_lines
+from logloom.sources.eventlog import access_json, error_lines
 from logloom.streaming import jobs, sinks
 from tests.conftest import SMALL, rows
 
@@ -82,10 +82,33 @@ def test_alert_job_on_stored_points(spark, tmp_path):
     assert len(go()) > len(first)
 
 
-def test_sketched_percentile_is_close(spark, events):
-    got = rollups.streaming_percentile(access_rows(events), "30 days", 0.95)
-    assert got.count() > 0 and got.where("rt is null").count() == 0
-    assert {HTTP_STATS.name, ERROR_EVENTS.name} <= {m.name for m in MEASUREMENTS}
+def test_sketches_of_a_stream_merge(spark, events, tmp_path):
+    """Sketches of small windows, written by a stream, against exact values of the whole."""
+    lines, store = str(tmp_path / "lines"), str(tmp_path / "store")
+    access_json(events).select("value").repartition(3).write.text(lines)
+    access = jobs.access_rows(spark.readStream.text(lines))
+    metrics = {sketches.SKETCHES: sketches.sketch_rollup(access, "10 minutes")}
+    for q in jobs.start_metrics(metrics, lambda m: sinks.store_writer(m, store), str(tmp_path / "ckpt"), availableNow=True):
+        q.awaitTermination()
+    read = metric_store.read_points(spark, store, sketches.SKETCHES, START, STOP)
+    exact = {}
+    for r in jobs.access_rows(access_json(events)).select("hostname", "rt", "remote").collect():
+        exact.setdefault(r.hostname, []).append((r.rt, r.remote))
+    merged = sketches.merge(read, ["hostname"])
+    got = merged.select("hostname", "count", *[sketches.response_time(q).alias(f"q{q}") for q in (0.5, 0.95)],
+                        sketches.clients().alias("clients")).collect()
+    assert {r.hostname for r in got} == set(exact)
+    for r in got:
+        times = sorted(rt for rt, _ in exact[r.hostname])
+        assert r["count"] == len(times)
+        assert abs(r.clients - len({ip for _, ip in exact[r.hostname]})) <= sketches.COUNT_ERROR * r.clients + 1
+        for q in (0.5, 0.95):
+            low = sum(t < r[f"q{q}"] for t in times) / len(times)
+            high = sum(t <= r[f"q{q}"] for t in times) / len(times)
+            assert low - sketches.RANK_ERROR <= q <= high + sketches.RANK_ERROR
+    days = sketches.merge(read, ["hostname"], "1 day")
+    assert days.agg(F.sum("count")).first()[0] == events.count()
+    assert days.groupBy("time", "hostname").count().where("count > 1").isEmpty()
 
 
 def test_one_ingest_feeds_the_metrics(spark, events, tmp_path):
