@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,3 +20,9 @@ def micros_in(duration: str) -> Column:
 def seconds_in(duration: str) -> Column:
     """Length in seconds as a double."""
     return micros_in(duration) / F.lit(1e6)
+
+
+def length(duration: str) -> timedelta:
+    """Length as a Python value, for checks on the driver: one number and a unit up to weeks."""
+    number, unit = duration.split()
+    return timedelta(**{unit.rstrip("s") + "s": int(number)})

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from logloom.functions.durations import interval, micros_in
+from logloom.functions.durations import interval, length, micros_in
 from logloom.operators.points import stack
 from logloom.operators.timeseries import fill_grid, instant
 
@@ -27,6 +27,11 @@ class Clock:
     lookback: str = "10 minutes"
     bucket: str = "5 minutes"
 
+    def __post_init__(self) -> None:
+        every, lookback, bucket = (length(d) for d in (self.every, self.lookback, self.bucket))
+        if every % bucket or lookback % bucket or lookback < every:
+            raise ValueError("every and lookback must be whole multiples of bucket, and lookback at least every")
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -176,7 +181,8 @@ def alert_states(tables: Mapping[str, DataFrame], start: str, stop: str,
                  rules: Sequence[Rule] = RULES, clock: Clock = Clock()) -> DataFrame:
     """State of every series of every rule at every evaluation in (start, stop].
 
-    An evaluation without points is a null value, which is ``NoData``.
+    An evaluation without points is a null value, which is ``NoData``. A rule that finds no
+    series in the range reports it for the rule itself, as the empty series.
     """
     narrowed = {}
     for name, table in tables.items():
@@ -193,16 +199,16 @@ def alert_states(tables: Mapping[str, DataFrame], start: str, stop: str,
         grid = rows.withColumn("first", F.window(lo, clock.every)["end"])
         return grid.withColumn("last", F.window(hi, clock.every)["start"])
 
-    cells = bounded(inside)
-    single = [r for r in rules if r.signal in SINGLE_SERIES]
-    if single:
-        # One-series rules report even if the range holds no point for them.
-        seeds = bounded(values.sparkSession.range(1).select(F.inline(rule_structs(single))))
-        cells = cells.unionByName(seeds.select(
-            "rule", F.lit("").alias("series"), "threshold", "hold_micros",
-            F.col("first").alias("evaluated"), F.lit(None).cast("double").alias("value"),
-            "first", "last",
-        ))
+    single = F.col("watched").isin(*SINGLE_SERIES)
+    seeds = values.sparkSession.range(1).select(F.inline(rule_structs(rules)))
+    # One-series rules always have their series; the others only if they find none.
+    silent = seeds.where(~single).join(inside.select("rule").distinct(), "rule", "left_anti")
+    seeds = bounded(seeds.where(single).unionByName(silent, allowMissingColumns=True)).select(
+        "rule", F.lit("").alias("series"), "threshold", "hold_micros",
+        F.col("first").alias("evaluated"), F.lit(None).cast("double").alias("value"),
+        "first", "last",
+    )
+    cells = bounded(inside).unionByName(seeds)
     cells = fill_grid(cells, ["rule", "series"], "evaluated", "value",
                       F.col("first"), F.col("last"), clock.every)
     return held(cells).select(

@@ -44,7 +44,7 @@ from logloom.sources.metric_store import (
     replace_points,
     stream_points,
 )
-from logloom.streaming.alerts import alert_stream
+from logloom.streaming.alerts import alert_stream, beats_of_clock, follow_beats
 from logloom.streaming.monitor import LineCounts, counted
 from logloom.streaming.samples import sample_stream
 from logloom.streaming.sinks import (
@@ -226,15 +226,19 @@ def metric_sink(spark: SparkSession, settings: Settings, store: str, checkpoints
 
 def start_alerts(spark: SparkSession, store: str, target: str, checkpoints: str,
                  rules: Sequence[Rule] = RULES, clock: Clock = Clock(),
-                 watermark: str = "5 minutes", **trigger) -> list[StreamingQuery]:
+                 watermark: str = "5 minutes", beats: DataFrame | None = None,
+                 **trigger) -> list[StreamingQuery]:
     """Alert states of new points, appended as Parquet; one query per watched table.
 
     Each point counts with its newest version once the watermark has passed it, so the watermark
     must be longer than the writer keeps re-emitting a window.
     Tables have queries of their own because one query has one watermark: a quiet anomaly
-    table must not hold back the rules on URLs.
+    table must not hold back the rules on URLs. With ``beats`` rules also report ``NoData``
+    while a table is silent or empty; points older than the watermark behind the newest beat are late then.
     """
     ship_package(spark)
+    if beats is not None:
+        follow_beats(spark)
     queries = []
     for m in (ANOMALY, TOP_URLS):
         watching = [r for r in rules if SIGNAL_TABLE[r.signal] == m.name]
@@ -242,7 +246,7 @@ def start_alerts(spark: SparkSession, store: str, target: str, checkpoints: str,
             continue
         points = {m.name: stream_points(spark, store, m)}
         writer = (
-            alert_stream(points, watching, clock, watermark).writeStream
+            alert_stream(points, watching, clock, watermark, beats=beats).writeStream
             .queryName(f"alerts_{m.name}").outputMode("append").format("parquet")
             .option("path", f"{target.rstrip('/')}/{m.name}")
             .option("checkpointLocation", f"{checkpoints}/alerts_{m.name}")
@@ -321,5 +325,5 @@ def run_alerts(store: str, target: str, settings: Settings | None = None,
     settings = settings or Settings.from_env()
     spark = build_session("alerts")
     checkpoints = f"{checkpoint_root(spark, settings.checkpoint_root)}/alerts"
-    start_alerts(spark, store, target, checkpoints, processingTime=every)
+    start_alerts(spark, store, target, checkpoints, beats=beats_of_clock(spark), processingTime=every)
     wait(spark)

@@ -3,6 +3,8 @@ from __future__ import annotations
 from dataclasses import replace
 from datetime import datetime, timedelta
 
+import pytest
+
 from logloom.operators import alerts
 from tests.conftest import rows
 
@@ -73,10 +75,21 @@ def test_url_rules(spark):
     assert rows(alerts.breaches(tables(spark, urls=data), both))[0]["rule"] == "total_5xx"
 
 
-def test_single_series_rules_report_without_any_point(spark):
-    assert states(spark, "max_score", "2025-01-01 00:10:00") == [
-        ("", 5, "NoData"), ("", 10, "NoData")]
-    assert states(spark, "any_host") == []
+def test_every_rule_reports_without_any_point(spark):
+    for r in alerts.RULES:
+        assert states(spark, r.name, "2025-01-01 00:10:00") == [("", 5, "NoData"), ("", 10, "NoData")]
+    # A rule with a series reports that one only; another rule's points do not count.
+    data = [(1, "web2", "scan", 1.0)]
+    assert states(spark, "any_host", "2025-01-01 00:05:00", anomaly=data) == [("web2", 5, "Normal")]
+    assert states(spark, "trend_web1", "2025-01-01 00:05:00", anomaly=data) == [("", 5, "NoData")]
+
+
+def test_clock_is_checked():
+    alerts.Clock("10 minutes", "20 minutes", "5 minutes")
+    for wrong in (("7 minutes", "14 minutes", "5 minutes"), ("5 minutes", "12 minutes", "5 minutes"),
+                  ("10 minutes", "5 minutes", "5 minutes")):
+        with pytest.raises(ValueError):
+            alerts.Clock(*wrong)
 
 
 def test_lookback_reaches_before_the_start(spark):
