@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from logloom.config import Thresholds
 from logloom.functions.access import event_time, status_class
-from logloom.operators import alerts, anomalies, rollups
+from logloom.operators import alerts, anomalies, rollups, sketches
 from logloom.operators import timeseries as ts
 from logloom.operators.access import decode_access, normalize_access, read_access, undated
 from logloom.operators.errors import (
@@ -42,8 +42,9 @@ from logloom.operators.points import (
 )
 from logloom.plans import reports
 from logloom.sources import eventlog
+from logloom.sources.commits import Replacement
 from logloom.sources.logs import override_host, routed_type
-from logloom.sources.metric_store import measurements
+from logloom.sources.metric_store import measurements, visible
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -355,6 +356,46 @@ def latest_wins_view(logs: Logs) -> DataFrame:
     return latest_wins(versions, TOP_URLS.key, TOP_URLS.fields)
 
 
+#: A published replacement of one week, and a later rewrite by the stream of two days at its end.
+REPLACED = Replacement(2, 1_704_672_000_000_000, 1_705_276_800_000_000)
+REWRITTEN = "time >= '2024-01-14' AND time < '2024-01-16'"
+
+
+def url_versions(logs: Logs) -> DataFrame:
+    """Hourly URL points as writers leave them in a table, with number and batch of each version.
+
+    The stream (1) writes each point twice, and once a point that it later would not write;
+    replacement 2 is published, replacement 3 is not; a new stream (4) rewrites two days.
+    """
+    points = logs.urls("1 hour")
+    stale = F.concat(F.col("path"), F.lit("?old"))
+
+    def version(number: int, batch: int, count: Column, path: Column = F.col("path"), where: str = "true") -> Column:
+        return F.when(F.expr(where), F.struct(
+            F.lit(number).cast("bigint").alias("generation"), F.lit(batch).cast("bigint").alias("batch_id"),
+            path.alias("path"), count.cast("bigint").alias("count")))
+
+    count = F.col("count")
+    versions = F.array_compact(F.array(
+        version(1, 0, F.floor(count / 2)), version(1, 1, count), version(1, 0, F.lit(1), stale),
+        version(2, -1, count + 100, where="time >= '2024-01-08' AND time < '2024-01-15'"),
+        version(3, -1, count + 1_000), version(4, 0, count + 7, where=REWRITTEN),
+    ))
+    unfolded = points.select("time", "env", "hostname", "status", F.explode(versions).alias("v"))
+    return unfolded.select("time", "env", "hostname", "status", "v.path", "v.count", "v.generation", "v.batch_id")
+
+
+def newest(versions: DataFrame) -> DataFrame:
+    seen = visible(versions, [REPLACED]).withColumn("version", F.struct("generation", "batch_id"))
+    return latest_wins(seen, TOP_URLS.key, TOP_URLS.fields, "version")
+
+
+@query
+def latest_wins_generations(logs: Logs) -> DataFrame:
+    """Current points of a table with streams, a published replacement and an unpublished one."""
+    return newest(url_versions(logs))
+
+
 @query
 def retention(logs: Logs) -> DataFrame:
     """The week before NOW and all after it; the rows before it are not read."""
@@ -436,6 +477,37 @@ def latency_p95_per_window(logs: Logs) -> DataFrame:
     return reports.latency_percentile_per_window(logs.access, "1 day")
 
 
+@query
+def latency_p95_sketch(logs: Logs) -> DataFrame:
+    """Daily p95 from merged hourly sketches, and whether its rank is as close as stated."""
+    points = to_points(sketches.sketch_rollup(logs.access, "1 hour"), sketches.SKETCHES)
+    days = sketches.merge(points, ["hostname"], "1 day").select(
+        F.col("time").alias("day"), F.col("hostname").alias("host"), sketches.response_time(0.95).alias("p95"))
+    spans = logs.access.select(F.window("event_time", "1 day")["end"].alias("time"), "hostname", "rt")
+    ranks = (
+        spans.join(days, (F.col("time") == F.col("day")) & (F.col("hostname") == F.col("host")))
+        .groupBy("time", "hostname").agg(
+            F.count(F.lit(1)).alias("requests"), F.avg((F.col("rt") < F.col("p95")).cast("int")).alias("below"),
+            F.avg((F.col("rt") <= F.col("p95")).cast("int")).alias("upto"))
+    )
+    error = sketches.RANK_ERROR
+    close = (F.col("below") - error <= 0.95) & (F.col("upto") + error >= 0.95)
+    return ranks.select("time", "hostname", "requests", close.alias("close"))
+
+
+@query
+def clients_by_sketch(logs: Logs) -> DataFrame:
+    """Daily clients from merged hourly sketches, beside the exact number."""
+    points = to_points(sketches.sketch_rollup(logs.access, "1 hour"), sketches.SKETCHES)
+    days = sketches.merge(points, ["hostname"], "1 day").select("time", "hostname", sketches.clients().alias("guess"))
+    exact = (
+        logs.access.select(F.window("event_time", "1 day")["end"].alias("time"), "hostname", "remote").distinct()
+        .groupBy("time", "hostname").agg(F.count("remote").alias("clients"))
+    )
+    close = F.abs(F.col("guess") - F.col("clients")) <= sketches.COUNT_ERROR * F.col("clients")
+    return exact.join(days, ["time", "hostname"]).select("time", "hostname", "clients", close.alias("close"))
+
+
 @query
 def latency_breaches(logs: Logs) -> DataFrame:
     return reports.slow_windows(logs.stats(), 0.2)
@@ -627,6 +699,34 @@ def alert_breaches(logs: Logs) -> DataFrame:
     return alerts.breaches(logs.alert_tables(), RULES, CLOCK)
 
 
+#: The first evaluation looks back before START, and anomaly windows are an hour long.
+BEFORE_START = "2023-12-31 22:00:00"
+
+
 @query
 def alert_states(logs: Logs) -> DataFrame:
-    return alerts.alert_states(logs.alert_tables(), START, STOP, RULES, CLOCK)
+    tables = logs.between(BEFORE_START, STOP, "1 hour").alert_tables()
+    return alerts.alert_states(tables, START, STOP, RULES, CLOCK)
+
+
+@query
+def alert_states_absent_host(logs: Logs) -> DataFrame:
+    """A rule on a host that no point names reports for itself."""
+    trend = next(r for r in RULES if r.name == "trend_web1")
+    rules = (trend, replace(trend, name="trend_web9", host="web9"))
+    tables = logs.between(BEFORE_START, STOP, "1 hour").alert_tables()
+    return alerts.alert_states(tables, START, STOP, rules, CLOCK)
+
+
+@query
+def alert_states_empty_range(logs: Logs) -> DataFrame:
+    """All rules on a day that no point reaches."""
+    return alerts.alert_states(logs.alert_tables(), "2024-02-05 00:00:00", "2024-02-06 00:00:00", RULES, CLOCK)
+
+
+@query
+def alert_states_from_versions(logs: Logs) -> DataFrame:
+    """Rules on URLs over a table that holds several versions of its points."""
+    rules = [r for r in RULES if alerts.SIGNAL_TABLE[r.signal] == "top_urls"]
+    versions = url_versions(logs.between(BEFORE_START, STOP, "1 hour"))
+    return alerts.alert_states({"top_urls": newest(versions)}, START, STOP, rules, CLOCK)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 
+# The patterns of an error line and the text of the log records below follow the
+# format of the logs.
 # Named subqueries; each entry lists what it reads so that a query carries only its own.
 PARTS: dict[str, tuple[tuple[str, ...], str]] = {
     "evk": ((), """
@@ -214,6 +216,49 @@ PARTS["rules"] = ((), """
           ('total_5xx', 'HTTP 5xx errors (sum last 10m) > 10', 6.0, 60, 'warning', 'http-5xx'))
         AS t(rule, title, threshold, hold_minutes, severity, component)""")
 
+# Points of a table with versions: a replaced week, two days rewritten later, points that a
+# replacement of their time makes invisible.
+REPLACED = "time >= TIMESTAMP '2024-01-08' AND time < TIMESTAMP '2024-01-15'"
+REWRITTEN = "time >= TIMESTAMP '2024-01-14' AND time < TIMESTAMP '2024-01-16'"
+PARTS["vurls"] = (("urls_h",), f"""
+        SELECT time, env, hostname, status, path, CAST(CASE WHEN {REWRITTEN} THEN count + 7
+          WHEN {REPLACED} THEN count + 100 ELSE count END AS BIGINT) AS count FROM urls_h
+        UNION ALL SELECT DISTINCT time, env, hostname, status, path || '?old', CAST(1 AS BIGINT)
+        FROM urls_h WHERE NOT ({REPLACED})""")
+
+PARTS["vcell"] = (("vurls",), covered("vurls", "time, hostname, path, status, count"))
+PARTS["vsignal"] = (("vcell",), """
+        SELECT 'top_error_path' AS rule, '' AS series, evaluated, CAST(max(n) AS DOUBLE) AS value FROM (
+          SELECT evaluated, hostname, path, status, sum(count) AS n FROM vcell
+          WHERE status BETWEEN 400 AND 599 GROUP BY ALL) GROUP BY ALL
+        UNION ALL SELECT 'total_5xx', '', evaluated, CAST(sum(count) AS DOUBLE) FROM vcell
+        WHERE status BETWEEN 500 AND 599 GROUP BY ALL""")
+
+
+def alert_states_sql(rules: str, lo: str = "2024-01-01", first: str = "2024-01-01 01:00:00",
+                     hi: str = "2024-02-01", source: str = "signal") -> str:
+    """States at every hour in (lo, hi]; rules without a series report as the empty one."""
+    inside = f"evaluated > TIMESTAMP '{lo}' AND evaluated <= TIMESTAMP '{hi}'"
+    return f"""
+        SELECT rule, title, severity, component, series, evaluated, value,
+          CASE WHEN value IS NULL THEN 'NoData' WHEN NOT breach THEN 'Normal'
+            WHEN date_diff('minute', since, evaluated) >= hold_minutes THEN 'Firing'
+            ELSE 'Pending' END AS state
+        FROM (SELECT *, max(CASE WHEN breach AND NOT before THEN evaluated END) OVER w AS since
+          FROM (SELECT *, coalesce(lag(breach) OVER w, false) AS before
+            FROM (SELECT r.*, s.series, g.evaluated, v.value, coalesce(v.value > threshold, false) AS breach
+              FROM {rules} r
+              JOIN (SELECT DISTINCT rule, series FROM {source} WHERE {inside}
+                    UNION SELECT rule, '' FROM {rules}
+                    WHERE rule IN ('max_score', 'top_error_path', 'total_5xx')
+                      OR rule NOT IN (SELECT rule FROM {source} WHERE {inside})) s USING (rule)
+              CROSS JOIN (SELECT unnest(generate_series(TIMESTAMP '{first}',
+                TIMESTAMP '{hi}', INTERVAL '1 hour')) AS evaluated) g
+              LEFT JOIN {source} v ON v.rule = r.rule AND v.series = s.series AND v.evaluated = g.evaluated)
+            WINDOW w AS (PARTITION BY rule, series ORDER BY evaluated))
+          WINDOW w AS (PARTITION BY rule, series ORDER BY evaluated))"""
+
+
 WHOLE = "time >= TIMESTAMP '2024-01-01' AND time < TIMESTAMP '2024-02-01'"
 
 
@@ -472,24 +517,21 @@ FINAL: dict[str, tuple[tuple[str, ...], str]] = {
     "alert_breaches": (("signal", "rules"), """
         SELECT rule, series, evaluated, value FROM signal JOIN rules USING (rule)
         WHERE value > threshold"""),
-    "alert_states": (("signal", "rules"), """
-        SELECT rule, title, severity, component, series, evaluated, value,
-          CASE WHEN value IS NULL THEN 'NoData' WHEN NOT breach THEN 'Normal'
-            WHEN date_diff('minute', since, evaluated) >= hold_minutes THEN 'Firing'
-            ELSE 'Pending' END AS state
-        FROM (SELECT *, max(CASE WHEN breach AND NOT before THEN evaluated END) OVER w AS since
-          FROM (SELECT *, coalesce(lag(breach) OVER w, false) AS before
-            FROM (SELECT r.*, s.series, g.evaluated, v.value, coalesce(v.value > threshold, false) AS breach
-              FROM rules r
-              JOIN (SELECT DISTINCT rule, series FROM signal
-                    WHERE evaluated > TIMESTAMP '2024-01-01' AND evaluated <= TIMESTAMP '2024-02-01'
-                    UNION SELECT rule, '' FROM rules
-                    WHERE rule IN ('max_score', 'top_error_path', 'total_5xx')) s USING (rule)
-              CROSS JOIN (SELECT unnest(generate_series(TIMESTAMP '2024-01-01 01:00:00',
-                TIMESTAMP '2024-02-01', INTERVAL '1 hour')) AS evaluated) g
-              LEFT JOIN signal v ON v.rule = r.rule AND v.series = s.series AND v.evaluated = g.evaluated)
-            WINDOW w AS (PARTITION BY rule, series ORDER BY evaluated))
-          WINDOW w AS (PARTITION BY rule, series ORDER BY evaluated))"""),
+    "alert_states": (("signal", "rules"), alert_states_sql("rules")),
+    "alert_states_absent_host": (("signal", "rules"), alert_states_sql("""
+        (SELECT * FROM rules WHERE rule = 'trend_web1' UNION ALL
+         SELECT * REPLACE ('trend_web9' AS rule) FROM rules WHERE rule = 'trend_web1')""")),
+    "alert_states_empty_range": (("signal", "rules"), alert_states_sql(
+        "rules", "2024-02-05 00:00:00", "2024-02-05 01:00:00", "2024-02-06 00:00:00")),
+    "alert_states_from_versions": (("vsignal", "rules"), alert_states_sql(
+        "(SELECT * FROM rules WHERE rule IN ('top_error_path', 'total_5xx'))", source="vsignal")),
+    "latest_wins_generations": (("vurls",), "SELECT * FROM vurls"),
+    "latency_p95_sketch": (("acc",), f"""
+        SELECT {window_end('1 day')} AS time, hostname, count(*) AS requests, true AS close
+        FROM acc GROUP BY ALL"""),
+    "clients_by_sketch": (("acc",), f"""
+        SELECT {window_end('1 day')} AS time, hostname, count(DISTINCT remote) AS clients, true AS close
+        FROM acc GROUP BY ALL"""),
 }
 
 
