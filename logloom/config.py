@@ -29,6 +29,8 @@ class Settings:
     error_samples: int = 5
     #: Relative error of a client's path count in the jobs; None counts exactly.
     path_error: float | None = None
+    #: How long parsed rows stay after all metrics have read them.
+    staged_keep: str = "1 hour"
     #: Where the jobs write points: "store" (metric tables) or "remote" (line-protocol endpoint).
     sink: str = "store"
     #: Time of error points: "window_end" or "processing_time".
@@ -64,6 +66,7 @@ class Settings:
                 error_rate=float(rate),
             ),
             path_error=float(e["SCAN_PATH_ERROR"]) if e.get("SCAN_PATH_ERROR") else None,
+            staged_keep=e.get("STAGED_ROWS_KEEP", "1 hour"),
             sink=e.get("METRIC_SINK", "store"),
             error_time=e.get("ERROR_TIME_SOURCE", "window_end"),
             remote_url=e.get("INFLUX_URL", "http://influxdb:8086"),

@@ -27,8 +27,6 @@ from logloom.operators.sketches import SKETCHES, sketch_rollup
 from logloom.session import (
     build_session,
     checkpoint_root,
-    file_system,
-    hadoop_path,
     ship_package,
 )
 from logloom.sources.logs import (
@@ -41,6 +39,7 @@ from logloom.sources.logs import (
 )
 from logloom.sources.metric_store import (
     checkpoint_generation,
+    micros_of,
     replace_points,
     stream_points,
 )
@@ -53,6 +52,7 @@ from logloom.streaming.sinks import (
     store_writer,
     to_console,
 )
+from logloom.streaming.staging import StagedRows, follow, stage_batches
 
 SinkFor = Callable[[Measurement], BatchWriter]
 
@@ -137,8 +137,8 @@ def start_ingest(raw: DataFrame, path: str, checkpoints: str, override: bool = F
                  **trigger) -> StreamingQuery:
     """Parse access lines once, into typed columnar files that the metric queries follow."""
     writer = (
-        counted(access_rows(raw, override)).writeStream.queryName("ingest_access").format("parquet")
-        .outputMode("append").option("path", path)
+        counted(access_rows(raw, override)).writeStream.queryName("ingest_access")
+        .outputMode("append").foreachBatch(stage_batches(path))
         .option("checkpointLocation", f"{checkpoints}/ingest_access")
     )
     return (writer.trigger(**trigger) if trigger else writer).start()
@@ -146,12 +146,8 @@ def start_ingest(raw: DataFrame, path: str, checkpoints: str, override: bool = F
 
 def ingested(spark: SparkSession, path: str, files_per_trigger: int = 1_000) -> DataFrame:
     """The typed rows of ``start_ingest`` as they arrive; the folder may not be there yet."""
-    file_system(spark, path).mkdirs(hadoop_path(spark, path))
     schema = access_rows(spark.createDataFrame([], "value string")).schema
-    return (
-        spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
-        .parquet(path)
-    )
+    return follow(spark, path, schema, files_per_trigger)
 
 
 def start_metrics(metrics: Mapping[Measurement, DataFrame], sink: SinkFor, checkpoints: str,
@@ -259,7 +255,8 @@ def run_access(store: str, settings: Settings | None = None, mode: str = "update
                every: str = "10 seconds") -> None:
     """Topic to metric tables, until a query stops or fails.
 
-    The topic is read and parsed once, into ``<store>/access_rows``; the metrics read that.
+    The topic is read and parsed once, into ``<store>/access_rows``; the metrics read that, and
+    what all of them have read goes after ``settings.staged_keep``.
     """
     settings = settings or Settings.from_env()
     spark = build_session("access-metrics")
@@ -272,6 +269,8 @@ def run_access(store: str, settings: Settings | None = None, mode: str = "update
     # Sketches are bytes, which the line protocol cannot carry.
     metrics = stored_rollups(followed, settings) if settings.sink == "store" else access_rollups(
         followed, settings, settings.path_error)
+    keep = micros_of(spark, settings.staged_keep)
+    spark.streams.addListener(StagedRows(spark, rows, [m.name for m in metrics], keep))
     start_metrics(metrics, metric_sink(spark, settings, store, checkpoints), checkpoints, mode,
                   processingTime=every)
     wait(spark)

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import json
+from dataclasses import replace
 from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
@@ -11,7 +13,7 @@ from logloom.operators.points import ANOMALY, HTTP_STATS, MEASUREMENTS, TOP_URLS
 from logloom.plans import catalog, dashboards
 from logloom.sources import metric_store
 from logloom.sources.eventlog import access_json, error_lines
-from logloom.streaming import jobs, sinks
+from logloom.streaming import jobs, sinks, staging
 from tests.conftest import SMALL, rows
 
 SETTINGS = Settings(window="1 hour", thresholds=Thresholds(2, 2, 0.3))
@@ -131,6 +133,42 @@ def test_one_ingest_feeds_the_metrics(spark, events, tmp_path):
     assert rows(got.select(columns)) == rows(expected.select(columns))
 
 
+def test_staged_rows_go_when_all_have_read_them(spark, events, tmp_path):
+    staged, checkpoints, store = tmp_path / "rows", str(tmp_path / "ckpt"), str(tmp_path / "store")
+    settings = replace(SETTINGS, watermark="60 days")  # the parts overlap in time
+    lines = access_json(events).select("value")
+    for part in range(3):
+        lines.where(F.pmod(F.xxhash64("value"), F.lit(3)) == part).coalesce(1).write.text(str(tmp_path / "lines" / str(part)))
+    raw = spark.readStream.option("maxFilesPerTrigger", 1).text(str(tmp_path / "lines" / "*"))
+    jobs.start_ingest(raw, str(staged), checkpoints, availableNow=True).awaitTermination()
+    left = lambda: sorted(p.name for p in staged.glob("batch=*"))
+    assert left() == [f"batch={i:012d}" for i in range(3)]
+    listener = staging.StagedRows(spark, str(staged), ["http_stats", "top_urls"])
+
+    def go(m):
+        followed = jobs.ingested(spark, str(staged), files_per_trigger=1)
+        metrics = {m: jobs.access_rollups(followed, settings, None)[m]}
+        for q in jobs.start_metrics(metrics, lambda m: sinks.store_writer(m, store), checkpoints, availableNow=True):
+            q.awaitTermination()
+            return [n for p in q.recentProgress for n in listener.heard(json.loads(p.json))]
+
+    assert go(HTTP_STATS) == [] and len(left()) == 3
+    assert go(TOP_URLS) == [0, 1] and left() == [f"batch={2:012d}"]
+    # Replays and restarts go on with what is left; nothing is counted twice.
+    jobs.start_ingest(raw, str(staged), checkpoints, availableNow=True).awaitTermination()
+    go(HTTP_STATS)
+    for m in (HTTP_STATS, TOP_URLS):
+        assert metric_store.read_points(spark, store, m, START, STOP).agg(F.sum("count")).first()[0] == events.count()
+    frame = jobs.access_rows(lines.limit(2))
+    write = staging.stage_batches(str(tmp_path / "again"))
+    for _ in range(2):
+        write(frame, 7)
+    assert spark.read.parquet(str(tmp_path / "again")).count() == 2
+    assert staging.remove_read(spark, str(tmp_path / "again"), 8, 3_600_000_000) == []
+    assert staging.remove_read(spark, str(tmp_path / "again"), 8) == [7]
+    assert staging.remove_read(spark, str(tmp_path / "none"), 8) == []
+
+
 def test_files_per_date_are_bounded(spark, events, tmp_path):
     store = str(tmp_path / "store")
     points = spark.range(500).selectExpr(
