@@ -138,8 +138,10 @@ class _Rolling:
         return _mixed((sums[hi] - sums[lo]) * self.down[lo] + (hi - lo).astype(np.uint64))
 
 
-_BYTES = np.random.default_rng(20240501).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
-_rollings = [_Rolling(11), _Rolling(1013), _Rolling(77003)]
+#: Bytes of a word that have a table of their own; a later byte uses the table of its place in the next block.
+_PLACES = 64
+_TABLES = np.random.default_rng(20240501).integers(0, 1 << 64, (_PLACES, 256), dtype=np.uint64).ravel()
+_rollings = [_Rolling(1013), _Rolling(77003)]
 _is_space = np.zeros(256, bool)
 _is_space[list(WORD_SPACE)] = True
 _lower = np.arange(256, dtype=np.uint8)
@@ -173,12 +175,30 @@ def hash_words(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.nda
     closes[:-1] &= ~word[1:]
     closes[inner - 1] = word[inner - 1]
     starts, ends = np.flatnonzero(opens), np.flatnonzero(closes) + 1
-    return _rollings[0].slices(_BYTES[data], starts, ends), np.searchsorted(starts, edges)
+    return _tabulated(data[word], ends - starts), np.searchsorted(starts, edges)
+
+
+def _tabulated(data: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Hash of each word from one random number for each (place, byte), words side by side in data.
+
+    A sum of random numbers has no pattern that words of some form could share, as the
+    powers of one base have; a place beyond the tables mixes its block's number in.
+    """
+    if not len(lengths):
+        return np.empty(0, np.uint64)
+    begins = np.cumsum(lengths) - lengths
+    place = np.arange(len(data)) - np.repeat(begins, lengths)
+    far = np.flatnonzero(place >= _PLACES)
+    block = place[far] // _PLACES
+    place[far] %= _PLACES
+    values = _TABLES[place * 256 + data]
+    values[far] = _mixed(values[far] + block.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return _mixed(np.add.reduceat(values, begins) + lengths.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
 def hash_runs(words: np.ndarray, lo: np.ndarray, hi: np.ndarray, second: bool = False) -> np.ndarray:
     """Hash of words[lo:hi] for each pair; `second` gives an independent one."""
-    return _rollings[2 if second else 1].slices(words, lo, hi)
+    return _rollings[1 if second else 0].slices(words, lo, hi)
 
 
 def text_slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
