@@ -16,13 +16,15 @@ A document's tokens are its distinct word shingles. Two documents link when
    (length and position filters first) and verified on the whole sets.
 5. Buckets of frequent pairs can be huge groups of near copies. Stars over the buckets give
    candidate groups; a group is cut into blocks, each pair of blocks is compared exactly in
-   one task by counting common tokens, and only links that connect leave the task.
+   one task by counting common tokens, and only links that connect leave the task, with the
+   number of rows that each document links with.
 
 The bitmap steers cost only: any classes give the same links.
 
 Edge cases: null or blank texts have no tokens and link with nothing; rows with a null
-doc_id are returned with a null component; rows that repeat a doc_id are judged one by one
-under that id; extra columns are ignored; an empty table gives an empty result.
+doc_id are returned with a null component and no links; rows that repeat a doc_id are judged one
+by one under that id, and where such an id stands for several token sets their links are
+counted together; texts of any length are read whole; extra columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -261,18 +263,19 @@ def _verified(words: int, lower: bool, percent: int):
             for x, y in zip(sides["text_a"], sides["text_b"]):
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            yield batch.select(["a", "b", "rows_a", "rows_b"]).filter(pa.array(keep, pa.bool_()))
     return run
 
 
 def _block_links(words: int, lower: bool, percent: int):
-    """Links between two blocks (or in one) of a group; of these, a spanning forest."""
+    """Links between two blocks (or in one) of a group: (a, b) of a spanning forest of them, and
+    for each document (a, null, n) with the rows that all its links lead to."""
     def run(key, frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["block", "doc_id"])
         sets = []
         for part in common.text_slices(pa.RecordBatch.from_pandas(frame[["text"]], preserve_index=False)):
             sets += list(_sets(part.column("text"), words, lower))
-        ids, block = frame["doc_id"].to_numpy(), frame["block"].to_numpy()
+        ids, block, rows = (frame[c].to_numpy() for c in ("doc_id", "block", "rows"))
         sizes = np.array([len(x) for x in sets])
         tokens = np.unique(np.concatenate(sets), return_inverse=True)[1]
         owner = np.repeat(np.arange(len(sets)), sizes)
@@ -288,6 +291,7 @@ def _block_links(words: int, lower: bool, percent: int):
             return i
 
         links, ends = [], np.r_[0, np.cumsum(sizes)]
+        reached = np.zeros(len(sets), np.int64)
         for i in np.flatnonzero(block == key[1]):
             own = tokens[ends[i] : ends[i + 1]]
             lo, n = opens[own], opens[own + 1] - opens[own]
@@ -295,12 +299,16 @@ def _block_links(words: int, lower: bool, percent: int):
             both = np.bincount(posted[at], minlength=len(sets))
             linked = 100 * both >= percent * (sizes[i] + sizes - both)
             linked &= (both > 0) & ((block == key[2]) if key[1] != key[2] else (np.arange(len(sets)) > i))
-            for j in np.flatnonzero(linked):
+            partners = np.flatnonzero(linked)
+            reached[i] += rows[partners].sum()
+            reached[partners] += rows[i]
+            for j in partners:
                 a, b = find(i), find(j)
                 if a != b:
                     root[b] = a
-                    links.append((ids[i], ids[j]))
-        return pd.DataFrame(links, columns=["a", "b"]).astype("int64")
+                    links.append((ids[i], ids[j], None))
+        links += [(ids[i], None, reached[i]) for i in np.flatnonzero(reached)]
+        return pd.DataFrame(links, columns=["a", "b", "n"]).astype("Int64")
     return run
 
 
@@ -308,8 +316,9 @@ def _block_links(words: int, lower: bool, percent: int):
 # The operator
 
 
-def links(texts: DataFrame, total: int, words: int, percent: int, lower: bool) -> DataFrame:
-    """Links (a, b) that connect all linked documents of (doc_id, text); `total` is their token count."""
+def links(texts: DataFrame, total: int, words: int, percent: int, lower: bool) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b) that connect all linked documents of (doc_id, text, rows), and (doc_id, n) with
+    the rows that each document's links lead to. `total` is the texts' token count."""
     spark: SparkSession = texts.sparkSession
     bitmap, bits, _ = frequent_cells(texts, total, words, lower)
     shared = spark.sparkContext.broadcast(bitmap)
@@ -320,11 +329,10 @@ def links(texts: DataFrame, total: int, words: int, percent: int, lower: bool) -
         single.repartition("sign").sortWithinPartitions("sign")
         .mapInArrow(_bucket_pairs(percent), "a long, b long").distinct()
     )
-    verified = (
-        pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-        .join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-        .select("a", "b", "text_a", "text_b")
-        .mapInArrow(_verified(words, lower, percent), "a long, b long")
+    side = lambda x: texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"text_{x}"), F.col("rows").alias(f"rows_{x}"))
+    verified = common.cut(
+        pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "rows_a", "rows_b", "text_a", "text_b")
+        .mapInArrow(_verified(words, lower, percent), "a long, b long, rows_a long, rows_b long")
     )
 
     combined = common.cut(
@@ -345,10 +353,24 @@ def links(texts: DataFrame, total: int, words: int, percent: int, lower: bool) -
         blocked.join(sizes, "grp").join(texts, "doc_id")
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select("grp", F.least("block", "other").alias("u"), F.greatest("block", "other").alias("v"),
-                "block", "doc_id", "text")
+                "block", "doc_id", "text", "rows")
     )
-    inside = units.groupBy("grp", "u", "v").applyInPandas(_unit(words, lower, percent), "a long, b long")
-    return verified.unionByName(inside)
+    inside = common.cut(
+        units.groupBy("grp", "u", "v").applyInPandas(_unit(words, lower, percent), "a long, b long, n long"))
+    # A group counts all links between its own documents; other links lead out of a group.
+    member = lambda x: groups.select(F.col("doc_id").alias(x), F.col("grp").alias(f"grp_{x}"))
+    outside = (
+        verified.join(member("a"), "a", "left").join(member("b"), "b", "left")
+        .where("grp_a is null or grp_b is null or grp_a <> grp_b")
+    )
+    ends = F.array(F.struct(F.col("a").alias("doc_id"), F.col("rows_b").alias("n")),
+                   F.struct(F.col("b").alias("doc_id"), F.col("rows_a").alias("n")))
+    counts = (
+        outside.select(F.explode(ends).alias("e")).select("e.*")
+        .unionByName(inside.where("b is null").select(F.col("a").alias("doc_id"), "n"))
+        .groupBy("doc_id").agg(F.sum("n").alias("n"))
+    )
+    return verified.select("a", "b").unionByName(inside.where("b is not null").select("a", "b")), counts
 
 
 def _unit(words: int, lower: bool, percent: int):
@@ -360,27 +382,34 @@ def _unit(words: int, lower: bool, percent: int):
 
 
 def jaccard_components(docs: DataFrame, words: int = 3, percent: int = 90, lower: bool = True) -> DataFrame:
-    """One row per row of docs(doc_id, text): doc_id, n_shingles, component_id, representative.
+    """One row per row of docs(doc_id, text): doc_id, n_shingles, component_id, representative, n_links.
 
     component_id is the smallest doc_id reachable by links, representative the smallest
-    doc_id with an equal token set.
+    doc_id with an equal token set, n_links the number of other rows that the row links with.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     keyed = common.cut(docs.mapInArrow(_set_keys(words, lower), "doc_id long, n_shingles long, key1 long, key2 long"))
     key = ["n_shingles", "key1", "key2"]
-    reps = keyed.where("n_shingles > 0 and doc_id is not null").groupBy(*key).agg(F.min("doc_id").alias("representative"))
+    reps = keyed.where("n_shingles > 0 and doc_id is not null").groupBy(*key).agg(
+        F.min("doc_id").alias("representative"), F.count(F.lit(1)).alias("rows"))
     total = reps.agg(F.sum("n_shingles")).first()[0] or 0
-    texts = common.cut(docs.join(reps.select(F.col("representative").alias("doc_id")).distinct(), "doc_id", "leftsemi"))
-    found = common.components(links(texts, total, words, percent, lower))
+    classes = reps.groupBy(F.col("representative").alias("doc_id")).agg(F.sum("rows").alias("rows"))
+    texts = common.cut(docs.join(classes, "doc_id"))
+    connected, counts = links(texts, total, words, percent, lower)
+    found = common.components(connected)
     labelled = (
         reps.join(found, F.col("representative") == F.col("node"), "left")
-        .select(*key, "representative", F.coalesce("component", "representative").alias("component_id"))
+        .join(counts.withColumnRenamed("doc_id", "counted"), F.col("representative") == F.col("counted"), "left")
+        .select(*key, "representative", F.coalesce("component", "representative").alias("component_id"),
+                (F.coalesce("n", F.lit(0)) + F.col("rows") - 1).alias("n_links"))
     )
+    known = F.col("doc_id").isNotNull()
     return (
         keyed.join(labelled, key, "left")
         .select("doc_id", "n_shingles",
-                F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"),
-                F.when(F.col("doc_id").isNotNull(), F.coalesce("representative", "doc_id")).alias("representative"))
+                F.when(known, F.coalesce("component_id", "doc_id")).alias("component_id"),
+                F.when(known, F.coalesce("representative", "doc_id")).alias("representative"),
+                F.when(known, F.coalesce("n_links", F.lit(0))).otherwise(0).cast("long").alias("n_links"))
     )
 
 

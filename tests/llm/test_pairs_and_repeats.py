@@ -26,7 +26,7 @@ def brute_components(rows, words, percent):
     for i, t in rows:
         w = [x.lower() for x in words_of(t)]
         sets[i] = {tuple(w[j:j + words]) for j in range(len(w) - words + 1)} if len(w) >= words else ({tuple(w)} if w else set())
-    root = {i: i for i in sets}
+    root, degree = {i: i for i in sets}, dict.fromkeys(sets, 0)
 
     def find(i):
         while root[i] != i:
@@ -38,9 +38,17 @@ def brute_components(rows, words, percent):
         for y in ids:
             both = len(sets[x] & sets[y])
             if x < y and both and 100 * both >= percent * len(sets[x] | sets[y]):
+                degree[x] += 1
+                degree[y] += 1
                 a, b = find(x), find(y)
                 root[max(a, b)] = min(a, b)
-    return {i: (len(s), find(i)) for i, s in sets.items()}
+    return {i: (len(s), find(i), degree[i]) for i, s in sets.items()}
+
+
+def thue_morse():
+    """Two words of 1,024 letters that any polynomial modulo a power of two takes for one."""
+    word = "".join("ab"[i.bit_count() % 2] for i in range(1024))
+    return word, word.translate(str.maketrans("ab", "ba"))
 
 
 def near_copies(seed, groups=6, copies=40):
@@ -61,10 +69,27 @@ def test_components_equal_brute_force(spark, monkeypatch, percent, words, freque
     monkeypatch.setattr(jj, "FREQUENT", frequent)  # few copies already count as frequent
     rows = near_copies(percent + words + frequent)
     frame = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jj.jaccard_components(frame, words, percent).collect()}
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.n_links) for r in jj.jaccard_components(frame, words, percent).collect()}
     assert got == brute_components(rows, words, percent)
 
 
+def test_long_words_are_told_apart(spark):
+    one, two = thue_morse()
+    assert one != two
+    rows = [(i, f"{w} {w} {w}" if i < 2 else f"{w} x y z") for i, w in enumerate((one, two, one, two, one))]
+    got = {r.doc_id: (r.component_id, r.n_links) for r in jj.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {0: (0, 0), 1: (1, 0), 2: (2, 1), 3: (3, 0), 4: (2, 1)}
+    rows = [(i, " ".join([w] * 50)) for i, w in enumerate((one, two, one))]
+    got = {r.doc_id: r.n_removed for r in sd.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {0: 0, 1: 0, 2: 50}
+
+
+def test_links_of_copies_and_odd_rows(spark):
+    rows = [(1, "a b c d"), (2, "a b c d"), (3, "A  b c d"), (None, "a b c d"), (5, ""), (6, None), (7, "q")]
+    got = sorted((r.doc_id or -1, r.n_links) for r in jj.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == [(-1, 0), (1, 2), (2, 2), (3, 2), (5, 0), (6, 0), (7, 0)]
+
+
 def test_jaccard_edge_rows(spark):
     rows = [(1, None, "x"), (2, "", "x"), (3, " \n", "x"), (4, "A b c d", "x"), (5, "a B c d", "x"), (5, "a B c d", "x"),
             (None, "a b c d", "x"), (9, "one", "x"), (8, "one", "x")]
