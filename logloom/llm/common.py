@@ -19,6 +19,9 @@ CHUNK_BYTES = 1 << 20
 #: The white space that ends a word: space and the characters 9 to 13.
 WORD_SPACE = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 
+#: Files whose first places are broadcast at most; of more, they are joined.
+BROADCAST_FILES = 1 << 16
+
 _own_folder: list[str] = []
 
 
@@ -62,7 +65,9 @@ def in_written_order(frame: DataFrame, name: str) -> DataFrame:
         begins.append((path, n))
         n += counts[path]
     begin = frame.sparkSession.createDataFrame(begins, "_file string, _begin long")
-    return at.join(F.broadcast(begin), "_file").withColumn(name, F.col("_begin") + F.col("_index")).drop("_file", "_index", "_begin")
+    if len(begins) <= BROADCAST_FILES:
+        begin = F.broadcast(begin)
+    return at.join(begin, "_file").withColumn(name, F.col("_begin") + F.col("_index")).drop("_file", "_index", "_begin")
 
 
 def _written(path: str) -> tuple:

@@ -13,7 +13,8 @@ join. When a source runs out, the others go on with their weights scaled up, in
 document is dropped or repeated. Ranks in a source that holds most rows are found in slices.
 
 Edge cases: rows with a null source form a source of their own; repeated rows and null ids are
-placed like others; a single source keeps its hash order; extra columns are kept; an empty
+placed like others; a single source keeps its hash order; extra columns are kept, but the result's
+`slot` and `position` replace input columns of these names; texts of any length pass through; an empty
 table gives an empty result.
 """
 
@@ -37,20 +38,6 @@ BLOCK = 8
 PERIOD, STATES = 1000, 4096
 
 
-def whole_weights(weights: dict[str, float], period: int) -> dict[str, int]:
-    """Slots of a period for each source, at least one, by largest remainders."""
-    total = sum(weights.values())
-    exact = {s: w / total * period for s, w in weights.items()}
-    slots = {s: max(1, int(x)) for s, x in exact.items()}
-    by_rest = sorted(exact, key=lambda s: (slots[s] - exact[s], s))
-    i = 0
-    while (off := period - sum(slots.values())) != 0:
-        s = by_rest[i % len(by_rest)] if off > 0 else max(slots, key=lambda x: (slots[x] - exact[x], slots[x] > 1, x))
-        slots[s] += 1 if off > 0 else -1
-        i += 1
-    return slots
-
-
 def exact_weights(weights: dict[str, float]) -> dict[str, int]:
     """Whole numbers in exactly the proportions of the weights."""
     exact = {s: Fraction(w) for s, w in weights.items()}
@@ -75,20 +62,16 @@ def turns(weights: dict[str, int], start: int = 0, first: dict[str, int] | None
         t += 1
 
 
-def period_slots(weights: dict[str, int]) -> dict[str, list[int]]:
-    """The slots of each source in one period, earliest deadline first among released blocks."""
-    slots: dict[str, list[int]] = {s: [] for s in weights}
-    for (t, s, _), _ in zip(turns(weights), range(sum(weights.values()))):
-        slots[s].append(t)
-    return slots
-
-
 def phases(blocks: dict[str, int], weights: dict[str, float], period: int = PERIOD):
     """[(weights, first slot, blocks placed before)] and [(phase, slot in it, slots, next block of each source)]."""
     plan, states = [], []
     every = max(period, -(-sum(blocks.values()) // STATES))
     done, base = {s: 0 for s in blocks}, 0
     while left := {s: n - done[s] for s, n in blocks.items() if n > done[s]}:
+        # Sources without a weight share what is left when the others have run out.
+        if not any(weights[s] > 0 for s in left):
+            weights = {**weights, **dict.fromkeys(left, 1)}
+        left = {s: n for s, n in left.items() if weights[s] > 0}
         share = exact_weights({s: weights[s] for s in left})
         plan.append((share, base, {s: done[s] for s in left}))
         following, last = dict.fromkeys(left, 0), 0
@@ -122,12 +105,16 @@ def scheduled(spark: SparkSession, blocks: dict[str, int], weights: dict[str, fl
     return spark.range(len(states)).select(F.col("id").alias("k")).mapInArrow(run, "_source string, _at long, slot long")
 
 
-def mix(docs: DataFrame, weights: dict[str, float] | None = None, block: int = BLOCK, period: int = PERIOD) -> DataFrame:
+def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, block: int = BLOCK, period: int = PERIOD) -> DataFrame:
     """docs(doc_id, source, ...) with slot and position; order by position to read the mix.
 
-    Without weights, a source weighs the square root of its number of documents. Sources and
+    Without weights, a source weighs the square root of its number of documents. With them, the key
+    None is the weight of rows without a source; sources that are left out or weigh 0 come, with
+    equal weights, when the others have run out, since no document is dropped. Sources and
     their weights are a small table by nature: one entry a source reaches the driver.
     """
+    if weights is not None and any(w < 0 for w in weights.values()):
+        raise ValueError("weights must not be negative")
     keyed = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in ("slot", "position")]).alias("_row"),
         F.coalesce(F.concat(F.lit("s:"), F.col("source")), F.lit("null")).alias("_source"),
@@ -135,7 +122,10 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, block: int = B
     )
     ship_package(docs.sparkSession)
     counts = {r[0]: r[1] for r in keyed.groupBy("_source").count().collect()}
-    wanted = {s: (weights or {}).get(s[2:], 0) or n ** 0.5 for s, n in counts.items()}
+    if weights is None:
+        wanted = {s: n ** 0.5 for s, n in counts.items()}
+    else:
+        wanted = {s: weights.get(None if s == "null" else s[2:], 0) for s in counts}
     steps = scheduled(docs.sparkSession, {s: -(-n // block) for s, n in counts.items()}, wanted, period)
     placed = common.ranked(keyed, ["_source"], ["_order", "_id"], "_rank").select(
         "_row", "_source", "_rank", F.floor(F.col("_rank") / block).alias("_at"))

@@ -88,15 +88,21 @@ def test_packing_edge_rows(spark):
     assert packing.pack_documents(frame.limit(0)).count() == 0
 
 
-def test_every_prefix_of_a_phase_is_within_one_block():
-    weights = mixing.whole_weights({"a": 5.0, "b": 3.3, "c": 0.01, "d": 1.7}, 1000)
-    assert sum(weights.values()) == 1000 and min(weights.values()) >= 1
-    slots = mixing.period_slots(weights)
-    assert sorted(t for s in slots.values() for t in s) == list(range(1000))
-    for s, w in weights.items():
-        taken = np.zeros(1001)
-        taken[np.array(slots[s]) + 1] = 1
-        assert np.abs(np.cumsum(taken) - np.arange(1001) * w / 1000).max() < 1
+def test_weights_left_out_or_zero_come_last(spark):
+    rows = [(i, ["a", "b", "c", None, "ll"][i % 5]) for i in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string")
+
+    def sources(weights):
+        return [r.source for r in mixing.mix(docs, weights, block=1).orderBy("position").collect()]
+
+    found = sources({"a": 3.0, "b": 1.0, "c": 0})
+    assert len(found) == 500 and set(found[:133]) == {"a", "b"} and 98 <= found[:133].count("a") <= 100
+    assert set(found[:200]) == {"a", "b"} and set(found[200:]) == {"c", None, "ll"}
+    found = sources({"ll": 59.0, None: 1.0})
+    assert found[:60].count("ll") in (58, 59, 60) and set(found[:60]) <= {"ll", None}
+    assert sorted(map(str, sources({}))) == sorted(str(s) for _, s in rows)
+    with pytest.raises(ValueError):
+        mixing.mix(docs, {"a": -1.0})
 
 
 def test_mix_keeps_all_rows_in_every_phase(spark):
