@@ -6,13 +6,17 @@ is inferred (hex, base 32, base 36, base 64), and three tests ask whether it cou
 uniformly from that alphabet: chi-squared of the symbols, runs of character classes, serial
 correlation. Fisher's method combines their p-values.
 
+A run is cut at inner `=` signs, so a value behind any name is tested by itself, and a part that no
+encoding fits is cut at its punctuation. A part that touches a base span is no candidate.
+
 Random strings have uniform p-values, text has p-values near zero. For each length class and
-encoding, the p-values of the whole corpus are counted in bins; from the upper half follows
-how many candidates are random, and the smallest cut is taken at which at most `FDR` of the
-accepted ones are expected not to be. Short candidates, where the tests tell less, thus need
-a larger p-value than long ones. Only those counts reach the driver (a fixed number of bins).
+encoding, the p-values of the whole corpus are counted in bins, PRIOR random ones added; from the
+upper half follows how many candidates are random, and the smallest cut is taken at which at most
+`FDR` of the accepted ones are expected not to be. Short candidates, where the tests tell less,
+thus need a larger p-value than long ones. The rule is the same for classes of any size: the added
+ones only matter in small classes. Only those counts reach the driver (a fixed number of bins).
 
-Edge cases: null and empty texts have no spans; repeated rows are scanned one by one; equal
+Edge cases: texts of any length are scanned whole; null and empty texts have no spans; repeated rows are scanned one by one; equal
 starts are ordered by kind; null ids stay null; extra columns are kept out of the report and
 kept in the redacted documents; an empty table gives an empty result.
 """
@@ -39,8 +43,8 @@ KINDS = ("assign", "access", "hex", "random")
 
 RANDOM_LEAST = 20
 FDR, P_BINS, LEAST_P = 0.05, 200, 0.01
-#: Candidates of a class from which its own cut is taken; smaller classes use LEAST_P.
-ENOUGH = 50
+#: Random candidates that each class is taken to have beside those found.
+PRIOR = 25
 REDACTED = "[SECRET]"
 
 _table = lambda chars: np.isin(np.arange(256), [ord(c) for c in chars])
@@ -122,6 +126,18 @@ def battery(token: str) -> tuple[str, float] | None:
     return name, min(1.0, math.exp(-half) * tail)
 
 
+def _parts(token: str) -> list[tuple[int, int, tuple[str, float]]]:
+    """(start, end, battery result) of the candidates of a run of token characters."""
+    found = []
+    for part in re.finditer(r"[^=]+(=+$)?", token):
+        if tested := battery(part[0]):
+            found.append((part.start(), part.end(), tested))
+        elif len(part[0]) > RANDOM_LEAST and not any(set(part[0].rstrip("=")) <= set(a) for a in ALPHABETS.values()):
+            inner = ((m.start() + part.start(), m.end() + part.start(), battery(m[0])) for m in re.finditer(r"[A-Za-z0-9]+", part[0]))
+            found += [x for x in inner if x[2]]
+    return found
+
+
 def _length_class(n: int) -> int:
     return min(7, n.bit_length() * 2 - 8 + (n >> max(0, n.bit_length() - 2) & 1))
 
@@ -178,13 +194,12 @@ def _scan(batches):
             bases, maybes = [], []
             for text, bits, hexes, tokens in zip(texts, raw, found["hex"], found["random"]):
                 base, maybe = _base(text or "", bits, hexes), []
-                for (x, y), (a, b) in zip(tokens, _points(bits, tokens)):
-                    if any(s < b and a < e for s, e, _ in base):
-                        continue
-                    tested = battery(bits[x:y].decode())
-                    if tested:
-                        maybe.append({"start": a, "end": b, "kind": 3, "class": f"{tested[0]}:{_length_class(b - a)}",
-                                      "bin": min(P_BINS - 1, int(tested[1] * P_BINS))})
+                for (x, y), (run, _) in zip(tokens, _points(bits, tokens)):
+                    for opens, closes, tested in _parts(bits[x:y].decode()):
+                        a, b = run + opens, run + closes
+                        if not any(s < b and a < e for s, e, _ in base):
+                            maybe.append({"start": a, "end": b, "kind": 3, "class": f"{tested[0]}:{_length_class(b - a)}",
+                                          "bin": min(P_BINS - 1, int(tested[1] * P_BINS))})
                 bases.append([{"start": a, "end": b, "kind": k} for a, b, k in base])
                 maybes.append(maybe)
             yield pa.RecordBatch.from_arrays(
@@ -196,11 +211,8 @@ def cuts(counts: dict[tuple[str, int], int]) -> dict[str, int]:
     """For each class the first bin whose candidates are accepted."""
     first = {}
     for name in {c for c, _ in counts}:
-        bins = np.array([counts.get((name, b), 0) for b in range(P_BINS)], float)
+        bins = np.array([counts.get((name, b), 0) for b in range(P_BINS)], float) + PRIOR / P_BINS
         least = max(1, int(LEAST_P * P_BINS))
-        first[name] = least
-        if bins.sum() < ENOUGH:
-            continue
         random = 2 * bins[P_BINS // 2 :].sum()
         accepted = bins[::-1].cumsum()[::-1]
         expected = random * (1 - np.arange(P_BINS) / P_BINS)
