@@ -5,19 +5,21 @@ Their verdicts also label the urls that they fit. All other urls are judged by t
 
 1. A path's segments are read down a tree per host. A segment is a wildcard if it is a number
    or an id, or if its place under one parent has more values than `WIDE`; what is left names
-   the branches. Below `DEPTH` segments the rest is one wildcard.
-2. Branches of one parent are merged when their labelled shares do not differ from the
-   parent's by more than `ALIKE` standard errors; they share the parent's counts.
-3. A template is rejected when its smoothed share of blocked labels is above `REJECT`; without
-   labels the prior decides, which allows.
+   the branches. Below DEPTH segments, or one more than the longest rule has, the rest is one
+   wildcard: labels come from rules, so branches that differ only below carry equal labels.
+2. From the host down, each branch's share of blocked labels is smoothed towards its parent's, with
+   the weight of STRENGTH labels; the host's towards the prior. A branch without labels has its parent's.
+3. Branches whose labelled share does not differ from the parent's by more than `ALIKE`
+   standard errors are merged: they have the parent's share.
+4. A template is rejected when its share is above `REJECT`. Hosts without labels have the prior, which allows.
 
 Urls reduce to distinct (host, path) with counts before the tree is built, so a host that holds
 most pages is as many rows as it has paths; each level is one aggregation with map-side
 sums and a join that adaptive execution can split. Only built-in functions are used.
 
 Edge cases: a null url, or one without `://`, has an empty host and path and the prior's
-verdict; repeated rows get equal verdicts; extra columns are ignored; an empty table gives an
-empty result.
+verdict; urls of any length are read whole; repeated rows get equal verdicts; a share equal to
+`REJECT` allows; extra columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,6 +27,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logloom.llm import common
+
 #: The rules, as (verdict, host and path beginning).
 RULES = (
     ("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
@@ -33,8 +37,8 @@ RULES = (
 #: Levels of the tree; values under one parent from which the place is a wildcard.
 DEPTH, WIDE = 4, 20
 ALIKE = 1.96
-#: Prior labels, blocked and allowed; smoothed blocked share from which a template is rejected.
-PRIOR_BLOCKED, PRIOR_ALLOWED, REJECT = 1.0, 2.0, 0.5
+#: Prior share of blocked labels and its weight in labels; share from which a template is rejected.
+PRIOR, STRENGTH, REJECT = 1 / 3, 3.0, 0.5
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -63,32 +67,52 @@ def _shape(segment: Column) -> Column:
                   F.concat(F.lit("*"), F.regexp_extract(segment, r"(\.[A-Za-z]\w*)$", 1))).otherwise(segment)
 
 
-def templates(paths: DataFrame) -> DataFrame:
+def depth_of(rules) -> int:
+    """Levels that tell all labels apart: one below the longest rule."""
+    return max([DEPTH, *(text.count("/") + 1 for _, text in rules)])
+
+
+def templates(paths: DataFrame, depth: int = DEPTH) -> DataFrame:
     """Add `template` to distinct paths(host, path, n, blocked, allowed)."""
     parts = F.filter(F.split("path", "/"), lambda s: s != "")
     tree = paths.withColumn("_parts", F.transform(parts, _shape)).withColumn("template", F.lit(""))
-    for level in range(DEPTH):
+    for level in range(depth):
         tree = tree.withColumn("_segment", F.when(F.size("_parts") > level, F.get("_parts", F.lit(level))))
         values = tree.where("_segment is not null").select("host", "template", "_segment").distinct()
         wide = values.groupBy("host", "template").agg((F.count(F.lit(1)) > WIDE).alias("_wide"))
         tree = tree.join(wide, ["host", "template"], "left").withColumn("template", F.when(
             F.col("_segment").isNull(), F.col("template")).otherwise(
             F.concat("template", F.lit("/"), F.when(F.col("_wide"), F.lit("*")).otherwise(F.col("_segment"))))).drop("_wide", "_segment")
-    deeper = F.when(F.size("_parts") > DEPTH, F.concat("template", F.lit("/**"))).otherwise(F.col("template"))
+    deeper = F.when(F.size("_parts") > depth, F.concat("template", F.lit("/**"))).otherwise(F.col("template"))
     return tree.withColumn("template", deeper).drop("_parts")
 
 
-def purities(tree: DataFrame) -> DataFrame:
-    """(host, template, blocked_share): smoothed share of blocked labels, alike branches merged."""
-    parent = F.regexp_replace("template", r"/[^/]*$", "")
-    nodes = tree.groupBy("host", "template").agg(F.sum("blocked").alias("b"), F.sum("allowed").alias("a")).withColumn("parent", parent)
-    above = nodes.groupBy("host", "parent").agg(F.sum("b").alias("pb"), F.sum("a").alias("pa"))
-    labelled, share = F.col("b") + F.col("a"), F.try_divide("pb", F.col("pb") + F.col("pa"))
-    error = F.sqrt(F.try_divide(share * (1 - share), labelled))
-    alike = (labelled > 0) & (F.abs(F.try_divide("b", labelled) - share) <= ALIKE * error)
-    own = (F.col("b") + PRIOR_BLOCKED) / (labelled + PRIOR_BLOCKED + PRIOR_ALLOWED)
-    pooled = (F.col("pb") + PRIOR_BLOCKED) / (F.col("pb") + F.col("pa") + PRIOR_BLOCKED + PRIOR_ALLOWED)
-    return nodes.join(above, ["host", "parent"]).select("host", "template", F.when(alike, pooled).otherwise(own).alias("blocked_share"))
+def purities(tree: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """(host, template, blocked_share): smoothed from the host down, alike branches merged."""
+    steps = F.split("template", "/")
+    above = F.transform(F.sequence(F.lit(1), F.size(steps)), lambda i: F.array_join(F.slice(steps, 1, i), "/"))
+    nodes = common.cut(
+        tree.groupBy("host", "template").agg(F.sum("blocked").alias("b"), F.sum("allowed").alias("a"))
+        .select("host", "b", "a", F.explode(above).alias("node"))
+        .groupBy("host", "node").agg(F.sum("b").alias("b"), F.sum("a").alias("a"))
+        .withColumn("level", F.size(F.split("node", "/")) - 1)
+    )
+    labels = F.col("b") + F.col("a")
+    shares = nodes.where("level = 0").select(
+        "host", "node", "b", "a", ((F.col("b") + PRIOR * STRENGTH) / (labels + STRENGTH)).alias("share"))
+    found = shares
+    for level in range(1, depth + 2):
+        parents = shares.select("host", F.col("node").alias("parent"), F.col("b").alias("pb"),
+                                (F.col("b") + F.col("a")).alias("p_labels"), F.col("share").alias("p_share"))
+        below = nodes.where(F.col("level") == level).withColumn("parent", F.regexp_replace("node", r"/[^/]*$", ""))
+        rate = F.try_divide("pb", F.col("p_labels"))
+        error = F.sqrt(F.try_divide(rate * (1 - rate), labels))
+        alike = (labels == 0) | (F.abs(F.try_divide("b", labels) - rate) <= ALIKE * error)
+        own = (F.col("b") + F.col("p_share") * STRENGTH) / (labels + STRENGTH)
+        shares = below.join(parents, ["host", "parent"]).select(
+            "host", "node", "b", "a", F.when(alike, F.col("p_share")).otherwise(own).alias("share"))
+        found = found.unionByName(shares)
+    return found.select("host", F.col("node").alias("template"), F.col("share").alias("blocked_share"))
 
 
 def judge_urls(pages: DataFrame, rules=RULES) -> DataFrame:
@@ -99,8 +123,9 @@ def judge_urls(pages: DataFrame, rules=RULES) -> DataFrame:
     paths = ruled.groupBy("host", "path").agg(
         F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("_said") == "block", 1)).alias("blocked"),
         F.count(F.when(F.col("_said") == "allow", 1)).alias("allowed"))
-    tree = templates(paths)
-    known = tree.select("host", "path", "template").join(purities(tree), ["host", "template"])
+    depth = depth_of(rules)
+    tree = common.cut(templates(paths, depth))
+    known = tree.select("host", "path", "template").join(purities(tree, depth), ["host", "template"])
     learned = F.when(F.col("blocked_share") > REJECT, "block").otherwise("allow")
     return (
         ruled.join(known, ["host", "path"], "left")

@@ -181,6 +181,41 @@ def test_url_rules(spark):
     assert url_filter.judge_urls(frame.limit(0)).count() == 0
 
 
+def test_unlabelled_branches_take_after_their_siblings(spark):
+    urls = [f"http://h.com/x/s{c}/{i}" for c in "abcdefghijk" for i in range(3)] + ["http://h.com/x/sl/1", "http://h.com/y/z"]
+    urls += [f"http://h.com/y/{c}/1" for c in "abcdefghijklmnopq" for _ in range(9)]
+    urls += [f"http://h.com/a/b/c/d/{k}/{i}" for k in ("good", "bad") for i in range(30)] + ["http://h.com/a/b/c/d/bad/new/1"]
+    urls += ["http://other.com/x/sl/1"]
+    frame = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    rules = [("block", f"h.com/x/s{c}/") for c in "abcdefghijk"] + [("allow", f"h.com/y/{c}/") for c in "abcdefghijklmnopq"]
+    rules += [("allow", "h.com/a/b/c/d/good/"), ("block", "h.com/a/b/c/d/bad/1"), ("block", "h.com/a/b/c/d/bad/2")]
+    got = {urls[r.page_id]: r for r in url_filter.judge_urls(frame, tuple(rules)).collect()}
+    assert url_filter.depth_of(rules) == 7
+    said = {u: r.verdict for u, r in got.items() if r.rule is None}
+    assert said["http://h.com/x/sl/1"] == "block" and said["http://h.com/y/z"] == "allow"
+    assert said["http://h.com/a/b/c/d/bad/3"] == "block" and said["http://other.com/x/sl/1"] == "allow"
+    assert len({round(got[u].blocked_share, 6) for u in said}) > 2
+
+
+def test_random_values_behind_names_are_found(spark):
+    pick = random.Random(2)
+    letters = secret_scan.ALPHABETS["base64"][:62]
+    values = ["".join(pick.choice(letters) for _ in range(40)) for _ in range(200)]
+    texts = [f"see session={v} and" for v in values[:100]] + [f"AWS_KEY={v}&x=1 +_{v}" for v in values[100:]]
+    docs = spark.createDataFrame([(0, i, t) for i, t in enumerate(texts)], "row long, doc_id long, text string")
+    found = {r.doc_id: [texts[r.doc_id][s.start:s.end] for s in r.spans] for r in secret_scan.scan_secrets(docs).collect()}
+    assert sum(values[i] in found[i] for i in range(100)) >= 90
+    assert sum(values[i] in found[i] for i in range(100, 200)) >= 90
+    assert all(set(f) <= {values[i]} for i, f in found.items())
+
+
+def test_one_rule_for_classes_of_any_size():
+    """The same value is judged alike beside few and many random ones."""
+    first = [secret_scan.cuts({("hex:3", b): n for b in range(200)} | {("hex:3", 0): n})["hex:3"] for n in (1, 10, 1000)]
+    assert len(set(first)) == 1
+    assert secret_scan.cuts({("hex:3", 60): 1}) == {"hex:3": 2}
+
+
 def test_url_templates_learn_from_labels(spark):
     urls = [f"http://h.com/de/list/{i}" for i in range(40)] + [f"http://h.com/ok/{'abcdefghij'[i % 10]}" for i in range(40)]
     urls += [f"http://h.com/shop/{i}.html" for i in range(30)]
