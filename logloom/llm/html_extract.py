@@ -12,12 +12,17 @@ What is never main text by its element or role (menus, footers, sidebars, forms,
 adverts, reader comments) has no ratio. Where a page marks an article or main part, paths outside
 weigh a tenth.
 
-Spark sums the paths of all pages; the `PATHS` most frequent are handed to every task, others
-are judged by their own page alone.
+Each page is parsed once. A path is known by a digest chained from tag to tag, so neither its depth
+nor a label's length is cut. Pages are parsed in slices of about a megabyte; the able blocks and the
+sums of a slice's paths go to a table in the shared folder. Spark adds the sums of each path over
+all slices and joins the totals back to the slices that hold the path, by path and salt, so that a
+path of every page is no single task. A slice then meets the totals of its own paths, however
+many paths the corpus has; no table of paths reaches the driver or every task.
 
 Edge cases: null and empty pages and pages without content give an empty text; cut-off
 pages end where they end (an unfinished tag, comment or script is no text); unknown character
-references stay as they are; repeated rows are judged one by one; extra columns are ignored; an
+references stay as they are; repeated rows are judged one by one; extra columns are ignored; a page of
+any length or depth is parsed whole, as a slice of its own; equal ratios are all chosen or all left; an
 empty table gives an empty result.
 """
 
@@ -26,18 +31,18 @@ from __future__ import annotations
 import html
 import math
 import re
+from hashlib import blake2b
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logloom.llm import common
 from logloom.session import ship_package
 
-#: Corpus-wide path sums handed to the tasks, at most (about 10 MB).
-PATHS = 50_000
-#: Longest path label kept; deeper paths count as their first tags.
-DEPTH = 24
+#: Parts into which the slices that hold a path are dealt.
+SALTS = 64
 #: A path is content if its ratio reaches this share of the page's mean ratio.
 SHARE = 0.4
 #: Weight of paths outside the article or main part of a page that has one.
@@ -83,7 +88,7 @@ def _role(attrs: str) -> tuple[str, bool]:
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
             never = True
         elif name in ("class", "id", "role"):
-            label = label or value.split(" ")[0][:32]
+            label = label or value.split(" ")[0]
             never |= any(w in ROLE_WORDS for w in _ROLE_SPLIT.split(value))
     return label, never
 
@@ -97,22 +102,44 @@ class Block:
         self.link = 0
 
 
+class Open:
+    """An open tag: the digest of its path, and of the region it lies in."""
+
+    __slots__ = ("tag", "path", "region", "body", "never", "article")
+
+    def __init__(self, tag, label, parent, never, article):
+        self.tag, self.never, self.article = tag, never, article
+        self.path = blake2b((parent.path if parent else b"") + label.encode(), digest_size=16).digest()
+        # body: 0 none is open yet, 1 this tag is the first one, 2 below it
+        self.body = min(2, parent.body + 1) if parent and parent.body else int(tag == "body")
+        inherited = parent and (self.body == 0 or parent.body == 2)
+        self.region = parent.region if inherited else self.path
+
+
 def blocks(page: str) -> list[Block]:
     """The blocks of a page in order, texts decoded and white space folded."""
     out: list[Block] = []
-    stack: list[tuple[str, str, bool, bool]] = []  # tag, label, never, inside an article
+    stack: list[Open] = []
+    opened: dict[str, int] = {}
     links, skip, now = 0, None, None
 
     def block() -> Block:
-        labels = [x[1] for x in stack[:DEPTH]]
-        body = next((i for i, x in enumerate(stack) if x[0] == "body"), -1)
-        return Block("/".join(labels), "/".join(labels[: body + 2]), bool(stack) and stack[-1][2], bool(stack) and stack[-1][3])
+        top = stack[-1] if stack else None
+        return Block(top.path, top.region, top.never, top.article) if top else Block(b"", b"", False, False)
 
     def pop_to(i: int) -> None:
         nonlocal now
+        for x in stack[i:]:
+            opened[x.tag] -= 1
         del stack[i:]
         now = None
 
+    def last(tag: str) -> int | None:
+        """Where the innermost open tag of this name is."""
+        if not opened.get(tag):
+            return None
+        return next(i for i in range(len(stack) - 1, -1, -1) if stack[i].tag == tag)
+
     for m in _TOKEN.finditer(page):
         tag = m["tag"]
         if skip:
@@ -135,7 +162,7 @@ def blocks(page: str) -> list[Block]:
                 links = max(0, links - 1)
             if tag in INLINE:
                 continue
-            at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
+            at = last(tag)
             if at is not None:
                 pop_to(at)
             continue
@@ -151,26 +178,28 @@ def blocks(page: str) -> list[Block]:
             links += tag == "a"
             continue
         if tag in CLOSES_PARAGRAPH:
-            at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == "p"), None)
+            at = last("p")
             if at is not None:
                 pop_to(at)
         now = None
         links = 0
         if tag in VOID:
             continue
-        if tag in OWN_KIND:
+        if tag in OWN_KIND and any(opened.get(kind) for kind in OWN_KIND[tag]):
             for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] in OWN_KIND[tag]:
+                if stack[i].tag in OWN_KIND[tag]:
                     pop_to(i)
                     break
-                if stack[i][0] in ("ul", "ol", "dl", "table", "select"):
+                if stack[i].tag in ("ul", "ol", "dl", "table", "select"):
                     break
         label, never = _role(m["attrs"]) if m["attrs"] else ("", False)
-        inside = bool(stack) and stack[-1][3] or tag in ("article", "main")
+        parent = stack[-1] if stack else None
+        inside = bool(parent) and parent.article or tag in ("article", "main")
         if tag in ("html", "body", "article", "main"):
             never = False  # a page's theme classes say nothing about its text
-        never = never or tag in NEVER or bool(stack) and stack[-1][2] or tag == "header" and not inside
-        stack.append((tag, f"{tag}.{label}" if label else tag, never, inside))
+        never = never or tag in NEVER or bool(parent) and parent.never or tag == "header" and not inside
+        stack.append(Open(tag, f"/{tag}.{label}" if label else f"/{tag}", parent, never, inside))
+        opened[tag] = opened.get(tag, 0) + 1
     kept = []
     for b in out:
         b.text = " ".join(html.unescape("".join(b.parts)).split())
@@ -179,16 +208,17 @@ def blocks(page: str) -> list[Block]:
     return kept
 
 
-def _sums(found: list[Block]) -> dict[str, list[float]]:
+def _sums(found: list[Block]) -> dict[bytes, list[int]]:
     """path -> [blocks, characters, punctuation, link characters], regions under a leading '^'."""
-    sums: dict[str, list[float]] = {}
+    sums: dict[bytes, list[int]] = {}
     for b in found:
-        for key in (b.path, "^" + b.region):
+        chars, punct = len(b.text), len(_PUNCT.findall(b.text))
+        for key in (b.path, b"^" + b.region):
             s = sums.setdefault(key, [0, 0, 0, 0])
             s[0] += 1
-            s[1] += len(b.text)
-            s[2] += len(_PUNCT.findall(b.text))
-            s[3] += min(b.link, len(b.text))
+            s[1] += chars
+            s[2] += punct
+            s[3] += min(b.link, chars)
     return sums
 
 
@@ -198,76 +228,104 @@ def _ratio(sums) -> float:
     return math.log1p(max(0.0, chars - 2 * link) / n) * (1 + math.log1p(punct / n))
 
 
-def content(page: str, corpus: dict[str, tuple]) -> str:
-    found = blocks(page)
-    able = [b for b in found if not b.never]
+def content(able: list[tuple[bytes, bytes, bool, str]], own: dict[bytes, tuple], corpus: dict[bytes, tuple]) -> str:
+    """The text of a page's chosen blocks (path, region, whether inside an article, text) by its own and the corpus' sums."""
     if not able:
         return ""
-    own = _sums(found)
 
-    def fused(key: str) -> float:
-        here = _ratio(own[key])
-        return (here + _ratio(corpus[key])) / 2 if key in corpus else here
+    def fused(key: bytes) -> float:
+        return (_ratio(own[key]) + _ratio(corpus[key])) / 2
 
-    order = list(dict.fromkeys(b.path for b in able))
+    order = list(dict.fromkeys(path for path, _, _, _ in able))
     raw = {p: fused(p) for p in order}
-    region = {b.path: fused("^" + b.region) for b in able}
-    total = {}
-    for b in able:
-        total["^" + b.region] = own["^" + b.region][1]
-    most = max(total.values())
-    share = {b.path: own["^" + b.region][1] / most for b in able}
-    inside = {b.path for b in able if b.article}
-    has_article = bool(inside)
+    region_of = {path: b"^" + region for path, region, _, _ in able}
+    region = {key: fused(key) for key in set(region_of.values())}
+    most = max(own[key][1] for key in region)
+    inside = {path for path, _, article, _ in able if article}
     ratios = {}
     for i, p in enumerate(order):
         near = [raw[q] for q in order[max(0, i - 1) : i + 2]]
         smooth = (raw[p] + sum(near) / len(near)) / 2
-        ratios[p] = smooth * (0.5 + 0.5 * share[p]) + region[p] * share[p]
-        if has_article and p not in inside:
+        share = own[region_of[p]][1] / most
+        ratios[p] = smooth * (0.5 + 0.5 * share) + region[region_of[p]] * share
+        if inside and p not in inside:
             ratios[p] *= OUTSIDE
-    mean = sum(ratios[b.path] * len(b.text) for b in able) / sum(len(b.text) for b in able)
+    mean = sum(ratios[path] * len(text) for path, _, _, text in able) / sum(len(text) for _, _, _, text in able)
     chosen = {p for p in order if ratios[p] >= SHARE * mean}
-    return "\n\n".join(b.text for b in able if b.path in chosen)
+    return "\n\n".join(text for path, _, _, text in able if path in chosen)
+
 
+#: A parsed page: the able blocks, the sums of their paths and regions (four numbers each), and, in the
+#: first page of a slice, the sums of all paths of the slice.
+_PARSED = pa.schema([
+    ("slice", pa.int64()), ("page_id", pa.int64()), ("url", pa.string()),
+    ("path", pa.list_(pa.int32())), ("region", pa.list_(pa.int32())), ("article", pa.list_(pa.bool_())), ("text", pa.list_(pa.string())),
+    ("keys", pa.list_(pa.binary())), ("sums", pa.list_(pa.int64())),
+    ("slice_keys", pa.list_(pa.binary())), ("slice_sums", pa.list_(pa.int64())),
+])
+_PARSED_DDL = ("slice long, page_id long, url string, path array<int>, region array<int>, article array<boolean>, text array<string>,"
+               " keys array<binary>, sums array<long>, slice_keys array<binary>, slice_sums array<long>")
 
-def _path_sums(batches):
+
+def _parsed(batches):
+    """Parsed pages, slice by slice; a slice's number is its task's and its own, the same in every attempt."""
+    at = TaskContext.get().partitionId() << 32
     for batch in batches:
         for part in common.text_slices(batch, "html"):
-            sums: dict[str, list[float]] = {}
+            total: dict[bytes, list[int]] = {}
+            rows: dict[str, list] = {name: [] for name in _PARSED.names[3:9]}
             for page in part.column("html").to_pylist():
-                for path, s in _sums(blocks(page or "")).items():
-                    old = sums.setdefault(path, [0, 0, 0, 0, 0])
-                    for i, x in enumerate([1, *s]):
+                found = blocks(page or "")
+                own = _sums(found)
+                for key, s in own.items():
+                    old = total.setdefault(key, [0, 0, 0, 0])
+                    for i, x in enumerate(s):
                         old[i] += x
-            columns = list(zip(*sums.values())) or [[]] * 5
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(sums), pa.string()), *[pa.array([int(v) for v in c], pa.int64()) for c in columns]],
-                ["path", "pages", "blocks", "chars", "punct", "link"])
-
-
-def _contents(shared):
-    def run(batches):
-        corpus = shared.value
-        for batch in batches:
-            for part in common.text_slices(batch, "html"):
-                texts = [content(page or "", corpus) for page in part.column("html").to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("page_id"), part.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"])
-    return run
-
-
-def extract(pages: DataFrame, paths: int = PATHS) -> DataFrame:
+                able = [b for b in found if not b.never]
+                place: dict[bytes, int] = {}
+                rows["path"].append([place.setdefault(b.path, len(place)) for b in able])
+                rows["region"].append([place.setdefault(b"^" + b.region, len(place)) for b in able])
+                rows["article"].append([b.article for b in able])
+                rows["text"].append([b.text for b in able])
+                rows["keys"].append(list(place))
+                rows["sums"].append([x for key in place for x in own[key]])
+            rest = [None] * (part.num_rows - 1)
+            rows |= {"slice_keys": [list(total), *rest], "slice_sums": [[x for s in total.values() for x in s], *rest]}
+            fixed = [pa.array([at] * part.num_rows, pa.int64()), part.column("page_id"), part.column("url").cast(pa.string())]
+            made = [pa.array(rows[field.name], field.type) for field in list(_PARSED)[3:]]
+            yield pa.RecordBatch.from_arrays([*fixed, *made], schema=_PARSED)
+            at += 1
+
+
+def _chosen(pages: pa.Table, totals: pa.Table) -> pa.Table:
+    """The texts of a slice's pages, from the totals of the slice's paths."""
+    columns = [totals.column(name).to_pylist() for name in ("key", "blocks", "chars", "punct", "link")]
+    corpus = {key: s for key, *s in zip(*columns)}
+    texts = []
+    for row in pages.select(["path", "region", "article", "text", "keys", "sums"]).to_pylist():
+        keys, sums = row["keys"], row["sums"]
+        own = {key: sums[4 * i : 4 * i + 4] for i, key in enumerate(keys)}
+        able = [(keys[p], keys[r][1:], a, t) for p, r, a, t in zip(row["path"], row["region"], row["article"], row["text"])]
+        texts.append(content(able, own, corpus))
+    return pa.table({"page_id": pages.column("page_id"), "url": pages.column("url"), "text": pa.array(texts, pa.string())})
+
+
+def extract(pages: DataFrame) -> DataFrame:
     """pages(page_id, url, html) as (page_id, url, text)."""
-    spark = pages.sparkSession
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
-    total = (
-        pages.select("html").mapInArrow(_path_sums, "path string, pages long, blocks long, chars long, punct long, link long")
-        .groupBy("path").agg(*[F.sum(c).alias(c) for c in ("pages", "blocks", "chars", "punct", "link")])
-        .orderBy(F.desc("pages"), "path").limit(paths).collect()
+    parsed = common.cut(pages.mapInArrow(_parsed, _PARSED_DDL))
+    number = ("blocks", "chars", "punct", "link")
+    held = (
+        parsed.where("slice_keys is not null").select("slice", "slice_sums", F.posexplode("slice_keys").alias("i", "key"))
+        .select(F.col("slice").alias("holder"), "key", F.pmod(F.xxhash64("slice"), F.lit(SALTS)).alias("salt"),
+                *[F.get("slice_sums", F.col("i") * 4 + j).alias(c) for j, c in enumerate(number)])
     )
-    corpus = {r["path"]: (r["blocks"], r["chars"], r["punct"], r["link"]) for r in total}
-    return pages.mapInArrow(_contents(spark.sparkContext.broadcast(corpus)), "page_id long, url string, text string")
+    salted = held.groupBy("key", "salt").agg(*[F.sum(c).alias(c) for c in number])
+    total = salted.groupBy("key").agg(*[F.sum(c).alias(c) for c in number])
+    back = salted.select("key", "salt").join(total, "key")
+    totals = held.select("holder", "key", "salt").join(back, ["key", "salt"]).select("holder", "key", *number)
+    found = parsed.drop("slice_keys", "slice_sums")
+    return found.groupBy("slice").cogroup(totals.groupBy("holder")).applyInArrow(_chosen, "page_id long, url string, text string")
 
 
 def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -248,6 +248,29 @@ def test_html_parts_that_are_no_text(spark):
     assert html_extract.extract(frame.limit(0)).count() == 0
 
 
+def test_html_uses_all_paths_of_the_corpus(spark):
+    """One path a page, more than 50,000 of them, deep ones and long labels apart: totals equal plain sums over all pages."""
+    long = "c" * 40
+    deep = "<div>" * 30
+    pages = [f"<body><div class=k{i}><p>Text {i}, a sentence. And more.</p></div><div class={long}{i % 3}>Menu</div>{deep}<b>x</b><p class={'ab'[i % 2]}>deep.</p></body>"
+             for i in range(200)]
+    corpus = {}
+    for page in pages:
+        for key, s in html_extract._sums(html_extract.blocks(page)).items():
+            corpus[key] = [a + b for a, b in zip(corpus.get(key, [0] * 4), s)]
+    assert len(corpus) >= 2 * 200 + 2 * 3 + 2 + 1  # paths and regions that differ late are different
+    frame = spark.createDataFrame([(i, "u", p) for i, p in enumerate(pages)], "page_id long, url string, html string").repartition(7)
+    for r in html_extract.extract(frame).collect():
+        found = html_extract.blocks(pages[r.page_id])
+        able = [(b.path, b.region, b.article, b.text) for b in found if not b.never]
+        assert r.text == html_extract.content(able, html_extract._sums(found), corpus)
+    many = "".join(f"<div id=d{i}>Words of part {i}.</div>" for i in range(60_000))
+    nested = "<div>" * 20_000 + "end of it."
+    rows = spark.createDataFrame([(1, "u", many), (2, "u", nested)], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_extract.extract(rows).collect()}
+    assert got[1].count("\n\n") == 59_999 and got[2] == "end of it."
+
+
 def test_pipeline(spark):
     docs = documents(spark)
     kept = docs
