@@ -7,10 +7,14 @@ probability of being good is at least one half, unless a base rule fails.
 
 The corpus reaches the driver as counts of vote patterns, at most 3^RULES rows. The posterior is a
 sum of log-odds, a plain column. Only built-in functions are used. Repeated 3-word windows
-are found by sorting one array of packed hashes and places a text, and compared word by word.
-
-Edge cases: null and blank texts have no words and fail; repeated rows are judged one by one;
-null ids stay null; extra columns are ignored; an empty table gives an empty result.
+are found by sorting one array of packed hashes and places a text: a place takes as many bits as
+the text's number of words needs, the hash the rest. Neighbours are compared word by word. Two
+different windows with one hash show as neighbours that differ; such a text is sorted by
+the words themselves, so the count is exact at every length.
+
+Edge cases: null and blank texts have no words and fail; very long texts are judged whole; repeated
+rows are judged one by one; a probability of exactly one half keeps the text; null ids stay null; extra
+columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -28,27 +32,55 @@ LEAST_WORDS, MOST_REPEATED = 50, 50
 #: Frequent words of the corpus languages.
 STOP_WORDS = ("the of and to in is that for with from der die das und ist nicht von mit den ein le la les de et un une est que"
               " pour dans el los las en es por con para una").split()
-#: Bits of a packed window that hold its place; more for texts beyond a million words.
-PLACE_BITS, LONG_PLACE_BITS = 20, 32
 ROUNDS = 60
+#: The hash of the 3-word window at place i.
+WINDOW_HASH = "xxhash64(words[i], words[i + 1], words[i + 2])"
+
+
+def _hash_is(i: str, j: str) -> str:
+    return f"shiftright(packed[{i}], place_bits) = shiftright(packed[{j}], place_bits)"
+
+
+def _words_are(i: str, j: str) -> str:
+    start = lambda k: f"CAST(packed[{k}] & place_mask AS INT) + 1"
+    return f"slice(words, {start(i)}, 3) = slice(words, {start(j)}, 3)"
 
 
 def _repeat_places() -> Column:
     """Places (ascending) of 3-word windows that occur twice or more in the text's `words`."""
-    return F.expr("""
+    return F.expr(f"""
         sort_array(transform(
           filter(sequence(0, size(packed) - 1), i ->
-            (i > 0 AND shiftright(packed[i], place_bits) = shiftright(packed[i - 1], place_bits)
-              AND slice(words, CAST(packed[i] & place_mask AS INT) + 1, 3) = slice(words, CAST(packed[i - 1] & place_mask AS INT) + 1, 3))
-            OR (i < size(packed) - 1 AND shiftright(packed[i], place_bits) = shiftright(packed[i + 1], place_bits)
-              AND slice(words, CAST(packed[i] & place_mask AS INT) + 1, 3) = slice(words, CAST(packed[i + 1] & place_mask AS INT) + 1, 3))),
+            (i > 0 AND {_hash_is("i", "i - 1")} AND {_words_are("i", "i - 1")})
+            OR (i < size(packed) - 1 AND {_hash_is("i", "i + 1")} AND {_words_are("i", "i + 1")})),
           i -> CAST(packed[i] & place_mask AS INT)))
     """)
 
 
+def _collide() -> Column:
+    """Whether different windows of the text share a hash; then some neighbours among them differ."""
+    return F.expr(f"exists(sequence(1, size(packed) - 1), i -> {_hash_is('i', 'i - 1')} AND NOT {_words_are('i', 'i - 1')})")
+
+
+def _repeat_places_by_words() -> Column:
+    """The same places, from windows sorted by their words."""
+    windows = F.expr("""sort_array(transform(sequence(0, n_words - 3), i ->
+        named_struct('a', words[i], 'b', words[i + 1], 'c', words[i + 2], 'place', i)))""")
+    same = lambda x, y: (x["a"] == y["a"]) & (x["b"] == y["b"]) & (x["c"] == y["c"])
+
+    def places(w: Column) -> Column:
+        at = F.sequence(F.lit(0), F.size(w) - 1)
+        repeated = F.filter(at, lambda i: ((i > 0) & same(F.get(w, i), F.get(w, i - 1)))
+                            | ((i < F.size(w) - 1) & same(F.get(w, i), F.get(w, i + 1))))
+        return F.sort_array(F.transform(repeated, lambda i: F.get(w, i)["place"]))
+
+    # One element, so that the sorted windows are computed once.
+    return F.element_at(F.transform(F.array(windows), places), 1)
+
+
 def statistics(docs: DataFrame) -> DataFrame:
     """doc_id and what the rules look at, one row per row of docs(doc_id, text)."""
-    bits = F.when(F.col("n_words") < (1 << PLACE_BITS), F.lit(PLACE_BITS)).otherwise(F.lit(LONG_PLACE_BITS))
+    bits = F.length(F.bin(F.col("n_words").cast("long")))
     text = F.col("text")
     split = docs.select("doc_id", F.coalesce(text, F.lit("")).alias("text")).select(
         "doc_id", "text", F.filter(F.split("text", SPACE), lambda w: w != "").alias("words"),
@@ -57,8 +89,9 @@ def statistics(docs: DataFrame) -> DataFrame:
         "place_mask", F.expr("shiftleft(1L, place_bits) - 1L"))
     packed = counted.withColumn("packed", F.expr("""
         CASE WHEN n_words < 3 THEN CAST(array() AS ARRAY<BIGINT>) ELSE sort_array(transform(sequence(0, n_words - 3), i ->
-          shiftleft(shiftright(xxhash64(words[i], words[i + 1], words[i + 2]), place_bits), place_bits) | CAST(i AS BIGINT))) END"""))
-    found = packed.withColumn("places", F.when(F.size("packed") > 1, _repeat_places()).otherwise(F.array().cast("array<int>")))
+          shiftleft(shiftright(__HASH__, place_bits), place_bits) | CAST(i AS BIGINT))) END""".replace("__HASH__", WINDOW_HASH)))
+    places = F.when(F.size("packed") < 2, F.array().cast("array<int>")).when(_collide(), _repeat_places_by_words())
+    found = packed.withColumn("places", places.otherwise(_repeat_places()))
     covered = F.expr("""
         CASE WHEN size(places) = 0 THEN 0L ELSE
           aggregate(sequence(1, size(places)), 3L, (n, i) -> CASE WHEN i = size(places) THEN n

@@ -121,6 +121,16 @@ def test_peeling_retries_larger(spark, monkeypatch):
         assert r.near == pytest.approx(len(a & b) / len(a | b))
 
 
+def test_sketches_that_no_try_peels_are_compared(spark, monkeypatch):
+    monkeypatch.setattr(fp, "ROUNDS", 1)
+    monkeypatch.setattr(fp, "SPACE", 0.001)
+    monkeypatch.setattr(fp, "LARGER", 1)
+    frame = spark.range(12).select("id", F.sequence(F.lit(1).cast("long"), F.col("id") + 30).alias("a"), F.sequence(F.lit(11).cast("long"), F.col("id") * 2 + 30).alias("b"))
+    for r in fp.likeness(frame, ["id"], {"near": ("a", "b")}).collect():
+        a, b = set(range(1, r.id + 31)), set(range(11, r.id * 2 + 31))
+        assert r.near == pytest.approx(len(a & b) / len(a | b))
+
+
 def test_fingerprint_edge_rows(spark):
     frame = spark.createDataFrame([(None, "x. y."), (1, None), (1, None), (2, "x. y."), (3, "")], "doc_id long, text string")
     rows = fp.fingerprints(frame).collect()
@@ -151,6 +161,25 @@ def test_quality_statistics_equal_brute_force(spark):
     assert quality_rules.judge(frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("hashed", ["CAST(0 AS BIGINT)", "shiftleft(pmod(xxhash64(words[i], words[i + 1], words[i + 2]), 3), 61)"])
+def test_quality_counts_are_exact_when_windows_collide(spark, monkeypatch, hashed):
+    monkeypatch.setattr(quality_rules, "WINDOW_HASH", hashed)
+    pick = random.Random(9)
+    odd = ["a b c", "a b c d", "a b c x a b c", "a b c d e f a b c g b c d"]
+    odd += [" ".join(pick.choice("abcdefgh") for _ in range(pick.randrange(90))) for _ in range(60)]
+    frame = spark.createDataFrame(list(enumerate(odd)) * 2, "doc_id long, text string")
+    rows = quality_rules.statistics(frame).collect()
+    assert len(rows) == 2 * len(odd)
+    assert [r.n_repeat_words for r in rows] == [brute_statistics(odd[r.doc_id])[4] for r in rows]
+
+
+def test_quality_of_a_very_long_text(spark):
+    pick = random.Random(5)
+    text = " ".join(str(pick.randrange(150)) for _ in range((1 << 20) + 10))
+    row = quality_rules.statistics(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert (row.n_words, row.word_chars, row.n_symbols, row.n_dup_lines, row.n_repeat_words) == brute_statistics(text)
+
+
 def test_quality_keeps_labelled_good_texts(spark):
     rows = quality_rules.op6_quality_rules(spark, MEDIUM).join(spark.read.parquet(f"{MEDIUM}/labels.parquet"), "doc_id").where("not base_failed").collect()
     good, bad = [r.kept for r in rows if r.quality == 1], [r.kept for r in rows if r.quality == 0]
