@@ -5,7 +5,8 @@ sketch has cells in three tables; each digest goes to one cell a table, which ho
 of its digests and the exclusive-or of their hashes and of their checks. Subtracting two
 versions' sketches cancels what they share. A cell that holds one digest (its check tells)
 gives that digest away; taking it out of its other cells peels the next, until the cells are
-empty. If peeling stops early, a larger sketch with another seed is tried.
+empty. If peeling stops early, a larger sketch with another seed is tried; what the largest cannot peel
+is compared digest by digest.
 
 Digests are dealt to sketches of about `LOAD` digests a version by other hash bits, so cost grows
 with the length of a text, not with its square, and one failure repeats a small part only.
@@ -33,7 +34,7 @@ IN_RANGE, RANGES = 512, 65_536
 LOAD, SKETCHES = 8, 128
 #: Cells a table for each digest of a pair, and the factor of each further try.
 SPACE, LARGER, TRIES = 0.6, 4, 3
-#: Peeling rounds; a sketch that needs more counts as failed.
+#: Peeling rounds; a sketch that needs more has failed.
 ROUNDS = 10
 FOLD = 12
 PARAGRAPH_END = r"\n+|(?<=[.!?])\s+"
@@ -165,8 +166,9 @@ def likeness(frame: DataFrame, keys: list[str], pairs: dict[str, tuple[str, str]
             .withColumn("one", F.col("_x1")).withColumn("two", F.col("_x2")).drop("_n1", "_n2", "_x1", "_x2", "_now")
         )
     total = F.size("one") + F.size("two")
-    # A sketch that no try could peel shares nothing that could be shown.
-    rows = rows.select(*keys, "pair", total.alias("n"), F.coalesce("found", total).alias("d"))
+    # Digests that no try could peel are compared themselves, so that the likeness is exact.
+    unpeeled = F.size(F.array_except("one", "two")) + F.size(F.array_except("two", "one"))
+    rows = rows.select(*keys, "pair", total.alias("n"), F.coalesce("found", unpeeled).alias("d"))
     near = lambda name: F.coalesce(
         F.sum(F.when(F.col("pair") == name, F.col("n") - F.col("d"))) / F.nullif(
             F.sum(F.when(F.col("pair") == name, F.col("n") + F.col("d"))), F.lit(0)), F.lit(1.0)).cast("double")
