@@ -13,8 +13,8 @@ adverts, reader comments) has no ratio. Where a page marks an article or main pa
 weigh a tenth.
 
 Each page is parsed once. A path is known by a digest chained from tag to tag, so neither its depth
-nor a label's length is cut. Pages are parsed in slices of about a megabyte; the able blocks and the
-sums of a slice's paths go to a table in the shared folder. Spark adds the sums of each path over
+nor a label's length is cut. Pages are parsed in slices of about a megabyte; the able blocks, compressed,
+and the sums of a slice's paths go to a table in the shared folder. Spark adds the sums of each path over
 all slices and joins the totals back to the slices that hold the path, by path and salt, so that a
 path of every page is no single task. A slice then meets the totals of its own paths, however
 many paths the corpus has; no table of paths reaches the driver or every task.
@@ -255,25 +255,24 @@ def content(able: list[tuple[bytes, bytes, bool, str]], own: dict[bytes, tuple],
     return "\n\n".join(text for path, _, _, text in able if path in chosen)
 
 
-#: A parsed page: the able blocks, the sums of their paths and regions (four numbers each), and, in the
-#: first page of a slice, the sums of all paths of the slice.
-_PARSED = pa.schema([
-    ("slice", pa.int64()), ("page_id", pa.int64()), ("url", pa.string()),
+#: A parsed page: the able blocks, and the sums of their paths and regions, four numbers each.
+_PAGE = pa.schema([
+    ("page_id", pa.int64()), ("url", pa.string()),
     ("path", pa.list_(pa.int32())), ("region", pa.list_(pa.int32())), ("article", pa.list_(pa.bool_())), ("text", pa.list_(pa.string())),
     ("keys", pa.list_(pa.binary())), ("sums", pa.list_(pa.int64())),
-    ("slice_keys", pa.list_(pa.binary())), ("slice_sums", pa.list_(pa.int64())),
 ])
-_PARSED_DDL = ("slice long, page_id long, url string, path array<int>, region array<int>, article array<boolean>, text array<string>,"
-               " keys array<binary>, sums array<long>, slice_keys array<binary>, slice_sums array<long>")
+#: A slice: its parsed pages as one compressed Arrow stream, and the sums of all its paths.
+_SLICE = pa.schema([("slice", pa.int64()), ("pages", pa.large_binary()), ("keys", pa.list_(pa.binary())), ("sums", pa.list_(pa.int64()))])
+_COMPRESSED = pa.ipc.IpcWriteOptions(compression="zstd")
 
 
 def _parsed(batches):
-    """Parsed pages, slice by slice; a slice's number is its task's and its own, the same in every attempt."""
+    """A row for each slice; its number is its task's and its own, the same in every attempt."""
     at = TaskContext.get().partitionId() << 32
     for batch in batches:
         for part in common.text_slices(batch, "html"):
             total: dict[bytes, list[int]] = {}
-            rows: dict[str, list] = {name: [] for name in _PARSED.names[3:9]}
+            rows: dict[str, list] = {name: [] for name in _PAGE.names[2:]}
             for page in part.column("html").to_pylist():
                 found = blocks(page or "")
                 own = _sums(found)
@@ -289,43 +288,48 @@ def _parsed(batches):
                 rows["text"].append([b.text for b in able])
                 rows["keys"].append(list(place))
                 rows["sums"].append([x for key in place for x in own[key]])
-            rest = [None] * (part.num_rows - 1)
-            rows |= {"slice_keys": [list(total), *rest], "slice_sums": [[x for s in total.values() for x in s], *rest]}
-            fixed = [pa.array([at] * part.num_rows, pa.int64()), part.column("page_id"), part.column("url").cast(pa.string())]
-            made = [pa.array(rows[field.name], field.type) for field in list(_PARSED)[3:]]
-            yield pa.RecordBatch.from_arrays([*fixed, *made], schema=_PARSED)
+            fixed = [part.column("page_id"), part.column("url").cast(pa.string())]
+            made = pa.RecordBatch.from_arrays([*fixed, *[pa.array(rows[f.name], f.type) for f in list(_PAGE)[2:]]], schema=_PAGE)
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, _PAGE, options=_COMPRESSED) as out:
+                out.write_batch(made)
+            row = [[at], [sink.getvalue().to_pybytes()], [list(total)], [[x for s in total.values() for x in s]]]
+            yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(row, _SLICE)], schema=_SLICE)
             at += 1
 
 
-def _chosen(pages: pa.Table, totals: pa.Table) -> pa.Table:
+_FOUND = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string())])
+
+
+def _chosen(slices: pa.Table, totals: pa.Table) -> pa.Table:
     """The texts of a slice's pages, from the totals of the slice's paths."""
     columns = [totals.column(name).to_pylist() for name in ("key", "blocks", "chars", "punct", "link")]
     corpus = {key: s for key, *s in zip(*columns)}
+    pages = pa.ipc.open_stream(slices.column("pages")[0].as_buffer()).read_all()
     texts = []
     for row in pages.select(["path", "region", "article", "text", "keys", "sums"]).to_pylist():
         keys, sums = row["keys"], row["sums"]
         own = {key: sums[4 * i : 4 * i + 4] for i, key in enumerate(keys)}
         able = [(keys[p], keys[r][1:], a, t) for p, r, a, t in zip(row["path"], row["region"], row["article"], row["text"])]
         texts.append(content(able, own, corpus))
-    return pa.table({"page_id": pages.column("page_id"), "url": pages.column("url"), "text": pa.array(texts, pa.string())})
+    return pa.table([pages.column("page_id"), pages.column("url"), pa.array(texts, pa.string())], schema=_FOUND)
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """pages(page_id, url, html) as (page_id, url, text)."""
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
-    parsed = common.cut(pages.mapInArrow(_parsed, _PARSED_DDL))
+    parsed = common.cut(pages.mapInArrow(_parsed, "slice long, pages binary, keys array<binary>, sums array<long>"))
     number = ("blocks", "chars", "punct", "link")
     held = (
-        parsed.where("slice_keys is not null").select("slice", "slice_sums", F.posexplode("slice_keys").alias("i", "key"))
+        parsed.select("slice", "sums", F.posexplode("keys").alias("i", "key"))
         .select(F.col("slice").alias("holder"), "key", F.pmod(F.xxhash64("slice"), F.lit(SALTS)).alias("salt"),
-                *[F.get("slice_sums", F.col("i") * 4 + j).alias(c) for j, c in enumerate(number)])
+                *[F.get("sums", F.col("i") * 4 + j).alias(c) for j, c in enumerate(number)])
     )
     salted = held.groupBy("key", "salt").agg(*[F.sum(c).alias(c) for c in number])
     total = salted.groupBy("key").agg(*[F.sum(c).alias(c) for c in number])
     back = salted.select("key", "salt").join(total, "key")
     totals = held.select("holder", "key", "salt").join(back, ["key", "salt"]).select("holder", "key", *number)
-    found = parsed.drop("slice_keys", "slice_sums")
-    return found.groupBy("slice").cogroup(totals.groupBy("holder")).applyInArrow(_chosen, "page_id long, url string, text string")
+    return parsed.select("slice", "pages").groupBy("slice").cogroup(totals.groupBy("holder")).applyInArrow(_chosen, "page_id long, url string, text string")
 
 
 def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
