@@ -131,6 +131,46 @@ def test_sketches_that_no_try_peels_are_compared(spark, monkeypatch):
         assert r.near == pytest.approx(len(a & b) / len(a | b))
 
 
+def read_print(text):
+    """(digests, cells by part) of a fingerprint, read without Spark."""
+    n, held = text.split(":")
+    cell = lambda c: (int(c[:-24], 16), int(c[-24:-8], 16), int(c[-8:], 16)) if c else (0, 0, 0)
+    return int(n), [[cell(c) for c in part.split(",")] for part in held.split(";")]
+
+
+def test_likeness_comes_from_the_returned_fingerprints(spark):
+    frame = fp.op3_document_fingerprints(spark, SMALL).withColumn("alone", fp.likeness_of_fingerprints(F.col("fingerprint"), F.col("edited_fingerprint")))
+    rows = frame.collect()
+    assert sum(r.alone is not None for r in rows) >= 0.7 * len(rows)
+    assert all(r.alone is None or r.alone == r.near_edited for r in rows)
+    for r in rows:
+        n, parts = read_print(r.fingerprint)
+        assert len(parts) & (len(parts) - 1) == 0 and all(len(part) == 3 * fp.CELLS for part in parts)
+        # Every digest is in one cell of each table of its part.
+        assert sum(c[0] for part in parts for c in part) == 3 * n
+        assert n <= fp.LOAD * len(parts)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_fingerprints_of_different_lengths_fold(spark, seed):
+    pick = random.Random(seed)
+    longer = [[pick.getrandbits(62) for _ in range(n)] for n in (0, 1, 16, 17, 33, 200, 900)]
+    data = [(i, a, a[: len(a) // 2] + [pick.getrandbits(62) for _ in range(extra)]) for i, a in enumerate(longer) for extra in (0, 3, 400)]
+    got = fp.likeness(spark.createDataFrame(data, "id long, a array<long>, b array<long>"), ["id", "a", "b"], {"near": ("a", "b")}).collect()
+    for r in got:
+        a, b = set(r.a), set(r.b)
+        assert r.near == pytest.approx(len(a & b) / len(a | b) if a | b else 1.0)
+    assert len(got) == len(data)
+
+
+def test_fingerprint_of_a_very_long_text(spark):
+    text = " ".join(f"Sentence number {i} of many." for i in range(30_000))
+    frame = spark.createDataFrame([(1, text, "a", 7), (2, text + " More.", "b", 8)], "doc_id long, text string, own string, next int")
+    one, two = fp.fingerprints(frame).orderBy("doc_id").collect()
+    assert len(read_print(one.fingerprint)[1]) == 2048 and read_print(two.fingerprint)[0] == 30_001
+    assert one.near_next == two.near_next == pytest.approx(30_000 / 30_001)
+
+
 def test_fingerprint_edge_rows(spark):
     frame = spark.createDataFrame([(None, "x. y."), (1, None), (1, None), (2, "x. y."), (3, "")], "doc_id long, text string")
     rows = fp.fingerprints(frame).collect()
