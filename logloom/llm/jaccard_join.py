@@ -429,3 +429,29 @@ def one_of_each(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     return jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+#: Equal sets are one class; classes that share a shingle are compared, and links closed by recursion.
+SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, list_sort(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))) END) AS s
+  FROM words),
+class AS (SELECT s, len(s) AS n, min(doc_id) AS c, count(*) AS copies FROM sets WHERE len(s) > 0 GROUP BY s),
+token AS (SELECT c, n, unnest(s) AS t FROM class),
+pair AS (
+  SELECT a.c AS a, b.c AS b, a.n + b.n AS total, count(*) AS shared
+  FROM token a JOIN token b ON a.t = b.t AND a.c <> b.c AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+  GROUP BY ALL),
+link AS (SELECT a, b FROM pair WHERE 100 * shared >= 90 * (total - shared)),
+reach AS (SELECT c, c AS d FROM class UNION SELECT reach.c, link.b FROM reach JOIN link ON link.a = reach.d),
+component AS (SELECT c, min(d) AS least FROM reach GROUP BY c),
+partner AS (SELECT link.a AS c, sum(copies) AS n FROM link JOIN class ON class.c = link.b GROUP BY link.a)
+SELECT doc_id, len(sets.s)::BIGINT AS n_shingles, coalesce(least, doc_id) AS component_id, coalesce(class.c, doc_id) AS representative,
+  (coalesce(partner.n, 0) + coalesce(copies, 1) - 1)::BIGINT AS n_links
+FROM sets LEFT JOIN class USING (s) LEFT JOIN component USING (c) LEFT JOIN partner USING (c)
+"""

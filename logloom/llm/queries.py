@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from logloom.llm import conversation_repair, spelling_variants, substring_dedup
+from logloom.llm import conversation_repair, jaccard_join, spelling_variants, substring_dedup
 from logloom.llm.conversation_repair import op13_conversation_repair
 from logloom.llm.fingerprint import op3_document_fingerprints
 from logloom.llm.html_extract import op8_html_extraction
@@ -43,6 +43,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     """The others learn, plan or compare in ways SQL cannot state; tests hold them against brute force."""
     return {
+        "op1_ngram_jaccard_join": jaccard_join.SQL,
         "op9_substring_dedup": substring_dedup.SQL,
         "op11_spelling_variants": spelling_variants.SQL,
         "op13_conversation_repair": conversation_repair.SQL,

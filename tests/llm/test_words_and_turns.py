@@ -9,6 +9,7 @@ from collections import Counter
 import duckdb
 import pytest
 
+from logloom.llm import jaccard_join as jj
 from logloom.llm import conversation_repair as cr
 from logloom.llm import language_id as li
 from logloom.llm import spelling_variants as sv
@@ -24,7 +25,7 @@ def shipped(spark):
     ship_package(spark)
 
 
-@pytest.mark.parametrize("query,sql", [(sv.op11_spelling_variants, sv.SQL), (cr.op13_conversation_repair, cr.SQL)])
+@pytest.mark.parametrize("query,sql", [(jj.op1_ngram_jaccard_join, jj.SQL), (sv.op11_spelling_variants, sv.SQL), (cr.op13_conversation_repair, cr.SQL)])
 def test_query_equals_sql(spark, query, sql):
     con = duckdb.connect()
     for table in ("documents", "conversations"):
