@@ -2,6 +2,8 @@
 
 import random
 import zlib
+from fractions import Fraction
+from math import ceil, floor
 
 import numpy as np
 import pytest
@@ -105,6 +107,40 @@ def test_weights_left_out_or_zero_come_last(spark):
         mixing.mix(docs, {"a": -1.0})
 
 
+def plain_schedule(blocks, weights):
+    """(source, block) of every slot: each slot looks at all sources for the released block with the earliest deadline."""
+    order, done = [], dict.fromkeys(blocks, 0)
+    while left := [s for s in blocks if done[s] < blocks[s]]:
+        share = {s: Fraction(weights[s]) / sum(Fraction(weights[x]) for x in left) for s in left}
+        placed, t = dict.fromkeys(left, 0), 0
+        while all(done[s] < blocks[s] for s in left):
+            ready = [(ceil((placed[s] + 1) / share[s]), s) for s in left if floor(placed[s] / share[s]) <= t]
+            s = min(ready)[1]
+            order.append((s, done[s]))
+            placed[s] += 1
+            done[s] += 1
+            t += 1
+    return order
+
+
+@pytest.mark.parametrize("folder,given", [
+    (SMALL, None), ("/root/testdata/sf0.01", None), ("/root/testdata/sf0.01", {f"src{i}": 0.3 + i * i / 7 for i in range(20)})])
+def test_mix_equals_a_plain_schedule(spark, folder, given):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "source")
+    got = (mixing.op10_mixing(spark, folder) if given is None else mixing.mix(docs, given, period=50)).orderBy("position").collect()
+    assert sorted(r.doc_id for r in got) == sorted(r.doc_id for r in docs.collect())
+    held = {}
+    for r in got:
+        held.setdefault("null" if r.source is None else "s:" + r.source, []).append((r.slot, r.position))
+    size = mixing.BLOCK
+    blocks = {s: -(-len(x) // size) for s, x in held.items()}
+    order = plain_schedule(blocks, {s: len(x) ** 0.5 if given is None else given[s[2:]] for s, x in held.items()})
+    want = {s: [] for s in held}
+    for t, (s, i) in enumerate(order):
+        want[s] += [(t, t * size + k) for k in range(min(size, len(held[s]) - i * size))]
+    assert want == held
+
+
 def test_mix_keeps_all_rows_in_every_phase(spark):
     rows = [(i, "s%d" % (0 if i % 3 else i % 11), "x") for i in range(900)] + [(5, None, "x"), (5, None, "x"), (None, "s1", "x")]
     frame = spark.createDataFrame(rows, "doc_id long, source string, slot string")

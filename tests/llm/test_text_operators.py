@@ -250,6 +250,82 @@ def test_url_rules(spark):
     assert url_filter.judge_urls(frame.limit(0)).count() == 0
 
 
+def plain_split(url):
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url[url.index("://") + 3:]
+    host = re.match(r"[^/?#]*", rest)[0]
+    lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in host)
+    return lower, re.match(r"[^?#]*", rest[len(host):])[0]
+
+
+def plain_rule(host, path):
+    fits = [(len(t), t, said) for said, t in url_filter.RULES for name, begin in [t.split("/", 1)]
+            if (host == name or host.endswith("." + name)) and path.startswith("/" + begin)]
+    return max(fits)[1:] if fits else (None, None)
+
+
+def plain_shares(paths, depth):
+    """The blocked share of every (host, path), by dictionaries; paths holds (rows, verdict of the rule)."""
+    varies = re.compile(r"^[0-9]+(\.\w+)?$|^[0-9a-fA-F]{8}[0-9a-fA-F-]*$|[0-9].*[0-9].*[0-9]", re.A)
+
+    def shape(segment):
+        if not varies.search(segment):
+            return segment
+        end = re.search(r"\.[A-Za-z]\w*$", segment, re.A)
+        return "*" + (end[0] if end else "")
+
+    parts = {key: [shape(x) for x in key[1].split("/") if x] for key in paths}
+    branch = {key: () for key in paths}
+    for level in range(depth):
+        values, step = {}, {}
+        for key, found in parts.items():
+            if len(found) > level:
+                values.setdefault((key[0], branch[key]), set()).add(found[level])
+        for key, found in parts.items():
+            if len(found) > level:
+                wide = len(values[key[0], branch[key]]) > url_filter.WIDE
+                step[key] = "*" if wide else found[level]
+        for key, segment in step.items():
+            branch[key] += (segment,)
+    for key, found in parts.items():
+        if len(found) > depth:
+            branch[key] += ("**",)
+    labels = {}
+    for key, (n, said) in paths.items():
+        for level in range(len(branch[key]) + 1):
+            node = labels.setdefault((key[0], branch[key][:level]), [0, 0])
+            node[0] += n * (said == "block")
+            node[1] += n * (said is not None)
+
+    def share(host, node):
+        blocked, n = labels[host, node]
+        above, weight = url_filter.PRIOR, url_filter.STRENGTH
+        if node:
+            above = share(host, node[:-1])
+            all_blocked, all_n = labels[host, node[:-1]]
+            if not n or abs(blocked / n - all_blocked / all_n) <= url_filter.ALIKE * (all_blocked / all_n * (1 - all_blocked / all_n) / n) ** 0.5:
+                return above
+        return (blocked + above * weight) / (n + weight)
+
+    return {key: share(key[0], branch[key]) for key in paths}
+
+
+@pytest.mark.parametrize("folder", [SMALL, MEDIUM])
+def test_url_verdicts_equal_a_plain_version(spark, folder):
+    urls = {r.page_id: r.url for r in spark.read.parquet(f"{folder}/pages.parquet").collect()}
+    split = {page: plain_split(url) for page, url in urls.items()}
+    counts = Counter(split.values())
+    shares = plain_shares({key: (n, plain_rule(*key)[1]) for key, n in counts.items()}, url_filter.depth_of(url_filter.RULES))
+    rows = url_filter.op7_url_filter(spark, folder).collect()
+    assert len(rows) == len(urls)
+    for r in rows:
+        key = split[r.page_id]
+        rule, said = plain_rule(*key)
+        assert ((r.host, r.path), r.rule) == (key, rule)
+        assert r.verdict == (said or ("block" if shares[key] > url_filter.REJECT else "allow"))
+
+
 def test_unlabelled_branches_take_after_their_siblings(spark):
     urls = [f"http://h.com/x/s{c}/{i}" for c in "abcdefghijk" for i in range(3)] + ["http://h.com/x/sl/1", "http://h.com/y/z"]
     urls += [f"http://h.com/y/{c}/1" for c in "abcdefghijklmnopq" for _ in range(9)]
