@@ -5,8 +5,10 @@ import hashlib
 import os
 import random
 import re
+import unicodedata
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -220,6 +222,48 @@ def test_quality_of_a_very_long_text(spark):
     assert (row.n_words, row.word_chars, row.n_symbols, row.n_dup_lines, row.n_repeat_words) == brute_statistics(text)
 
 
+def plain_votes(text):
+    """1 good, 0 bad, -1 none for each rule, and whether the base limits fail."""
+    n, chars, signs, same, repeats = brute_statistics(text)
+    words = [x.decode() for x in (text or "").encode().split()]
+    lines = [x for x in (text or "").split("\n") if x.encode().split()]
+    letters = sum(unicodedata.category(c)[0] == "L" for w in words for c in w) / max(chars, 1)
+    ended = sum(x.rstrip(" \t\n\x0b\x0c\r")[-1] in ".!?:;\"')" for x in lines)
+    stops = len(set(words) & set(quality_rules.STOP_WORDS))
+    per, rows = max(n, 1), max(len(lines), 1)
+    pairs = [(n < 60, n >= 120), (not 2.5 <= chars / per <= 14, 3 <= chars / per <= 11), (signs / per > 0.25, signs / per < 0.05),
+             (same > 0.3 * rows, same == 0 and len(lines) > 1), (repeats > 0.25 * per, repeats < 0.05 * per), (letters < 0.7, letters > 0.9),
+             (ended < 0.1 * rows, ended > 0.5 * rows), (stops < 2 and n >= 40, stops >= 4)]
+    return n, [0 if bad else 1 if good else -1 for bad, good in pairs], n < 50 or 100 * repeats > 50 * n
+
+
+def test_quality_verdicts_equal_a_plain_version(spark):
+    """Expectation-maximisation over single documents, not over counted patterns."""
+    texts = {r.doc_id: r.text for r in documents(spark, MEDIUM).collect()}
+    plain = {doc: plain_votes(text) for doc, text in texts.items()}
+    votes = np.array([v for n, v, _ in plain.values() if n])
+    good, bad = votes == 1, votes == 0
+    share, on_good, on_bad = 0.8, np.full(votes.shape[1], 0.8), np.full(votes.shape[1], 0.8)
+
+    def log_odds(good, bad):
+        return np.log(share / (1 - share)) + good @ np.log(on_good / (1 - on_bad)) + bad @ np.log((1 - on_good) / on_bad)
+
+    for _ in range(quality_rules.ROUNDS):
+        p = 1 / (1 + np.exp(-log_odds(good, bad)))
+        share = np.clip(p.mean(), 0.01, 0.99)
+        cast = good | bad
+        on_good = np.clip((1.6 + p @ good) / (2 + p @ cast), 0.55, 0.995)
+        on_bad = np.clip((1.6 + (1 - p) @ bad) / (2 + (1 - p) @ cast), 0.55, 0.995)
+    got = quality_rules.op6_quality_rules(spark, MEDIUM).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        _, found, failed = plain[r.doc_id]
+        odds = log_odds(np.array(found) == 1, np.array(found) == 0)
+        assert r.base_failed == failed
+        assert abs(odds) < 1e-6 or r.kept == (not failed and odds >= 0)
+    assert 0 < sum(not r.kept and not r.base_failed for r in got) < len(got) / 2
+
+
 def test_quality_keeps_labelled_good_texts(spark):
     rows = quality_rules.op6_quality_rules(spark, MEDIUM).join(spark.read.parquet(f"{MEDIUM}/labels.parquet"), "doc_id").where("not base_failed").collect()
     good, bad = [r.kept for r in rows if r.quality == 1], [r.kept for r in rows if r.quality == 0]
